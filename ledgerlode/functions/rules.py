@@ -64,7 +64,8 @@ def payment_due_date(period_end: Column) -> Column:
 def emi_installment(principal: Column, annual_rate: Column, tenure: Column) -> Column:
     """Flat-rate instalment; ``annual_rate`` is in percent."""
     factor = _decimal("1") + annual_rate.cast("decimal(9,3)") * _decimal("0.01")
-    return _money(principal.cast("decimal(18,2)") * factor / tenure.cast("decimal(5,0)"))
+    owed = (principal.cast("decimal(18,2)") * factor).cast("decimal(27,7)")   # keeps the quotient exact
+    return _money(owed / tenure.cast("decimal(5,0)"))
 
 
 def emi_end_date(start: Column, tenure: Column) -> Column:

@@ -237,3 +237,20 @@ def prior_month(monthly: DataFrame, calendar: DataFrame, month_column: str, valu
     now = totals.select(F.col("__m").alias("month_start"), F.col("__v").alias(value))
     before = totals.select(F.add_months("__m", 1).alias("month_start"), F.col("__v").alias(name))
     return spine.join(now, "month_start", "left").join(before, "month_start", "left")
+
+
+# The time-intelligence measures.
+TIME_MEASURES = ("Transactions MTD", "Transactions YTD", "Revenue Prior Month")
+
+
+def time_measure(name: str, star: Mapping[str, DataFrame]) -> DataFrame:
+    """Evaluate a time-intelligence measure on every day (to date) or month (prior month) of DimDate.
+
+    The prior month needs the monthly revenue fact: revenue per account alone carries no date.
+    """
+    if name == "Revenue Prior Month":
+        return prior_month(star["FactRevenue"].withColumnRenamed("total_revenue", "Total Revenue"),
+                           star["DimDate"], "revenue_month", "Total Revenue", name)
+    if name in TIME_MEASURES:
+        return count_to_date(star["FactTransaction"], star["DimDate"], name.split()[-1], name)
+    raise ValueError(f"unknown time measure: {name!r}")

@@ -7,7 +7,6 @@ import tempfile
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerlode.functions.exprs import col
@@ -28,6 +27,14 @@ def shared_root(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{unique}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back. Use it where several scans follow:
+    it cuts the lineage, survives lost executors, and the scans prune columns."""
+    path = shared_root(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -76,14 +83,10 @@ def read_source(spark: SparkSession, fmt: str, location: str | None = None,
 def read_first_existing(spark: SparkSession, fmt: str, locations: Sequence[str],
                         schema: T.StructType | None = None,
                         options: Mapping[str, str] | None = None) -> DataFrame:
-    """Read the first location that exists. Only a missing path leads on to the next one."""
-    for location in locations[:-1]:
-        try:
-            return read_source(spark, fmt, location, schema, options)
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
-                raise
-    return read_source(spark, fmt, locations[-1], schema, options)
+    """Read the first location that exists; the last one is read, and fails, if none does."""
+    exists = table_exists if fmt == "table" else path_exists
+    found = next((loc for loc in locations if exists(spark, loc)), locations[-1])
+    return read_source(spark, fmt, found, schema, options)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
