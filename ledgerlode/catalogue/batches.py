@@ -89,13 +89,16 @@ def batch_job(spark, sf):
     lake = Lake(spark, files.shared_root(spark, "lake"), "daily", "2001-08-02", "2001-08-02 06:00:00")
     wanted = {"DimCustomer", "DimAccount", "DimCard", "DimMerchant"}
     options = {"dimensions": [d for d in gold.DIMENSIONS if d.name in wanted],
-               "facts": [gold.FACTS[0]], "calendar": ("1995-01-01", "2001-12-31")}
+               "facts": [gold.FACTS[0]], "calendar": ("1995-01-01", "2001-12-31"),
+               "date_partition": "month"}
     references = {"FactTransaction": gold.GATE_REFERENCES["FactTransaction"]
                   + gold.EXTENDED_REFERENCES["FactTransaction"]}
+    by_month = {"month_of": "transaction_date"}
     for batch_id, second in (("20010801_001", False), ("20010802_001", True)):
         lake.load_ts = f"{batch_id[:4]}-{batch_id[4:6]}-{batch_id[6:8]} 06:00:00"
         tables = [(config(n), df) for n, df in _extracts(spark, sf, second).items()]
-        run_batch(lake, batch_id, tables, gold_options=options, references=references)
+        run_batch(lake, batch_id, tables, silver_options={"transaction": by_month},
+                  gold_options=options, references=references)
     star = {n: read_gold(lake, n) for n in [*wanted, "FactTransaction", "FactRevenue", "DimDate"]}
     report = measures.measure_table(
         star, ["Total Transactions", "Total Transaction Amount", "Total Revenue"],

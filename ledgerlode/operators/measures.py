@@ -145,12 +145,7 @@ def _partials(star: Mapping[str, DataFrame], table: str, parts: Mapping[str, Par
               attributes: list[tuple[str, str]], current_only: bool) -> DataFrame:
     columns = [c for _, c in attributes]
     if table in FACT_KEYS:
-        keys = _needed_keys(table, attributes)
-        grouped = star[table].groupBy(*keys).agg(
-            *[p.aggregate().alias(n) for n, p in parts.items()])
-        for dim, key in ((d, k) for d, k in FACT_KEYS[table].items() if k in keys):
-            grouped = grouped.join(_attributes(star, dim, key, attributes), key, "left")
-        return grouped.groupBy(*columns).agg(*[F.sum(n).alias(n) for n in parts])
+        return _fact_partials(star, table, parts, attributes)
     frame = star[table]
     if current_only:
         frame = current_versions(frame)
@@ -167,6 +162,34 @@ def _partials(star: Mapping[str, DataFrame], table: str, parts: Mapping[str, Par
     return frame.groupBy(*columns).agg(*[p.aggregate().alias(n) for n, p in parts.items()])
 
 
+def _fact_partials(star: Mapping[str, DataFrame], table: str, parts: Mapping[str, Part],
+                   attributes: list[tuple[str, str]]) -> DataFrame:
+    """Partial sums of a fact per group of attributes.
+
+    The calendar joins first: it is small whatever the data, and its attributes are far coarser than
+    its days. The fact then shrinks to one row per remaining key and calendar attribute, with a
+    map-side combine, and only that meets the other dimensions.
+    """
+    columns = [c for _, c in attributes]
+    keys = _needed_keys(table, attributes)
+    fact, grain = star[table], []
+    for dim, key in FACT_KEYS[table].items():
+        if key not in keys:
+            continue
+        if dim == "DimDate":
+            fact = fact.join(F.broadcast(_attributes(star, dim, key, attributes)), key, "left")
+            grain += [c for d, c in attributes if d == dim]
+        else:
+            grain.append(key)
+    grouped = fact.groupBy(*grain).agg(*[p.aggregate().alias(n) for n, p in parts.items()])
+    others = [(d, k) for d, k in FACT_KEYS[table].items() if k in keys and d != "DimDate"]
+    if not others:
+        return grouped
+    for dim, key in others:
+        grouped = grouped.join(_attributes(star, dim, key, attributes), key, "left")
+    return grouped.groupBy(*columns).agg(*[F.sum(n).alias(n) for n in parts])
+
+
 def _needed_keys(table: str, attributes: list[tuple[str, str]]) -> list[str]:
     keys: list[str] = []
     for dim, column in attributes:

@@ -10,7 +10,7 @@ ranges again.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, isqrt
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -18,6 +18,7 @@ from ledgerlode.functions.exprs import col
 
 MAX_RANGES = 2048
 SAMPLES_PER_RANGE = 50
+SMALL_ROWS = 10_000
 
 
 def range_count(df: DataFrame) -> int:
@@ -29,14 +30,21 @@ def range_count(df: DataFrame) -> int:
 def order_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> Column:
     """Ordinal of the range a row falls in, ascending with ``order`` (NULLs first).
 
-    The sample is the ``ranges * 50`` rows with the smallest hash of their order values: a distributed
-    top-k, hence bounded, and independent of how the input is partitioned. At most ``ranges - 1`` cut
-    points reach the driver. A row finds its range by two short searches over the sorted cut points.
+    Without a given number of ranges, a frame of at most ``SMALL_ROWS`` rows stays one range. The
+    sample takes the rows whose order values hash to a multiple of a power of two, about
+    ``ranges * 50`` of them: each map task keeps only its share, repeated values count once, and the
+    choice does not depend on how the input is partitioned. At most ``2 * ranges`` cut points reach
+    the driver. A row finds its range by two short searches over the sorted cut points.
     """
-    ranges = ranges or range_count(df)
+    rows = df.count()
+    if ranges is None:
+        if rows <= SMALL_ROWS:
+            return F.lit(0)
+        ranges = range_count(df)
     key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    one_in = 1 << max(0, (rows // (ranges * SAMPLES_PER_RANGE)).bit_length() - 1)
     sample = (df.select(key.alias("key"))
-                .orderBy(F.xxhash64("key")).limit(ranges * SAMPLES_PER_RANGE)
+                .where(F.xxhash64("key").bitwiseAND(F.lit(one_in - 1).cast("long")) == 0)
                 .agg(F.sort_array(F.collect_set("key")).alias("keys")))
     step = F.greatest(F.lit(1), F.ceil(F.size("keys") / ranges)).cast("int")
     cuts = (sample.select("keys", step.alias("step"))
@@ -65,8 +73,8 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str,
                       ranges: int | None = None) -> DataFrame:
     """``row_number() over (order by …)`` as long, without a single-partition sort of the rows.
 
-    The input is read three times (sample, counts, rows), each time only as far as needed: the first
-    two read the order columns alone. Give it a stored table, not a long derivation.
+    The input is read for the row count, the sample, the counts per range and the rows; all but the
+    last read the order columns at most. Give it a stored table, not a long derivation.
     """
     cut = df.withColumn("__range", order_ranges(df, order, ranges))
     counts = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))

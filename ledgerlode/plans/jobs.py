@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlode.operators import quality, rows, scd, star
 from ledgerlode.operators.ordering import surrogate_key
@@ -100,10 +100,13 @@ def load_bronze(lake: Lake, cfg: TableConfig, batch_id: str,
 
 def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str] = (),
               masks: Mapping[str, str] | None = None, on_duplicate: str = "error",
-              first_start: str | None = None) -> dict[str, int]:
+              first_start: str | None = None, month_of: str | None = None,
+              keys_stay: bool = False) -> dict[str, int]:
     """One bronze batch into its silver table: quarantine, cleanse, profile, merge by SCD type.
 
-    Reads the partition of the batch and, of the silver table, the current rows only.
+    Reads the partition of the batch and, of the silver table, the current rows only. For a large
+    type 1 table, ``month_of`` names a date column by whose month the table is laid out; the merge then
+    reads and rewrites only the months that the batch touches (see ``_upsert_months``).
     """
     keys = list(cfg.natural_keys or (cfg.primary_key,))
 
@@ -117,6 +120,10 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         clean = rows.cleanse(batch, keys, upper)
         if masks:
             clean = rows.mask_columns(clean, masks)
+        # The cleansed batch is scanned several times below; stored, it is cleansed once.
+        stage = lake.path("stage", cfg.table_name)
+        files.overwrite_path(clean, stage, lake.fmt)
+        clean = spark.read.format(lake.fmt).schema(clean.schema).load(stage)
         profile = quality.dq_profile(clean, cfg.table_name, keys).first()
         if profile.duplicate_pk_groups and on_duplicate == "error":
             raise quality.DataQualityError(
@@ -124,23 +131,57 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         tracked = [c for c in clean.columns if c not in keys]
         source = rows.stamp_silver(clean, lake.load_ts)
         target = lake.path("silver", cfg.silver_table)
-        current = versions.read_current(spark, target, lake.fmt)
         newest = [F.xxhash64(*clean.columns)]
-        if cfg.scd_type == 2:
-            merged = scd.merge_scd2(current, source, keys, tracked, lake.load_ts,
-                                    lake.digest_mode, on_duplicate, newest, first_start)
+        if cfg.scd_type != 2 and month_of:
+            written = _upsert_months(lake, target, source, keys, month_of, keys_stay, on_duplicate,
+                                     newest)
         else:
-            merged = scd.merge_scd1(current, source, keys, on_duplicate, newest)
-        merged, written = files.counted(merged, "silver")
-        versions.write_version(merged, target, history=cfg.scd_type == 2, fmt=lake.fmt)
-        return {"rows_read": batch.count(), "rows_written": files.observed(written),
+            current = versions.read_current(spark, target, lake.fmt)
+            if cfg.scd_type == 2:
+                merged = scd.merge_scd2(current, source, keys, tracked, lake.load_ts,
+                                        lake.digest_mode, on_duplicate, newest, first_start)
+            else:
+                merged = scd.merge_scd1(current, source, keys, on_duplicate, newest)
+            merged, seen = files.counted(merged, "silver")
+            versions.write_version(merged, target, scd.CURRENT if cfg.scd_type == 2 else None,
+                                   lake.fmt)
+            written = files.observed(seen)
+        return {"rows_read": batch.count(), "rows_written": written,
                 "rows_clean": profile.total_rows}
     return _step(lake, "silver", "SILVER", cfg.table_name, batch_id, work)
 
 
+MONTH = "silver_month"
+
+
+def _upsert_months(lake: Lake, target: str, source: DataFrame, keys: Sequence[str], date_column: str,
+                   keys_stay: bool, on_duplicate: str, newest: Sequence[Column]) -> int:
+    """Type 1 merge that rewrites the touched months of a table laid out by month.
+
+    Touched are the months of the batch and every month in which the table holds one of its keys under
+    another date; the latter are found by a semi join over the key and month columns alone. With
+    ``keys_stay`` the caller vouches that a key never changes its month, and that join is left out.
+    """
+    spark = lake.spark
+    source = source.withColumn(MONTH, F.date_format(date_column, "yyyyMM"))
+    touched = source.select(MONTH)
+    current = versions.read_current(spark, target, lake.fmt)
+    if current is not None and not keys_stay:
+        held = current.select(*keys, MONTH).join(source.select(*keys), keys, "left_semi")
+        touched = touched.unionByName(held.select(MONTH))
+    names = [f"{MONTH}={row[MONTH] or '__HIVE_DEFAULT_PARTITION__'}"
+             for row in touched.distinct().collect()]        # at most one row per calendar month
+    part = versions.read_current(spark, target, lake.fmt, only=names)
+    merged, seen = files.counted(scd.merge_scd1(part, source, keys, on_duplicate, newest), "months")
+    merged = merged.hint("rebalance", MONTH)
+    versions.write_version(merged, target, MONTH, lake.fmt, touched=names)
+    return files.observed(seen)
+
+
 def read_silver(lake: Lake, table: str, history: bool = False) -> DataFrame | None:
     read = versions.read_history if history else versions.read_current
-    return read(lake.spark, lake.path("silver", table), lake.fmt)
+    df = read(lake.spark, lake.path("silver", table), lake.fmt)
+    return None if df is None else df.drop(MONTH)
 
 
 def read_gold(lake: Lake, table: str) -> DataFrame:
@@ -151,9 +192,13 @@ def build_gold(lake: Lake, batch_id: str,
                dimensions: Sequence[gold.Dimension] = tuple(gold.DIMENSIONS),
                facts: Sequence[gold.Fact] = tuple(gold.FACTS), revenue: str | None = "account",
                calendar: tuple[str, str] = (star.CALENDAR_START, star.CALENDAR_END),
-               key_mode: str = "sequence") -> dict[str, int]:
+               key_mode: str = "sequence", date_partition: str = "day") -> dict[str, int]:
     """Dimensions, calendar, facts and revenue from silver. Facts read current rows only, so a fraud or
-    collections case with two versions stays one fact row."""
+    collections case with two versions stays one fact row.
+
+    ``date_partition`` is the grain of the fact directories: ``day`` (column ``date_sk``) suits facts
+    with gigabytes per day, ``month`` (an added column ``month_sk``) smaller ones.
+    """
     def work():
         written = 0
         days = star.dim_date(lake.spark, *calendar)
@@ -170,8 +215,12 @@ def build_gold(lake: Lake, batch_id: str,
         for f in facts:
             fact = star.resolve_fact(read_silver(lake, f.silver), [lookups[n] for n in f.dimensions],
                                      f.columns, days, f.date_column)
+            partition_by = f.partition_by
+            if partition_by and date_partition == "month":
+                fact = fact.withColumn("month_sk", F.floor(F.col("date_sk") / 100).cast("int"))
+                partition_by = ("month_sk",)
             fact, seen = files.counted(fact, f.name)
-            files.overwrite_path(fact, lake.path("gold", f.name), lake.fmt, f.partition_by)
+            files.overwrite_path(fact, lake.path("gold", f.name), lake.fmt, partition_by)
             written += files.observed(seen)
         if revenue is not None:
             fact, seen = files.counted(star.fact_revenue(

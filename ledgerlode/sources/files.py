@@ -53,6 +53,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty marker file."""
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
+def ensure_directory(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def read_source(spark: SparkSession, fmt: str, location: str | None = None,
                 schema: T.StructType | None = None,
                 options: Mapping[str, str] | None = None) -> DataFrame:
