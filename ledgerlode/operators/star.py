@@ -26,8 +26,9 @@ def dim_date(spark: SparkSession, start: str | dt.date = CALENDAR_START,
 def calendar_of(bounds: DataFrame) -> DataFrame:
     """Calendar for a one-row frame with the columns ``first`` and ``last``, e.g. an aggregate."""
     day = F.col("calendar_date")
-    days = bounds.where("first <= last").select(
-        F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("calendar_date"))
+    span = F.when(F.col("first") <= F.col("last"),
+                  F.sequence("first", "last", F.expr("interval 1 day")))
+    days = bounds.select(F.explode(span).alias("calendar_date"))
     return days.select(
         date_key(day).alias("date_sk"),
         day,

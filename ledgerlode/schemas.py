@@ -49,6 +49,7 @@ RATE = T.DecimalType(12, 6)
 
 # Columns whose type does not follow from their name.
 _EXCEPTIONS: dict[str, T.DataType] = {
+    "date_of_birth": T.DateType(),
     "alert_date": T.TimestampType(),
     "call_date": T.TimestampType(),
     "activity_date": T.TimestampType(),
