@@ -27,19 +27,18 @@ def range_count(df: DataFrame) -> int:
     return max(2, min(MAX_RANGES, partitions))
 
 
-def order_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> Column:
-    """Ordinal of the range a row falls in, ascending with ``order`` (NULLs first).
+def cut_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> list[tuple]:
+    """Ascending cut points of the ordering, as text, for about equally many rows between them.
 
-    Without a given number of ranges, a frame of at most ``SMALL_ROWS`` rows stays one range. The
-    sample takes the rows whose order values hash to a multiple of a power of two, about
-    ``ranges * 50`` of them: each map task keeps only its share, repeated values count once, and the
-    choice does not depend on how the input is partitioned. At most ``2 * ranges`` cut points reach
-    the driver. A row finds its range by two short searches over the sorted cut points.
+    Without a given number of ranges, a frame of at most ``SMALL_ROWS`` rows gets no cut. The sample
+    takes the rows whose order values hash to a multiple of a power of two, about ``ranges * 50`` of
+    them: each map task keeps only its share, repeated values count once, and the choice does not
+    depend on how the input is partitioned. At most ``2 * ranges`` cut points reach the driver.
     """
     rows = df.count()
     if ranges is None:
         if rows <= SMALL_ROWS:
-            return F.lit(0)
+            return []
         ranges = range_count(df)
     key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
     one_in = 1 << max(0, (rows // (ranges * SAMPLES_PER_RANGE)).bit_length() - 1)
@@ -53,36 +52,52 @@ def order_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None)
                   .select(*[F.col(f"cut.k{i}").cast("string").alias(f"k{i}")
                             for i in range(len(order))])
                   .collect())
+    return [tuple(row) for row in cuts]
+
+
+def range_of(df: DataFrame, order: Sequence[str], cuts: Sequence[tuple]) -> Column:
+    """Ordinal of the range a row falls in: how many cut points are not above it (NULLs first). Found
+    by two short searches, first among every n-th cut point, then between two of those."""
     if not cuts:
         return F.lit(0)
-    types = {c: df.schema[c].dataType for c in order}
+    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    types = [df.schema[c].dataType for c in order]
     literals = [
-        F.struct(*[F.lit(row[i]).cast(types[c]).alias(f"k{i}") for i, c in enumerate(order)])
-        for row in cuts
+        F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(cut, types))])
+        for cut in cuts
     ]
-    span = max(1, isqrt(len(literals)))
     if len(literals) <= 16:
         return F.size(F.filter(F.array(*literals), lambda cut: cut <= key))
+    span = isqrt(len(literals))
     coarse = F.size(F.filter(F.array(*literals[::span]), lambda cut: cut <= key))
     fine = F.slice(F.array(*literals), (coarse - 1) * span + 1, span)
     return F.when(coarse == 0, F.lit(0)).otherwise(
         (coarse - 1) * span + F.size(F.filter(fine, lambda cut: cut <= key)))
 
 
+def order_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> Column:
+    return range_of(df, order, cut_points(df, order, ranges))
+
+
 def global_row_number(df: DataFrame, order: Sequence[str], name: str,
                       ranges: int | None = None) -> DataFrame:
     """``row_number() over (order by …)`` as long, without a single-partition sort of the rows.
 
     The input is read for the row count, the sample, the counts per range and the rows; all but the
-    last read the order columns at most. Give it a stored table, not a long derivation.
+    last read the order columns at most. Give it a stored table, not a long derivation. A frame of at
+    most ``SMALL_ROWS`` rows is numbered directly.
     """
-    cut = df.withColumn("__range", order_ranges(df, order, ranges))
+    columns = [col(c) for c in order]
+    cuts = cut_points(df, order, ranges)
+    if not cuts:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*columns)).cast("long"))
+    cut = df.withColumn("__range", range_of(df, order, cuts))
     counts = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    inside = Window.partitionBy("__range").orderBy(*[col(c) for c in order])
+    inside = Window.partitionBy("__range").orderBy(*columns)
     return (cut.withColumn("__rn", F.row_number().over(inside))
-               .join(F.broadcast(offsets), "__range")     # at most MAX_RANGES rows
+               .join(F.broadcast(offsets), "__range")     # at most one row per range
                .withColumn(name, (F.col("__rn") + F.col("__off")).cast("long"))
                .drop("__range", "__rn", "__off", "__n"))
 
@@ -106,8 +121,11 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: C
     about a third of the ranges. Only a group that crosses a cut needs a carry.
     """
     by, order = list(by), list(order)
-    cut = (df.withColumn("__value", value)
-             .withColumn("__range", order_ranges(df, by + order, ranges)))
+    whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    cuts = cut_points(df, by + order, ranges)
+    if not cuts:
+        return df.withColumn(name, F.sum(value).over(whole))
+    cut = df.withColumn("__value", value).withColumn("__range", range_of(df, by + order, cuts))
     totals = cut.groupBy("__range", *by).agg(F.sum("__value").alias("__total"))
     before = (Window.partitionBy(*by).orderBy("__range")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -117,13 +135,13 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: C
     inside = (Window.partitionBy("__range", *by).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
     summed = cut.withColumn("__sum", F.sum("__value").over(inside))
-    joined = _with_carry(summed, carries, by)
+    joined = with_carry(summed, carries, by)
     return (joined.withColumn(name, F.coalesce(F.col("__sum") + F.coalesce("__carry", F.lit(0)),
                                                F.col("__carry")))
                   .drop("__value", "__range", "__sum", "__carry", "__by"))
 
 
-def _with_carry(df: DataFrame, carries: DataFrame, by: Sequence[str]) -> DataFrame:
+def with_carry(df: DataFrame, carries: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach the carry of (range, group). A range has at most one group that began before it, so the
     broadcast side has at most one row per range."""
     carries = carries.withColumnRenamed("__range", "__crange")
