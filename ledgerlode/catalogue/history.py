@@ -105,11 +105,12 @@ def pit_join(spark, sf):
                         "valid_from", "valid_to", ["priority", "price", "valid_from"])
 
 
+# Without a limit on rows per key, so that the ranges are compared with SQL too.
 @query(_PIT)
 def pit_join_scan(spark, sf):
     return pit.pit_join(_shipments(spark, sf), _order_versions(spark, sf), ["user_id"], "at",
                         "valid_from", "valid_to", ["priority", "price", "valid_from"], "scan",
-                        tie=["l_orderkey", "l_linenumber", "l_partkey"])
+                        hot_rows=0)
 
 
 @query("""WITH risk AS (SELECT o_custkey AS user_id, o_orderdate AS valid_from,

@@ -1,105 +1,60 @@
 """Ordered operators that never put an unbounded group into one task.
 
-A global ``row_number`` or a running sum over one hot key would sort all its rows in one task. Here the
-rows are first cut into ranges of the full ordering. Each range is numbered or summed by its own, and a
-small table of carries (at most one row per range) is broadcast back. The cut points are taken from a
-bounded sample and enter the plan as literals, so that a lost executor or a second scan sees the same
-ranges again.
+A global ``row_number``, or a running sum over one hot key, would sort all its rows in one task. Here
+such rows are range-partitioned by the full ordering first, so that a hot key is cut like any other run
+of rows. The result is stored once with its range number: later scans, and tasks redone after a lost
+executor, see the same ranges. Each range is then numbered or summed by its own, and a small table of
+carries (one row per range) is broadcast back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlode.functions.exprs import col
+from ledgerlode.sources.files import stored
 
-MAX_RANGES = 2048
-SAMPLES_PER_RANGE = 50
-SMALL_ROWS = 10_000
+SMALL_ROWS = 10_000          # numbered in one task
+HOT_ROWS = 5_000_000         # a key with more rows than this is cut into ranges
 
 
-def range_count(df: DataFrame) -> int:
-    """One range per shuffle partition, within a bound that keeps literals and carries small."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, partitions))
+def _by_range(df: DataFrame, order: Sequence[str], ranges: int | None) -> DataFrame:
+    names = [col(c) for c in order]
+    return df.repartitionByRange(ranges, *names) if ranges else df.repartitionByRange(*names)
 
 
-def cut_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> list[tuple]:
-    """Ascending cut points of the ordering, as text, for about equally many rows between them.
+def ordered_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """The rows stored in ranges of the ordering, with the range number in ``__range``.
 
-    Without a given number of ranges, a frame of at most ``SMALL_ROWS`` rows gets no cut. The sample
-    takes the rows whose order values hash to a multiple of a power of two, about ``ranges * 50`` of
-    them: each map task keeps only its share, repeated values count once, and the choice does not
-    depend on how the input is partitioned. At most ``2 * ranges`` cut points reach the driver.
+    Without a given number, there are as many ranges as shuffle partitions, small ones merged.
     """
-    rows = df.count()
-    if ranges is None:
-        if rows <= SMALL_ROWS:
-            return []
-        ranges = range_count(df)
-    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
-    one_in = 1 << max(0, (rows // (ranges * SAMPLES_PER_RANGE)).bit_length() - 1)
-    sample = (df.select(key.alias("key"))
-                .where(F.xxhash64("key").bitwiseAND(F.lit(one_in - 1).cast("long")) == 0)
-                .agg(F.sort_array(F.collect_set("key")).alias("keys")))
-    step = F.greatest(F.lit(1), F.ceil(F.size("keys") / ranges)).cast("int")
-    cuts = (sample.select("keys", step.alias("step"))
-                  .select(F.explode(F.filter("keys", lambda _, i: (i + 1) % F.col("step") == 0))
-                          .alias("cut"))
-                  .select(*[F.col(f"cut.k{i}").cast("string").alias(f"k{i}")
-                            for i in range(len(order))])
-                  .collect())
-    return [tuple(row) for row in cuts]
-
-
-def range_of(df: DataFrame, order: Sequence[str], cuts: Sequence[tuple]) -> Column:
-    """Ordinal of the range a row falls in: how many cut points are not above it (NULLs first). Found
-    by two short searches, first among every n-th cut point, then between two of those."""
-    if not cuts:
-        return F.lit(0)
-    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
-    types = [df.schema[c].dataType for c in order]
-    literals = [
-        F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(cut, types))])
-        for cut in cuts
-    ]
-    if len(literals) <= 16:
-        return F.size(F.filter(F.array(*literals), lambda cut: cut <= key))
-    span = isqrt(len(literals))
-    coarse = F.size(F.filter(F.array(*literals[::span]), lambda cut: cut <= key))
-    fine = F.slice(F.array(*literals), (coarse - 1) * span + 1, span)
-    return F.when(coarse == 0, F.lit(0)).otherwise(
-        (coarse - 1) * span + F.size(F.filter(fine, lambda cut: cut <= key)))
-
-
-def order_ranges(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> Column:
-    return range_of(df, order, cut_points(df, order, ranges))
+    return stored(_by_range(df, order, ranges).withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str,
                       ranges: int | None = None) -> DataFrame:
     """``row_number() over (order by …)`` as long, without a single-partition sort of the rows.
 
-    The input is read for the row count, the sample, the counts per range and the rows; all but the
-    last read the order columns at most. Give it a stored table, not a long derivation. A frame of at
-    most ``SMALL_ROWS`` rows is numbered directly.
+    One range shuffle and a sort inside each range; the position within a range comes from the sorted
+    partition itself. Offsets are counted on the range column alone. A frame of at most ``SMALL_ROWS``
+    rows is numbered directly.
     """
     columns = [col(c) for c in order]
-    cuts = cut_points(df, order, ranges)
-    if not cuts:
+    if ranges is None and df.count() <= SMALL_ROWS:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*columns)).cast("long"))
-    cut = df.withColumn("__range", range_of(df, order, cuts))
-    counts = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    # The id of a row is its partition number times 2^33 plus its position in the partition.
+    laid_out = stored(_by_range(df, order, ranges).sortWithinPartitions(*columns)
+                      .withColumn("__id", F.monotonically_increasing_id())
+                      .withColumn("__range", F.shiftright("__id", 33)), "numbered")
+    counts = laid_out.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    inside = Window.partitionBy("__range").orderBy(*columns)
-    return (cut.withColumn("__rn", F.row_number().over(inside))
-               .join(F.broadcast(offsets), "__range")     # at most one row per range
-               .withColumn(name, (F.col("__rn") + F.col("__off")).cast("long"))
-               .drop("__range", "__rn", "__off", "__n"))
+    position = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return (laid_out.join(F.broadcast(offsets), "__range")     # one row per range
+                    .withColumn(name, (position + F.col("__off")).cast("long"))
+                    .drop("__range", "__id", "__off"))
 
 
 def surrogate_key(df: DataFrame, order: Sequence[str], name: str, mode: str = "sequence",
@@ -113,40 +68,49 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str, mode: str = "s
     raise ValueError(f"unknown key mode: {mode!r}")
 
 
+def has_hot_key(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether one key has more than ``limit`` rows; a count over the key columns with map-side combine."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return (counts.agg(F.max("n")).first()[0] or 0) > limit
+
+
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str,
-                ranges: int | None = None) -> DataFrame:
+                hot_rows: int = HOT_ROWS, ranges: int | None = None) -> DataFrame:
     """Running total of ``value`` per ``by`` in ``order`` (which must be unique within ``by``).
 
-    Ranges are cut on ``by + order`` together, so one account with a third of all rows spreads over
-    about a third of the ranges. Only a group that crosses a cut needs a carry.
+    As long as no group has more than ``hot_rows`` rows this is one window. Beyond that the rows are cut
+    into ranges of ``by + order`` together: an account with a third of all rows spreads over a third of
+    the ranges, and only a group that crosses a cut needs a carry.
     """
     by, order = list(by), list(order)
-    whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    cuts = cut_points(df, by + order, ranges)
-    if not cuts:
-        return df.withColumn(name, F.sum(value).over(whole))
-    cut = df.withColumn("__value", value).withColumn("__range", range_of(df, by + order, cuts))
-    totals = cut.groupBy("__range", *by).agg(F.sum("__value").alias("__total"))
-    before = (Window.partitionBy(*by).orderBy("__range")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carries = (totals.withColumn("__carry", F.sum("__total").over(before))
-                     .where(F.col("__carry").isNotNull())
-                     .select("__range", F.struct(*by).alias("__by"), "__carry"))
+    inside = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if not has_hot_key(df, by, hot_rows):
+        return df.withColumn(name, F.sum(value).over(inside))
+    cut = ordered_ranges(df.withColumn("__value", value), by + order, ranges)
+    totals = cut.groupBy("__range", *by).agg(F.sum("__value").alias("__last"))
     inside = (Window.partitionBy("__range", *by).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
     summed = cut.withColumn("__sum", F.sum("__value").over(inside))
-    joined = with_carry(summed, carries, by)
+    joined = with_carry(summed, carries(totals, by, F.sum("__last")), by)
     return (joined.withColumn(name, F.coalesce(F.col("__sum") + F.coalesce("__carry", F.lit(0)),
                                                F.col("__carry")))
-                  .drop("__value", "__range", "__sum", "__carry", "__by"))
+                  .drop("__value", "__range", "__sum", "__carry"))
+
+
+def carries(lasts: DataFrame, by: Sequence[str], combine: Column) -> DataFrame:
+    """What a group brings into a range from the earlier ones, from one ``__last`` per range and group."""
+    before = (Window.partitionBy(*by).orderBy("__range")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (lasts.withColumn("__carry", combine.over(before))
+                 .where(F.col("__carry").isNotNull())
+                 .select(F.col("__range").alias("__crange"), F.struct(*by).alias("__by"), "__carry"))
 
 
-def with_carry(df: DataFrame, carries: DataFrame, by: Sequence[str]) -> DataFrame:
+def with_carry(df: DataFrame, carried: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach the carry of (range, group). A range has at most one group that began before it, so the
     broadcast side has at most one row per range."""
-    carries = carries.withColumnRenamed("__range", "__crange")
     same = (F.col("__range") == F.col("__crange")) & F.struct(*by).eqNullSafe(F.col("__by"))
-    return df.join(F.broadcast(carries), same, "left").drop("__crange")
+    return df.join(F.broadcast(carried), same, "left").drop("__crange", "__by")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlode.functions.exprs import all_present, col
-from ledgerlode.operators.ordering import cut_points, range_of, with_carry
+from ledgerlode.operators.ordering import (
+    HOT_ROWS, carries, has_hot_key, ordered_ranges, with_carry,
+)
 
 BROADCAST_ROWS = 200_000
 BROADCAST_VERSIONS_PER_KEY = 64
@@ -15,20 +17,18 @@ BROADCAST_VERSIONS_PER_KEY = 64
 
 def pit_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], event_time: str,
              start: str, end: str, payload: Sequence[str], strategy: str = "auto",
-             ranges: int | None = None, tie: Sequence[str] = ()) -> DataFrame:
+             hot_rows: int = HOT_ROWS, ranges: int | None = None) -> DataFrame:
     """Left join of events to the version with ``start <= event_time < end`` (open end: no bound).
 
     Adds the ``payload`` columns. Versions of one key must not overlap. Strategies:
 
     * ``join``: equi join on the key with the interval as residual condition, versions broadcast.
     * ``scan``: events and versions in one ordered pass, each event carrying the last version started
-      before it. Nothing is broadcast but one carry row per range, and a key holding a third of the
-      events and of the versions costs no more than any other rows.
+      before it; the cost does not grow with the versions per key. Where one key has more than
+      ``hot_rows`` rows, the pass runs over ranges of the ordering, and nothing is broadcast but one
+      carry row per range.
     * ``auto``: ``join`` when a count over the version keys alone shows that the versions are few in
       total and per key, else ``scan``.
-
-    ``tie`` names event columns that tell events of one key and instant apart, by default all; naming
-    an id keeps the sampling pass of ``scan`` narrow.
     """
     keys, payload = list(keys), list(payload)
     versions = versions.select(*keys, start, end, *[c for c in payload if c not in (start, end)])
@@ -38,7 +38,7 @@ def pit_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], event_
     if strategy == "join":
         return _interval_join(events, versions, keys, event_time, start, end, payload)
     if strategy == "scan":
-        return _ordered_scan(events, versions, keys, event_time, start, end, payload, ranges, tie)
+        return _ordered_scan(events, versions, keys, event_time, start, end, payload, hot_rows, ranges)
     raise ValueError(f"unknown strategy: {strategy!r}")
 
 
@@ -63,55 +63,32 @@ def _interval_join(events, versions, keys, event_time, start, end, payload):
                          *[F.col(f"__p{i}").alias(c) for i, c in enumerate(payload)])
 
 
-def _ordered_scan(events, versions, keys, event_time, start, end, payload, ranges, tie):
+def _ordered_scan(events, versions, keys, event_time, start, end, payload, hot_rows, ranges):
     event = F.struct(*events.columns)
     version = F.struct(col(start).alias("at"), col(end).alias("until"),
                        *[col(c).alias(f"p{i}") for i, c in enumerate(payload)])
     key_columns = [f"__k{i}" for i in range(len(keys))]
     named_keys = [col(k).alias(n) for k, n in zip(keys, key_columns)]
-    apart = F.xxhash64(*[col(c) for c in (tie or events.columns)])
     # A version starting at the event's instant is valid for it, so versions (0) sort before events (1).
     opened = versions.select(*named_keys, col(start).alias("__at"), F.lit(0).alias("__kind"),
                              F.lit(0).cast("long").alias("__tie"), version.alias("__v"))
     happened = events.select(*named_keys, col(event_time).alias("__at"), F.lit(1).alias("__kind"),
-                             apart.alias("__tie"), event.alias("__e"))
+                             F.xxhash64(*events.columns).alias("__tie"), event.alias("__e"))
     stream = opened.unionByName(happened, allowMissingColumns=True)
-    order = [*key_columns, "__at", "__kind", "__tie"]
-    cuts = cut_points(stream, order, ranges)
-    located = range_of(stream, order, cuts)
-    inside = (Window.partitionBy("__range", *key_columns).orderBy("__at", "__kind", "__tie")
+    group, hot = key_columns, has_hot_key(stream, key_columns, hot_rows)
+    if hot:
+        stream = ordered_ranges(stream, [*key_columns, "__at", "__kind", "__tie"], ranges)
+        group = ["__range", *key_columns]
+    inside = (Window.partitionBy(*group).orderBy("__at", "__kind", "__tie")
               .rowsBetween(Window.unboundedPreceding, 0))
-    seen = (stream.withColumn("__range", located)
-                  .withColumn("__hit", F.last("__v", ignorenulls=True).over(inside))
+    seen = (stream.withColumn("__hit", F.last("__v", ignorenulls=True).over(inside))
                   .where("__kind = 1"))
-    if cuts:
-        carries = _carries(opened.withColumn("__range", located), cuts, stream, key_columns)
-        seen = with_carry(seen, carries, key_columns).withColumn("__hit",
+    if hot:
+        lasts = stream.groupBy(*group).agg(F.max_by("__v", F.col("__v.at")).alias("__last"))
+        carried = carries(lasts, key_columns, F.last("__last", ignorenulls=True))
+        seen = with_carry(seen, carried, key_columns).withColumn("__hit",
                                                                  F.coalesce("__hit", "__carry"))
     valid = F.col("__hit.until").isNull() | (F.col("__at") < F.col("__hit.until"))
     return seen.select(
         *[F.col("__e").getField(c).alias(c) for c in events.columns],
         *[F.when(valid, F.col(f"__hit.p{i}")).alias(c) for i, c in enumerate(payload)])
-
-
-def _carries(opened, cuts, stream, key_columns):
-    """Per range, the last version that its first key opened in an earlier range.
-
-    Only the key at a cut point can reach into the range that begins there, so versions alone are
-    looked at, reduced to one row per range and key before they meet the cut points (one row per range).
-    """
-    names = [f"k{i}" for i in range(len(key_columns))]
-    begins = opened.sparkSession.createDataFrame(
-        [(i + 1, *cut[:len(names)]) for i, cut in enumerate(cuts)],
-        ", ".join(["__begin int", *[f"{n} string" for n in names]]))
-    begins = begins.select("__begin", F.struct(*[
-        F.col(n).cast(stream.schema[c].dataType).alias(c) for n, c in zip(names, key_columns)
-    ]).alias("__by"))
-    lasts = opened.groupBy("__range", *key_columns).agg(
-        F.max_by("__v", F.col("__v.at")).alias("__last"))
-    lasts = lasts.select(F.col("__range").alias("__in"), F.struct(*key_columns).alias("__key"), "__last")
-    earlier = (F.col("__by") == F.col("__key")) & (F.col("__in") < F.col("__begin"))
-    return (lasts.join(F.broadcast(begins), earlier)
-                 .groupBy(F.col("__begin").alias("__range"))
-                 .agg(F.max_by("__last", F.col("__in")).alias("__carry"),
-                      F.first("__by").alias("__by")))

@@ -110,13 +110,14 @@ PIT_EVENT, PIT_VERSION = "id string, at timestamp, n int", \
     "id string, start timestamp, stop timestamp, grade string"
 
 
-@pytest.mark.parametrize("strategy", ["join", "scan", "auto"])
-def test_pit_boundaries(frame, strategy):
+@pytest.mark.parametrize("strategy,hot_rows", [("join", 0), ("scan", 0), ("scan", 99), ("auto", 0)])
+def test_pit_boundaries(frame, strategy, hot_rows):
     versions = frame([("1", day(2), day(4), "A"), ("1", day(4), day(6), "B"),
                       ("2", day(1), None, "C"), (None, day(1), None, "X")], PIT_VERSION)
     events = frame([("1", day(1), 1), ("1", day(2), 2), ("1", day(4), 3), ("1", day(6), 4),
                     ("2", day(9), 5), ("3", day(9), 6), (None, day(9), 7), ("2", None, 8)], PIT_EVENT)
-    joined = pit.pit_join(events, versions, KEY, "at", "start", "stop", ["grade"], strategy)
+    joined = pit.pit_join(events, versions, KEY, "at", "start", "stop", ["grade"], strategy,
+                          hot_rows)
     assert joined.columns == ["id", "at", "n", "grade"]
     assert {r.n: r.grade for r in joined.collect()} == {
         1: None, 2: "A", 3: "B", 4: None, 5: "C", 6: None, 7: None, 8: None}
@@ -136,14 +137,15 @@ def test_pit_strategies_agree_on_a_hot_key(spark):
     v = spark.createDataFrame(versions, "id string, start int, stop int, grade string")
     e = spark.createDataFrame(events, "id string, at int, n int").repartition(5)
     results = []
-    for strategy, ranges in (("join", None), ("scan", 2), ("scan", 25)):
-        joined = pit.pit_join(e, v, KEY, "at", "start", "stop", ["grade"], strategy, ranges)
+    for strategy, hot_rows, ranges in (("join", 0, None), ("scan", 10**6, None), ("scan", 50, 2),
+                                       ("scan", 0, 25)):
+        joined = pit.pit_join(e, v, KEY, "at", "start", "stop", ["grade"], strategy, hot_rows, ranges)
         results.append({r.n: r.grade for r in joined.collect()})
     brute = {}
     for key, at, n in events:
         hits = [g for k, a, b, g in versions if k == key and a <= at and (b is None or at < b)]
         brute[n] = hits[0] if hits else None
-    assert results[0] == results[1] == results[2] == brute
+    assert all(r == brute for r in results)
 
 
 def test_auto_scans_when_a_key_has_many_versions(spark):

@@ -33,11 +33,11 @@ def test_global_row_number(data, ranges):
     assert got == {r[2]: i + 1 for i, r in enumerate(ordered)}
 
 
-@pytest.mark.parametrize("ranges", [None, 2, 13, 60])
-def test_running_sum(data, ranges):
+@pytest.mark.parametrize("hot_rows,ranges", [(10**6, None), (0, None), (100, 2), (100, 13), (0, 60)])
+def test_running_sum(data, hot_rows, ranges):
     rows, df = data
     got = {r.id: r.total for r in ordering.running_sum(
-        df, ["acct"], ["day", "id"], F.col("v"), "total", ranges).collect()}
+        df, ["acct"], ["day", "id"], F.col("v"), "total", hot_rows, ranges).collect()}
     sums, want = defaultdict(int), {}
     for acct, day, i, v in sorted(rows, key=lambda r: (r[1], r[2])):
         sums[acct] += v
@@ -47,18 +47,17 @@ def test_running_sum(data, ranges):
 
 def test_hot_key_is_spread_over_ranges(data):
     _, df = data
-    ranged = df.withColumn("r", ordering.order_ranges(df, ["acct", "day", "id"], 20))
-    largest = ranged.groupBy("r").count().agg(F.max("count")).first()[0]
+    ranged = ordering.ordered_ranges(df, ["acct", "day", "id"], 20)
+    largest = ranged.groupBy("__range").count().agg(F.max("count")).first()[0]
     assert largest < 0.2 * df.count()
-    assert ranged.where("acct = 'hot'").select("r").distinct().count() >= 5
+    assert ranged.where("acct = 'hot'").select("__range").distinct().count() >= 5
 
 
-def test_ranges_do_not_depend_on_partitioning(data):
+def test_hot_key_check(data):
     _, df = data
-    one = df.withColumn("r", ordering.order_ranges(df, ["acct", "day", "id"], 20))
-    other = df.repartition(3)
-    two = other.withColumn("r", ordering.order_ranges(other, ["acct", "day", "id"], 20))
-    assert one.exceptAll(two).count() == 0
+    assert ordering.has_hot_key(df, ["acct"], 1000)
+    assert not ordering.has_hot_key(df, ["acct"], 2000)
+    assert not ordering.has_hot_key(df.limit(0), ["acct"], 0)
 
 
 def test_repeated_order_values(frame):
@@ -70,7 +69,7 @@ def test_repeated_order_values(frame):
 def test_empty_input(frame):
     df = frame([], SCHEMA)
     assert ordering.surrogate_key(df, ["acct"], "sk").count() == 0
-    assert ordering.running_sum(df, ["acct"], ["id"], F.col("v"), "t", 4).count() == 0
+    assert ordering.running_sum(df, ["acct"], ["id"], F.col("v"), "t", 0, 4).count() == 0
 
 
 def test_key_modes(frame):

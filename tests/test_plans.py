@@ -31,6 +31,7 @@ def test_row_number_sorts_no_rows_in_one_task(orders):
     assert len(single) == 1          # the offsets, one row per range
     below = text[text.index(single[0]):]
     assert "HashAggregate" in below.splitlines()[1]
+    assert text.count("Exchange hashpartitioning") == 1      # of the counts; the rows do not move again
 
 
 def test_scd2_merge_is_one_full_outer_join(spark):
