@@ -22,19 +22,20 @@ def pit_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], event_
 
     Adds the ``payload`` columns. Versions of one key must not overlap. Strategies:
 
-    * ``join``: equi join on the key with the interval as residual condition, versions broadcast.
+    * ``join``: equi join on the key with the interval as residual condition, planned by the optimizer.
     * ``scan``: events and versions in one ordered pass, each event carrying the last version started
       before it; the cost does not grow with the versions per key. Where one key has more than
       ``hot_rows`` rows, the pass runs over ranges of the ordering, and nothing is broadcast but one
       carry row per range.
-    * ``auto``: ``join`` when a count over the version keys alone shows that the versions are few in
+    * ``auto``: ``join`` with the versions broadcast when a count over the version keys alone shows that the versions are few in
       total and per key, else ``scan``.
     """
     keys, payload = list(keys), list(payload)
     versions = versions.select(*keys, start, end, *[c for c in payload if c not in (start, end)])
     versions = versions.where(all_present(keys))
     if strategy == "auto":
-        strategy = "join" if _few_versions(versions, keys) else "scan"
+        few = _few_versions(versions, keys)
+        strategy, versions = ("join", F.broadcast(versions)) if few else ("scan", versions)
     if strategy == "join":
         return _interval_join(events, versions, keys, event_time, start, end, payload)
     if strategy == "scan":
@@ -58,7 +59,7 @@ def _interval_join(events, versions, keys, event_time, start, end, payload):
         F.col("__end").isNull() | (col(event_time) < F.col("__end")))
     for i, k in enumerate(keys):
         condition = condition & (col(k) == F.col(f"__k{i}"))
-    joined = events.join(F.broadcast(right), condition, "left")   # size checked by the caller or auto
+    joined = events.join(right, condition, "left")
     return joined.select(*events.columns,
                          *[F.col(f"__p{i}").alias(c) for i, c in enumerate(payload)])
 

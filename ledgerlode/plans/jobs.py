@@ -16,6 +16,8 @@ from ledgerlode.schemas import pinned_like
 from ledgerlode.sources import files, versions
 from ledgerlode.sources.config import TableConfig
 
+LANDING_DAYS = 30            # fixed value: retention of the landing layer
+
 
 @dataclass
 class Lake:
@@ -250,6 +252,22 @@ def validate_gold(lake: Lake, batch_id: str,
     return _step(lake, "validation", "VALIDATION", "GOLD_LAYER", batch_id, work)
 
 
+def expire_landing(lake: Lake, cfg: TableConfig, as_of: str, days: int = LANDING_DAYS) -> int:
+    """Delete landing partitions older than the retention; returns how many."""
+    path = f"{lake.path('landing')}/{cfg.source_system}/{cfg.table_name}"
+    return files.drop_partitions(lake.spark, files.expired_partitions(lake.spark, path, as_of, days))
+
+
+def maintain_silver(lake: Lake, cfg: TableConfig, keys: Sequence[str], file_count: int) -> int:
+    """Rewrite the current state clustered by ``keys``, then delete replaced states; returns how many
+    directories went. For plain and history tables, at a time without running jobs."""
+    target = lake.path("silver", cfg.silver_table)
+    current = versions.read_current(lake.spark, target, lake.fmt)
+    history = scd.CURRENT if scd.CURRENT in current.columns else None
+    versions.write_version(files.compact(current, keys, file_count), target, history, lake.fmt)
+    return files.drop_partitions(lake.spark, versions.superseded(lake.spark, target))
+
+
 def run_batch(lake: Lake, batch_id: str, tables: Sequence[tuple[TableConfig, DataFrame]],
               silver_options: Mapping[str, dict] | None = None,
               gold_options: Mapping | None = None,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -23,8 +24,7 @@ def shared_root(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         return tempfile.mkdtemp(prefix=f"{name}-")
-    unique = spark.sql("select uuid()").first()[0]
-    return f"{base.rstrip('/')}/{name}-{unique}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4()}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

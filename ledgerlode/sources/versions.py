@@ -116,3 +116,21 @@ def read_history(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
         return current
     closed = spark.read.format(fmt).schema(current.drop(CURRENT).schema).load(parts)
     return current.unionByName(closed.withColumn(CURRENT, F.lit(False)))
+
+
+def superseded(spark: SparkSession, root: str) -> list[str]:
+    """Directories that no reader needs any more: replaced states and partitions, never closed history.
+    Drop them once no job that started before the newest version is still running."""
+    done = committed(spark, root)
+    needed = set(newest_partitions(spark, root).values())
+    old: list[str] = []
+    for number in done[:-1]:
+        directory = _directory(root, number)
+        names = _partitions(spark, directory)
+        if not names:
+            old.append(directory)
+        for name in names:
+            path = f"{directory}/{name}"
+            if name != f"{CURRENT}=false" and path not in needed:
+                old.append(path)
+    return old

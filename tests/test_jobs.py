@@ -238,3 +238,15 @@ def test_later_batch_with_new_versions_keeps_fact_grain(spark, lake):
     fact = jobs.read_gold(lake, "FactFraud")
     assert [r.case_status for r in fact.collect()] == ["CLOSED"]
     assert fact.where(F.col("customer_sk").isNull()).count() == 0
+
+
+def test_maintenance(spark, lake):
+    load(lake, CUSTOMER, "b1", customers(spark, [("c1", "A"), ("c2", "A")]))
+    lake.load_ts = "2026-07-19 02:00:00"
+    load(lake, CUSTOMER, "b2", customers(spark, [("c1", "B")]))
+    before = sorted(map(str, jobs.read_silver(lake, "silver_customer", history=True).collect()))
+    assert jobs.maintain_silver(lake, CUSTOMER, ["customer_id"], 2) == 2
+    after = sorted(map(str, jobs.read_silver(lake, "silver_customer", history=True).collect()))
+    assert before == after
+    assert jobs.expire_landing(lake, CUSTOMER, "2026-07-20") == 0
+    assert jobs.expire_landing(lake, CUSTOMER, "2026-09-01") == 1
