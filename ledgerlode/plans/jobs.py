@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlode.operators import quality, rows, scd, star
@@ -30,6 +30,7 @@ class Lake:
     load_ts: str
     fmt: str = "parquet"
     digest_mode: str = "compat"
+    parallel: int = 8            # tables loaded at a time
     log: list[dict] = field(default_factory=list)
 
     def path(self, layer: str, table: str = "") -> str:
@@ -49,6 +50,13 @@ class Lake:
             self.log.clear()
 
 
+    def each(self, work: Callable, items: Iterable) -> list:
+        """Apply independent Spark work to every item, several at a time: one small table alone does
+        not fill a cluster. The first failure is raised."""
+        with ThreadPoolExecutor(self.parallel) as pool:
+            return list(pool.map(work, items))
+
+
 def _step(lake: Lake, step: str, layer: str, table: str, batch_id: str, work) -> dict[str, int]:
     """Run one unit of work between its log events; a failure is logged and raised again."""
     begun = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -202,35 +210,42 @@ def build_gold(lake: Lake, batch_id: str,
     with gigabytes per day, ``month`` (an added column ``month_sk``) smaller ones.
     """
     def work():
-        written = 0
         days = star.dim_date(lake.spark, *calendar)
         files.overwrite_path(days, lake.path("gold", "DimDate"), lake.fmt)
         days = read_gold(lake, "DimDate")
-        for d in dimensions:
+
+        def dimension(d: gold.Dimension) -> int:
             silver = read_silver(lake, d.silver, history=d.history)
             order = [d.natural_key, scd.START] if d.history else [d.natural_key]
-            keyed, seen = files.counted(surrogate_key(silver, order, d.sk, key_mode), d.name)
-            files.overwrite_path(keyed, lake.path("gold", d.name), lake.fmt)
-            written += files.observed(seen)
-        lookups = {d.name: (star.current_lookup(read_gold(lake, d.name), d.natural_key, d.sk),
-                            d.natural_key) for d in dimensions}
-        for f in facts:
-            fact = star.resolve_fact(read_silver(lake, f.silver), [lookups[n] for n in f.dimensions],
-                                     f.columns, days, f.date_column)
+            return store(surrogate_key(silver, order, d.sk, key_mode), d.name)
+
+        def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
+            df, seen = files.counted(df, name)
+            files.overwrite_path(df, lake.path("gold", name), lake.fmt, partition_by)
+            return files.observed(seen)
+
+        def lookup(name: str) -> tuple[DataFrame, str]:
+            d = next(d for d in dimensions if d.name == name)
+            return star.current_lookup(read_gold(lake, name), d.natural_key, d.sk), d.natural_key
+
+        def fact(f: gold.Fact) -> int:
+            df = star.resolve_fact(read_silver(lake, f.silver), [lookup(n) for n in f.dimensions],
+                                   f.columns, days, f.date_column)
             partition_by = f.partition_by
             if partition_by and date_partition == "month":
-                fact = fact.withColumn("month_sk", F.floor(F.col("date_sk") / 100).cast("int"))
+                df = df.withColumn("month_sk", F.floor(F.col("date_sk") / 100).cast("int"))
                 partition_by = ("month_sk",)
-            fact, seen = files.counted(fact, f.name)
-            files.overwrite_path(fact, lake.path("gold", f.name), lake.fmt, partition_by)
-            written += files.observed(seen)
-        if revenue is not None:
-            fact, seen = files.counted(star.fact_revenue(
+            return store(df, f.name, partition_by)
+
+        def earnings(by: str) -> int:
+            return store(star.fact_revenue(
                 read_silver(lake, "silver_interest_charge"), read_silver(lake, "silver_fee"),
-                lookups["DimAccount"][0], by=revenue), "FactRevenue")
-            files.overwrite_path(fact, lake.path("gold", "FactRevenue"), lake.fmt)
-            written += files.observed(seen)
-        return {"rows_written": written}
+                lookup("DimAccount")[0], by=by), "FactRevenue")
+
+        written = lake.each(dimension, dimensions)
+        built = [(fact, f) for f in facts] + ([(earnings, revenue)] if revenue else [])
+        written += lake.each(lambda job: job[0](job[1]), built)
+        return {"rows_written": sum(written)}
     return _step(lake, "gold", "GOLD", "ALL_DIMENSIONS_AND_FACTS", batch_id, work)
 
 
@@ -278,19 +293,18 @@ def run_batch(lake: Lake, batch_id: str, tables: Sequence[tuple[TableConfig, Dat
     A failing table is recorded and the others still load; gold and the gate run only when every table
     succeeded. The run log is appended once, also when the batch fails.
     """
-    results = []
+    def load(item: tuple[TableConfig, DataFrame]) -> dict:
+        cfg, source = item
+        try:
+            land(lake, cfg, batch_id, source)
+            load_bronze(lake, cfg, batch_id)
+            to_silver(lake, cfg, batch_id, **(silver_options or {}).get(cfg.table_name, {}))
+        except Exception as error:  # noqa: BLE001  (logged by its step; the batch fails below)
+            return {"table_name": cfg.table_name, "status": "FAILED", "error": str(error)}
+        return {"table_name": cfg.table_name, "status": "SUCCESS"}
+
     try:
-        for cfg, source in tables:
-            if not cfg.active_flag:
-                continue
-            try:
-                land(lake, cfg, batch_id, source)
-                load_bronze(lake, cfg, batch_id)
-                to_silver(lake, cfg, batch_id, **(silver_options or {}).get(cfg.table_name, {}))
-                results.append({"table_name": cfg.table_name, "status": "SUCCESS"})
-            except (PySparkException, quality.DataQualityError) as error:
-                results.append({"table_name": cfg.table_name, "status": "FAILED",
-                                "error": str(error)})
+        results = lake.each(load, [t for t in tables if t[0].active_flag])
         failed = [r["table_name"] for r in results if r["status"] == "FAILED"]
         if failed:
             raise quality.DataQualityError(f"gold not built, tables failed: {failed}")
