@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import tempfile
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -18,23 +19,41 @@ FORMATS = ("parquet", "orc", "delta", "jdbc", "table", *TEXT_FORMATS)
 LANDING_LEVELS = ("ingestion_date", "batch_id")
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    """One folder per driver process in local mode, gone when the process ends."""
+    folder = tempfile.TemporaryDirectory(prefix="ledgerlode-")
+    atexit.register(folder.cleanup)
+    return folder.name
+
+
 def shared_root(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared directory the cluster names in ``spark.checkpoint.dir``. Only where
-    that is unset, as in tests, a local temporary folder is made."""
+    """A path, not yet there, under the shared directory the cluster names in ``spark.checkpoint.dir``.
+    Where that is unset a session in local mode, as in tests, gets a directory of its own; on a cluster
+    there is no folder that every machine sees, so it is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        return tempfile.mkdtemp(prefix=f"{name}-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all machines share")
+        base = _local_root()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4()}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """The frame written once to the shared folder and read back. Use it where several scans follow:
-    it cuts the lineage, survives lost executors, and the scans prune columns."""
-    path = shared_root(df.sparkSession, name)
+    it cuts the lineage, survives lost executors, and the scans prune columns. Give the ``path`` to be
+    able to ``discard`` the files after use."""
+    path = path or shared_root(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> bool:
+    """Delete stored files that nothing reads any more."""
+    return _delete(spark, path)
+
+
 def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
