@@ -1,4 +1,4 @@
 """Importing this module fills the registry of the package."""
 
-from ledgerlode.llm import queries_mix_shard, queries_text  # noqa: F401
+from ledgerlode.llm import queries_mix_shard, queries_pairs, queries_text  # noqa: F401
 from ledgerlode.llm.registry import QUERIES, SQL  # noqa: F401
