@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlode.llm import arrays as A
@@ -203,8 +204,9 @@ def _links(table: pa.Table) -> pa.Table:
     ids = table.column("member").to_numpy()
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
-    blobs = table.column("shingles").to_pylist()
-    sets = [np.frombuffer(blobs[i], np.uint64) for i in order]
+    blobs = table.column("zipped").to_pylist()
+    unzip = zstandard.ZstdDecompressor().decompress
+    sets = list(_sets(pa.array([unzip(blobs[i]) for i in order], pa.large_binary())))
     allowed = None
     if "side" in table.column_names:
         side = table.column("side").to_numpy()[order]
@@ -218,10 +220,16 @@ def _links(table: pa.Table) -> pa.Table:
 _LINK = "a long, b long"
 
 
-def similar_links(documents: DataFrame, reps: DataFrame, parts: int, block_rows: int = BLOCK_ROWS,
+def _classes(sets: DataFrame, *more) -> DataFrame:
+    """Documents with equal sets as one row, led by the smallest id."""
+    return (sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
+                .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), *more))
+
+
+def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts: int, block_rows: int = BLOCK_ROWS,
                   block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """Links ``a, b`` that connect the same documents as all links between the representatives ``rep, n,
-    prefix`` do.
+    """Links ``a, b`` that connect the same documents as all links between the representatives ``rep, n`` of the
+    document ``sets`` do.
 
     A group is a center and the documents that share a prefix shingle with it (``_stars``); its product finds
     every link in it. A group that exceeds a block is cut into chunks that each hold the center too; then the
@@ -229,19 +237,20 @@ def similar_links(documents: DataFrame, reps: DataFrame, parts: int, block_rows:
     chunks at a time. Documents of the center's component need no pairs with each other.
     """
     spark = documents.sparkSession
-    stars = (reps.select("rep", "n", "prefix").mapInArrow(_postings(parts), "part int, block binary")
+    stars = (_classes(sets, F.first("prefix").alias("prefix")).drop("digest").mapInArrow(_postings(parts), "part int, block binary")
                  .groupBy("part").applyInArrow(_stars, "center long, member long").distinct())
     members_path = shared_root(spark, "ngram-stars")
     stars = stored(stars, "", members_path)
     members = stars.unionByName(stars.select("center", F.col("center").alias("member")).distinct())
 
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [s.tobytes() for s in _sets(batch.column("text"))]
-        names = [n for n in batch.schema.names if n != "text"]
-        return pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(found, pa.binary())],
-                                          [*names, "shingles"])
+    def zipped(batch: pa.RecordBatch) -> pa.RecordBatch:
+        press = zstandard.ZstdCompressor(level=3).compress
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        return A.batch_of(member=batch.column("doc_id"),
+                          zipped=pa.array([press(t or b"") for t in texts], pa.binary()))
 
-    texts = documents.select(F.col("doc_id").alias("member"), "text")
+    # Texts are smaller than their shingles, and smaller still compressed one by one before the shuffles.
+    texts = documents.select("doc_id", "text").mapInArrow(A.by_batch(zipped), "member long, zipped binary")
     sized = members.join(reps.select(F.col("rep").alias("member"), "n"), "member")
     chunks = (sized.groupBy("center").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("total"))
                    .select("center", F.greatest(F.lit(1), F.ceil(F.col("rows") / block_rows),
@@ -254,9 +263,8 @@ def similar_links(documents: DataFrame, reps: DataFrame, parts: int, block_rows:
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = placed.where("member <> center").unionByName(everywhere).select("center", "member", "chunk")
     links_path = shared_root(spark, "ngram-links")
-    links = stored(dealt.join(texts, "member").mapInArrow(
-        A.by_batch(sets), "member long, center long, chunk long, shingles binary")
-        .groupBy("center", "chunk").applyInArrow(_links, _LINK).distinct(), "", links_path)
+    links = stored(dealt.join(texts, "member").groupBy("center", "chunk")
+                        .applyInArrow(_links, _LINK).distinct(), "", links_path)
     big = placed.where("chunks > 1")
     if not big.isEmpty():
         found = components(links)
@@ -272,9 +280,7 @@ def similar_links(documents: DataFrame, reps: DataFrame, parts: int, block_rows:
         across = (with_open.unionByName(with_all).where("chunk <> other")
                   .select("center", "member", "apart", F.least("chunk", "other").alias("low"),
                           F.greatest("chunk", "other").alias("high"), F.col("chunk").alias("side")))
-        more = (across.join(texts, "member").mapInArrow(
-            A.by_batch(sets), "member long, center long, apart boolean, low long, high long, side long, shingles binary")
-            .groupBy("center", "low", "high").applyInArrow(_links, _LINK))
+        more = across.join(texts, "member").groupBy("center", "low", "high").applyInArrow(_links, _LINK)
         links = stored(links.unionByName(more).distinct(), "ngram-links")
     discard(spark, members_path)
     discard(spark, large_path)
@@ -305,10 +311,8 @@ def ngram_components(documents: DataFrame, block_rows: int = BLOCK_ROWS,
     parts = max(2 * shuffles, int(size) // _PART_BYTES)
     sets = stored(document_sets(documents, frequent_shingles(documents)), "ngram-sets")
     reps_path = shared_root(spark, "ngram-classes")
-    reps = stored(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
-                      .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
-                           F.first("prefix").alias("prefix")), "", reps_path)
-    found = components(similar_links(documents, reps, parts, block_rows, block_shingles))
+    reps = stored(_classes(sets), "", reps_path)
+    found = components(similar_links(documents, sets, reps, parts, block_rows, block_shingles))
     lead = (reps.select("digest", "rep")
                 .join(found, F.col("rep") == F.col("node"), "left")
                 .select("digest", F.coalesce("component", "rep").alias("__component")))
