@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from re import _constants as K, _parser as regex_syntax
 
 import numpy as np
@@ -30,9 +30,9 @@ class Rule:
 BASE = (
     Rule("assign", "(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
          2, 6, True),
-    # Their least lengths of 20 and 24 stand in the patterns: a match is a whole run, so one that is too short
-    # holds no other, and the automaton reports long runs only.
-    Rule("access", "AKIA[A-Z0-9]{16,}"),
+    Rule("access", "AKIA[A-Z0-9]+", 0, 20),
+    # The least length of 24 stands in the pattern: a match is a whole run, so one that is too short holds no
+    # other, and the automaton reports long runs only.
     Rule("hex", "[0-9a-f]{24,}"),
 )
 #: Further kinds that the automaton finds in the same pass.
@@ -124,14 +124,18 @@ class _Nfa:
 
 @dataclass
 class Automaton:
-    """``table[state * 256 + byte]`` is the next state times 256. States from ``limit`` on accept the rules in
+    """``following[state * 256 + byte]`` is the next state times 256. States from ``limit`` on accept the rules in
     ``accepts``; state 0 is where it starts, and ``dead`` the state that nothing leaves."""
 
-    table: list[int]
+    following: np.ndarray
     limit: int
     accepts: list[tuple[int, ...]]
     dead: int
 
+    @cached_property
+    def table(self) -> list[int]:
+        return self.following.tolist()
+
 
 def _automaton(nfa: _Nfa, starts: list[int], ends: list[int], search: bool) -> Automaton:
     """Subset construction, then minimisation. With ``search`` a match may begin at any byte."""
@@ -139,27 +143,30 @@ def _automaton(nfa: _Nfa, starts: list[int], ends: list[int], search: bool) -> A
     of_byte = np.array([np.frombuffer(m, bool) for m in sorted(masks)]).T
     kinds, klass = np.unique(of_byte, axis=0, return_inverse=True)
     first = [int(np.flatnonzero(klass == c)[0]) for c in range(len(kinds))]
-    move = [[nfa.reach(to for m, to in steps if m[b]) for b in first] for steps in nfa.steps]
+    move = [[nfa.reach(to for m, to in steps if m[b]) for b in first] if steps else [] for steps in nfa.steps]
     begin = nfa.reach(starts)
     again = begin if search else 0
     number, order, rows = {begin: 0}, [begin], []
     for now in order:
         row = []
-        bits = [i for i in range(now.bit_length()) if now >> i & 1]
+        steps = [moves for i, moves in enumerate(move) if now >> i & 1 and moves]
         for c in range(len(first)):
             to = again
-            for s in bits:
-                to |= move[s][c]
+            for m in steps:
+                to |= m[c]
             if to not in number:
                 number[to] = len(order)
                 order.append(to)
             row.append(number[to])
         rows.append(row)
     step = np.array(rows)
+    salt = A.mix(np.arange(1, len(first) + 2, dtype=np.uint64))
     accept = np.array([sum(1 << r for r, e in enumerate(ends) if s >> e & 1) for s in order])
     part = np.unique(accept, return_inverse=True)[1]
     while True:
-        finer = np.unique(np.column_stack([part, part[step]]), axis=0, return_inverse=True)[1]
+        # States stay together while they and all their successors lie in the same parts.
+        name = A.mix(part.astype(np.uint64) + np.uint64(1))
+        finer = np.unique(name * salt[0] + (name[step] * salt[1:]).sum(axis=1, dtype=np.uint64), return_inverse=True)[1]
         if finer.max() == part.max():
             break
         part = finer
@@ -170,12 +177,10 @@ def _automaton(nfa: _Nfa, starts: list[int], ends: list[int], search: bool) -> A
     place = np.empty(len(one), int)
     place[rank] = np.arange(len(one))
     merged = place[part[step[one[rank]]]][:, klass]
-    values = [i * 256 for i in range(len(one))]
-    table = [values[i] for i in merged.ravel().tolist()]
     accepts = [tuple(r for r in range(len(ends)) if int(accept[one[p]]) >> r & 1) for p in rank]
     limit = 256 * next((i for i, a in enumerate(accepts) if a), len(accepts))
     dead = next((256 * i for i in range(len(one)) if not accepts[i] and (merged[i] == i).all()), -1)
-    return Automaton(table, limit, accepts, dead)
+    return Automaton(256 * merged.ravel().astype(np.int32), limit, accepts, dead)
 
 
 @lru_cache(maxsize=8)
@@ -211,14 +216,14 @@ def _run(automaton: Automaton, steps, at: int, move: int) -> int:
     return found
 
 
-def scan_bytes(data: bytes, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, int]]:
+def scan_bytes(data: bytes, rules: tuple[Rule, ...] = RULES, compiled=None) -> list[tuple[int, int, int]]:
     """Leftmost matches that do not overlap, per rule: (start, rule, end) in bytes, sorted.
 
     The searching automaton reads each byte once and says where a match of which rule has come to be complete; from
     there the rule's own automata find where the longest such match starts and ends. A match too short is
     consumed all the same.
     """
-    search, backward, forward, checks = compile_rules(rules)
+    search, backward, forward, checks = compiled or compile_rules(rules)
     table, limit, accepts = search.table, search.limit, search.accepts
     resume, found, state = [0] * len(rules), [], 0
     view = memoryview(data)
@@ -245,10 +250,12 @@ def scan_documents(documents: DataFrame) -> DataFrame:
     ``private_key`` after the base ones; ``base_sha256`` is the digest of the base spans alone. A null or empty
     text has none. Repeated rows give repeated results. Other columns are ignored; an empty table gives no rows.
     """
+    compiled = documents.sparkSession.sparkContext.broadcast(compile_rules(RULES))
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, digests, spans = [], [], []
         for data in batch.column("text").cast(pa.binary()).to_pylist():
-            found = scan_bytes(data) if data else []
+            found = scan_bytes(data, RULES, compiled.value) if data else []
             if found and not data.isascii():
                 # Code points before each byte: those bytes that do not continue one.
                 heads = np.concatenate(([0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)))
