@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _STEP = 0x9E3779B97F4A7C15
-_BYTE = mix(np.arange(1, 257, dtype=U64) * U64(_STEP))
+BYTE = mix(np.arange(1, 257, dtype=U64) * U64(_STEP))
 _BASE = 0xD1342543DE82EF95
 _powers: dict[str, np.ndarray] = {}
 
@@ -60,7 +60,7 @@ def span_digests(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 
 
 def byte_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_digests(prefix_digests(_BYTE[data]), starts, ends)
+    return span_digests(prefix_digests(BYTE[data]), starts, ends)
 
 
 def sequence_digests(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -84,11 +84,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+def slices(data: np.ndarray, offsets: np.ndarray, limit: int = _SLICE) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about 2 MB, at least one row each, so that working memory stays small."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = int(np.searchsorted(offsets, offsets[lo] + _SLICE, "right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1
         hi = min(n, max(hi, lo + 1))
         yield lo, hi
         lo = hi

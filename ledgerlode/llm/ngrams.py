@@ -104,15 +104,12 @@ def _postings(parts: int):
         row = np.repeat(np.arange(len(ids)), np.diff(offsets) // 8)
         part = (A.mix(shingle) % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((shingle, part))
-        edge = np.searchsorted(part[order], np.arange(parts + 1))
-        out_part, out = [], []
-        for p in range(parts):
-            if edge[p] < edge[p + 1]:
-                mine = order[edge[p]:edge[p + 1]]
-                rows, local = np.unique(row[mine], return_inverse=True)
-                out_part.append(p)
-                out.append(A.pack(shingle[mine], local.astype(np.int32), ids[rows], sizes[rows]))
-        return A.batch_of(part=np.array(out_part, np.int32), block=pa.array(out, pa.binary()))
+        edge = np.flatnonzero(np.diff(part[order], prepend=-1))
+        out = []
+        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(order)], strict=True):
+            rows, local = np.unique(row[order[a:b]], return_inverse=True)
+            out.append(A.pack(shingle[order[a:b]], local.astype(np.int32), ids[rows], sizes[rows]))
+        return A.batch_of(part=part[order][edge].astype(np.int32), block=pa.array(out, pa.binary()))
     return A.by_batch(work)
 
 
