@@ -89,6 +89,16 @@ def _pairs(hashing: Hashing, threshold: float):
         order = np.lexsort((node, side, label, dim, high, low, bucket))
         fields = np.stack([bucket, low, high, dim, label])[:, order]
         edge = np.flatnonzero(np.concatenate(([True], (fields[:, 1:] != fields[:, :-1]).any(axis=0), [True])))
+        # The buckets of each vector of this part, worked out once.
+        one, where = np.unique(node, return_index=True, return_inverse=True)[1:]
+        own = np.empty(len(one), object)
+        for d in np.unique(dim[one]).tolist():
+            at = np.flatnonzero(dim[one] == d)
+            x = np.stack([raw[offsets[i]:offsets[i + 1]].view(np.float64) for i in one[at]])
+            for start in range(0, len(at), 4096):
+                some = slice(start, start + 4096)
+                keys = np.sort(_own_keys(x[some], label[one[at[some]]], hashing).view(np.int64), axis=1)
+                own[at[some]] = list(keys)
         counts: dict[int, int] = {}
         links = [np.zeros((2, 0), np.int64)]
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
@@ -108,7 +118,7 @@ def _pairs(hashing: Hashing, threshold: float):
             links.append(np.stack([node[rows[label_of[moved]]], node[rows[moved]]]))
             # Of the buckets that both ends have, the least counts the link.
             first, second = np.nonzero(np.triu(linked))
-            keys = np.sort(_own_keys(x, label[rows], hashing).view(np.int64), axis=1)
+            keys = np.stack(own[where[rows]])
             here = bucket[rows[0]]
             smaller = keys < here
             counted = np.ones(len(first), bool)
