@@ -2,8 +2,9 @@
 
 A window is ``WINDOW`` consecutive units (words or bytes) of one document. Each window has an anchor, which its own
 content alone determines, so equal windows have equal anchors at equal places. Consecutive windows with the
-same anchor are one segment. Segments are dealt out by anchor; where they meet, the windows of
-different segments are compared, and ranges of units to remove go back to their documents.
+same anchor are one segment. First only short digests of the anchors' names are dealt out, to learn which names stand in
+several documents. The segments under those are then dealt out by anchor with their content; where they meet, the
+windows of different segments are compared, and ranges of units to remove go back to their documents.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from ledgerlode.llm import arrays as A
 
 WINDOW = 50
 _PART_BYTES = 8 << 20
-_WINDOWS = 1_000_000
+_WINDOWS = 500_000
 
 
 @dataclass
@@ -66,47 +67,163 @@ def range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
 Cut = Callable[[np.ndarray, np.ndarray], Segments]
 
 
-def _deal(cut: Cut, splitters: np.ndarray):
-    """The segments of a batch, one packed value per part. Where segments of a batch are equal, only those of the
-    smallest document go on; the others are known to be repeats."""
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def _code(name: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part that a name is counted in, and 32 more bits of it."""
+    return ((name >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), (name & _LOW).astype(np.uint32)
+
+
+def _cut_all(cut: Cut, data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> Segments:
+    found = []
+    for a, b in A.slices(data, offsets[lo:hi + 1], 1 << 20):
+        a, b = a + lo, b + lo
+        s = cut(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+        s.row = s.row + a
+        s.byte_start, s.byte_end = s.byte_start + offsets[a], s.byte_end + offsets[a]
+        found.append(s)
+    return Segments(*[np.concatenate([getattr(f, n) for f in found]) for n in Segments.__dataclass_fields__])
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    return A.slices(data, offsets, 6 << 20)
+
+
+def _announce(cut: Cut, parts: int):
+    """The names that each document has, one packed value per part. Of a name that several documents of a batch have,
+    one entry goes on, marked; that it is shared is known here."""
+    def work(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
         ids, marks = batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy()
         data, offsets = A.text_bytes(batch.column("text"))
-        found, texts = [], []
-        for lo, hi in A.slices(data, offsets, 1 << 20):
-            part = data[offsets[lo]:offsets[hi]]
-            s = cut(part, offsets[lo:hi + 1] - offsets[lo])
-            s.row = s.row + lo
-            s.byte_start, s.byte_end = s.byte_start + offsets[lo], s.byte_end + offsets[lo]
-            found.append(s)
-        if not found:
-            return A.batch_of(part=np.zeros(0, np.int32), block=pa.array([], pa.binary()))
-        s = Segments(*[np.concatenate([getattr(f, n) for f in found]) for n in Segments.__dataclass_fields__])
-        part = np.searchsorted(splitters, s.order, "right")
-        doc = ids[s.row]
-        order = np.lexsort((doc, s.digest, s.name, part))
-        name, digest = s.name[order], s.digest[order]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (name[1:] != name[:-1]) | (digest[1:] != digest[:-1])
-        least = doc[order][np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(order) else doc[order]
-        goes = doc[order] == least
-        edge = np.flatnonzero(np.diff(part[order], prepend=-1))
-        out_part, out = part[order][edge], []
-        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(order)], strict=True):
-            mine, known = order[a:b][goes[a:b]], order[a:b][~goes[a:b]]
-            rows, local = np.unique(s.row[np.concatenate((mine, known))], return_inverse=True)
-            length = s.byte_end[mine] - s.byte_start[mine]
-            out.append(A.pack(
-                ids[rows], marks[rows], local[len(mine):].astype(np.int32), s.first[known],
-                s.first[known] + s.count[known] - 1 + WINDOW, local[:len(mine)].astype(np.int32), s.first[mine],
-                s.count[mine].astype(np.int16), s.anchor[mine].astype(np.int16), s.name[mine], s.digest[mine],
-                length.astype(np.int32), data[A.ranges(s.byte_start[mine], length)]))
-        return A.batch_of(part=out_part.astype(np.int32), block=pa.array(out, pa.binary()))
+        out = []
+        for lo, hi in _pieces(data, offsets):
+            s = _cut_all(cut, data, offsets, lo, hi)
+            if not len(s.row):
+                continue
+            part, code = _code(s.name, parts)
+            key = part << 32 | code.astype(np.int64)
+            order = np.lexsort((s.row, key))
+            key, row = key[order], s.row[order]
+            one = np.ones(len(key), bool)
+            one[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+            key, row = key[one], row[one]
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = key[1:] != key[:-1]
+            first = np.flatnonzero(fresh)
+            doc = ids[row]
+            many = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+            shared = many[np.cumsum(fresh) - 1]
+            goes = ~shared | fresh
+            part, blobs = [], []
+            at = (key >> 32)[goes]
+            edge = np.flatnonzero(np.diff(at, prepend=-1))
+            for p, a, b in zip(at[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(at)], strict=True):
+                part.append(p)
+                rows, local = np.unique(row[goes][a:b], return_inverse=True)
+                by_row = np.argsort(local, kind="stable")
+                blobs.append(A.pack(ids[rows], marks[rows], np.bincount(local, minlength=len(rows)).astype(np.int32),
+                                    (key[goes][a:b] & 0xFFFFFFFF).astype(np.uint32)[by_row],
+                                    shared[goes][a:b][by_row], np.zeros(0, np.int64), np.zeros(0, np.int32),
+                                    np.zeros(0, np.int64)))
+            if shared.any():
+                rows, local = np.unique(row[shared], return_inverse=True)
+                by_row = np.argsort(local, kind="stable")
+                part.append(int(ids[lo] % parts))
+                blobs.append(A.pack(ids[rows], marks[rows], np.zeros(len(rows), np.int32), np.zeros(0, np.uint32),
+                                    np.zeros(0, bool), np.zeros(0, np.int64),
+                                    np.bincount(local, minlength=len(rows)).astype(np.int32), key[shared][by_row]))
+            out.append(A.batch_of(part=np.array(part, np.int32), block=pa.array(blobs, pa.binary())))
+        return out
     return A.by_batch(work)
 
 
+_NAMES = (np.int64, np.int64, np.int32, np.uint32, bool, np.int64, np.int32, np.int64)
+
+
+def _shared_names(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Which names several documents have, back to each of these: packed numbers of part and code."""
+    part = int(key[0].as_py())
+    read = [A.unpack(blob, *_NAMES) for blob in table.column("block").to_pylist()]
+    doc, mark = (np.concatenate([np.repeat(b[i], b[2]) for b in read]) for i in (0, 1))
+    code, known = (np.concatenate([b[i] for b in read]) for i in (3, 4))
+    order = np.lexsort((doc, code))
+    doc, mark, code, known = doc[order], mark[order], code[order], known[order]
+    found = [(np.concatenate([np.repeat(b[i], b[6]) for b in read if len(b[6])] or [np.zeros(0, np.int64)]))
+             for i in (0, 1)]
+    keys = [np.concatenate([b[7] for b in read])]
+    if len(code):
+        fresh = np.ones(len(code), bool)
+        fresh[1:] = code[1:] != code[:-1]
+        first = np.flatnonzero(fresh)
+        several = ((np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))
+                   | np.logical_or.reduceat(known, first))[np.cumsum(fresh) - 1] & ~known
+        found = [np.concatenate((found[0], doc[several])), np.concatenate((found[1], mark[several]))]
+        keys.append(code[several].astype(np.int64) | part << 32)
+    doc, mark, names = *found, np.concatenate(keys)
+    order = np.lexsort((mark, doc))
+    doc, mark, names = doc[order], mark[order], names[order]
+    edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])))) if len(doc) else order
+    blobs = [names[a:b].tobytes() for a, b in zip(edge, [*edge[1:], len(doc)], strict=True)] if len(doc) else []
+    return pa.table({"doc_id": doc[edge], "mark": mark[edge], "names": pa.array(blobs, pa.binary())})
+
+
+def _deal(cut: Cut, splitters: np.ndarray, parts: int):
+    """The segments of a batch under shared names, one packed value per part. Where segments of a batch are equal, only
+    those of the smallest document go on; the others are known to be repeats."""
+    def work(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        names = batch.column("names")
+        batch = batch.filter(names.is_valid())
+        ids, marks = batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy()
+        names = batch.column("names").to_pylist()
+        data, offsets = A.text_bytes(batch.column("text"))
+        out = []
+        for lo, hi in _pieces(data, offsets):
+            s = _cut_all(cut, data, offsets, lo, hi)
+            part, code = _code(s.name, parts)
+            shared = np.zeros(len(part), bool)
+            key = part << 32 | code.astype(np.int64)
+            edge = np.searchsorted(s.row, np.arange(lo, hi + 1))
+            for i in range(lo, hi):
+                mine = slice(edge[i - lo], edge[i - lo + 1])
+                shared[mine] = np.isin(key[mine], np.frombuffer(b"".join(names[i]), np.int64))
+            s = Segments(*[getattr(s, n)[shared] for n in Segments.__dataclass_fields__])
+            if len(s.row):
+                out.append(_dealt(s, ids, marks, data, splitters, int(ids[lo] % (len(splitters) + 1))))
+        return out
+    return A.by_batch(work)
+
+
+def _dealt(s: Segments, ids, marks, data, splitters, own_part: int) -> pa.RecordBatch:
+    part = np.searchsorted(splitters, s.order, "right")
+    doc = ids[s.row]
+    order = np.lexsort((doc, s.digest, s.name, part))
+    name, digest = s.name[order], s.digest[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (name[1:] != name[:-1]) | (digest[1:] != digest[:-1])
+    goes = doc[order] == doc[order][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    known, order = order[~goes], order[goes]
+    out_part, out = [], []
+    edge = np.flatnonzero(np.diff(part[order], prepend=-1))
+    nothing = np.zeros(0, np.int64)
+    for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(order)], strict=True):
+        mine = order[a:b]
+        rows, local = np.unique(s.row[mine], return_inverse=True)
+        length = s.byte_end[mine] - s.byte_start[mine]
+        out_part.append(int(part[mine[0]]))
+        out.append(A.pack(ids[rows], marks[rows], nothing.astype(np.int32), nothing, nothing, local.astype(np.int32),
+                          s.first[mine], s.count[mine].astype(np.int16), s.anchor[mine].astype(np.int16),
+                          s.name[mine], length.astype(np.int32), data[A.ranges(s.byte_start[mine], length)]))
+    if len(known):
+        rows, local = np.unique(s.row[known], return_inverse=True)
+        out_part.append(own_part)
+        out.append(A.pack(ids[rows], marks[rows], local.astype(np.int32), s.first[known],
+                          s.first[known] + s.count[known] - 1 + WINDOW, *[nothing.astype(k) for k in _KINDS[5:]]))
+    return A.batch_of(part=np.array(out_part, np.int32), block=pa.array(out, pa.binary()))
+
+
 _KINDS = (np.int64, np.int64, np.int32, np.int64, np.int64, np.int32, np.int64, np.int16, np.int16, np.uint64,
-          np.uint64, np.int32, np.uint8)
+          np.int32, np.uint8)
 
 #: From the content of segments, and windows given by segment and unit, to an order of the windows within the same
 #: group, and whether each one in that order differs from the one before.
@@ -114,7 +231,7 @@ Compare = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray],
 
 
 def _chunks(group: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of entries of about a million windows that do not part a group."""
+    """Ranges of entries of about half a million windows that do not part a group."""
     edge = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
     total = np.concatenate(([0], np.cumsum(count)))
     at = 0
@@ -132,8 +249,9 @@ def _resolve(compare: Compare):
         span = [np.concatenate([b[i][b[k]] for b in read]) for i, k in ((0, 2), (1, 2))]
         spans = [(span[0], span[1], np.concatenate([b[3] for b in read]), np.concatenate([b[4] for b in read]))]
         doc, mark = (np.concatenate([b[i][b[5]] for b in read]) for i in (0, 1))
-        first, count, anchor, name, digest, length, content = (
-            np.concatenate([b[i] for b in read]) for i in range(6, 13))
+        first, count, anchor, name, length, content = (np.concatenate([b[i] for b in read]) for i in range(6, 12))
+        digest = np.concatenate([A.byte_digests(b[11], (end := np.cumsum(b[10], dtype=np.int64)) - b[10], end)
+                                 for b in read])
         del read
         at = np.cumsum(length.astype(np.int64)) - length
         order = np.lexsort((mark, doc, digest, name))
@@ -207,12 +325,19 @@ def repeated_spans(documents: DataFrame, cut: Cut, compare: Compare, splitters:
 
     Rows with one id and different texts keep apart by a hash of the text.
     """
+    parts = len(splitters) + 1
+    ids = ["doc_id", "mark"]
     marked = documents.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    spans = (marked.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
-                   .mapInArrow(_deal(cut, splitters), "part int, block binary")
+    names = (marked.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
+                   .mapInArrow(_announce(cut, parts), "part int, block binary")
+                   .groupBy("part").applyInArrow(_shared_names, "doc_id long, mark long, names binary")
+                   .groupBy(*ids).agg(F.collect_list("names").alias("names")))
+    # Both joins deal the texts out in the same way, so Spark does it once.
+    spans = (marked.join(names, ids, "left")
+                   .mapInArrow(_deal(cut, splitters, parts), "part int, block binary")
                    .groupBy("part").applyInArrow(_resolve(compare), "doc_id long, mark long, spans binary")
-                   .groupBy("doc_id", "mark").agg(F.collect_list("spans").alias("spans")))
-    return marked.join(spans, ["doc_id", "mark"], "left").select("doc_id", "text", "spans")
+                   .groupBy(*ids).agg(F.collect_list("spans").alias("spans")))
+    return marked.join(spans, ids, "left").select("doc_id", "text", "spans")
 
 
 def removed(spans: list[bytes] | None, n: int) -> np.ndarray:
