@@ -131,7 +131,7 @@ def cover(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 def pack(*arrays: np.ndarray) -> bytes:
     """Columns of numbers as one compressed value. The reader knows the types."""
     head = np.array([len(arrays), *[a.nbytes for a in arrays]], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(
+    return zstandard.ZstdCompressor(level=3).compress(
         head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 

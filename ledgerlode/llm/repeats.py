@@ -20,7 +20,7 @@ from ledgerlode.llm import arrays as A
 
 WINDOW = 50
 _PART_BYTES = 8 << 20
-_WINDOWS = 500_000
+_WINDOWS = 100_000
 
 
 @dataclass
@@ -141,31 +141,54 @@ def _announce(cut: Cut, parts: int):
 _NAMES = (np.int64, np.int64, np.int32, np.uint32, bool, np.int64, np.int32, np.int64)
 
 
-def _shared_names(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _shared_names(parts: int):
     """Which names several documents have, back to each of these: packed numbers of part and code."""
-    part = int(key[0].as_py())
-    read = [A.unpack(blob, *_NAMES) for blob in table.column("block").to_pylist()]
-    doc, mark = (np.concatenate([np.repeat(b[i], b[2]) for b in read]) for i in (0, 1))
-    code, known = (np.concatenate([b[i] for b in read]) for i in (3, 4))
-    order = np.lexsort((doc, code))
-    doc, mark, code, known = doc[order], mark[order], code[order], known[order]
-    found = [(np.concatenate([np.repeat(b[i], b[6]) for b in read if len(b[6])] or [np.zeros(0, np.int64)]))
-             for i in (0, 1)]
-    keys = [np.concatenate([b[7] for b in read])]
-    if len(code):
-        fresh = np.ones(len(code), bool)
-        fresh[1:] = code[1:] != code[:-1]
-        first = np.flatnonzero(fresh)
-        several = ((np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))
-                   | np.logical_or.reduceat(known, first))[np.cumsum(fresh) - 1] & ~known
-        found = [np.concatenate((found[0], doc[several])), np.concatenate((found[1], mark[several]))]
-        keys.append(code[several].astype(np.int64) | part << 32)
-    doc, mark, names = *found, np.concatenate(keys)
-    order = np.lexsort((mark, doc))
-    doc, mark, names = doc[order], mark[order], names[order]
-    edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])))) if len(doc) else order
-    blobs = [names[a:b].tobytes() for a, b in zip(edge, [*edge[1:], len(doc)], strict=True)] if len(doc) else []
-    return pa.table({"doc_id": doc[edge], "mark": mark[edge], "names": pa.array(blobs, pa.binary())})
+    def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        part = int(key[0].as_py())
+        read = [A.unpack(blob, *_NAMES) for blob in table.column("block").to_pylist()]
+        doc, mark = (np.concatenate([np.repeat(b[i], b[2]) for b in read]) for i in (0, 1))
+        code, known = (np.concatenate([b[i] for b in read]) for i in (3, 4))
+        order = np.lexsort((doc, code))
+        doc, mark, code, known = doc[order], mark[order], code[order], known[order]
+        found = [(np.concatenate([np.repeat(b[i], b[6]) for b in read if len(b[6])] or [np.zeros(0, np.int64)]))
+                 for i in (0, 1)]
+        keys = [np.concatenate([b[7] for b in read])]
+        if len(code):
+            fresh = np.ones(len(code), bool)
+            fresh[1:] = code[1:] != code[:-1]
+            first = np.flatnonzero(fresh)
+            several = ((np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))
+                       | np.logical_or.reduceat(known, first))[np.cumsum(fresh) - 1] & ~known
+            found = [np.concatenate((found[0], doc[several])), np.concatenate((found[1], mark[several]))]
+            keys.append(code[several].astype(np.int64) | part << 32)
+        return _sent_back(parts, *found, np.concatenate(keys))
+    return work
+
+
+def _sent_back(buckets: int, doc: np.ndarray, mark: np.ndarray, *values: np.ndarray) -> pa.Table:
+    """Values for documents, one packed value per bucket of documents."""
+    bucket = (A.mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((*values[::-1], mark, doc, bucket))
+    edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    blobs = []
+    for a, b in zip(edge.tolist(), np.append(edge[1:], len(order)).tolist()):
+        mine = order[a:b]
+        blobs.append(A.pack(doc[mine], mark[mine], *[np.diff(v[mine], prepend=0) for v in values]))
+    return pa.table({"bucket": bucket[order][edge].astype(np.int32), "block": pa.array(blobs, pa.binary())})
+
+
+def _by_document(width: int):
+    """One row per document out of a bucket of them, with its values side by side in one packed value."""
+    def work(table: pa.Table) -> pa.Table:
+        read = [A.unpack(blob, *[np.int64] * (2 + width)) for blob in table.column("block").to_pylist()]
+        doc, mark = (np.concatenate([b[i] for b in read]) for i in (0, 1))
+        values = np.stack([np.concatenate([np.cumsum(b[2 + k]) for b in read]) for k in range(width)], axis=1)
+        order = np.lexsort((mark, doc))
+        doc, mark, values = doc[order], mark[order], values[order]
+        edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]))))
+        blobs = [values[a:b].tobytes() for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(doc)], strict=True)]
+        return pa.table({"doc_id": doc[edge], "mark": mark[edge], "found": pa.array(blobs, pa.binary())})
+    return work
 
 
 def _deal(cut: Cut, splitters: np.ndarray, parts: int):
@@ -186,7 +209,7 @@ def _deal(cut: Cut, splitters: np.ndarray, parts: int):
             edge = np.searchsorted(s.row, np.arange(lo, hi + 1))
             for i in range(lo, hi):
                 mine = slice(edge[i - lo], edge[i - lo + 1])
-                shared[mine] = np.isin(key[mine], np.frombuffer(b"".join(names[i]), np.int64))
+                shared[mine] = np.isin(key[mine], np.frombuffer(names[i], np.int64))
             s = Segments(*[getattr(s, n)[shared] for n in Segments.__dataclass_fields__])
             if len(s.row):
                 out.append(_dealt(s, ids, marks, data, splitters, int(ids[lo] % (len(splitters) + 1))))
@@ -231,7 +254,7 @@ Compare = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray],
 
 
 def _chunks(group: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of entries of about half a million windows that do not part a group."""
+    """Ranges of entries of about a hundred thousand windows that do not part a group."""
     edge = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
     total = np.concatenate(([0], np.cumsum(count)))
     at = 0
@@ -242,7 +265,7 @@ def _chunks(group: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def _resolve(compare: Compare):
+def _resolve(compare: Compare, parts: int):
     """Ranges to remove, out of all segments of a part."""
     def work(table: pa.Table) -> pa.Table:
         read = [A.unpack(blob, *_KINDS) for blob in table.column("block").to_pylist()]
@@ -304,12 +327,7 @@ def _resolve(compare: Compare):
             rows = A.ranges(lead[of], own)
             spans.append((doc[rows], mark[rows], first[rows] + np.repeat(start, own), first[rows] + np.repeat(end, own)))
         doc, mark, start, end = (np.concatenate([s[i] for s in spans]) for i in range(4))
-        order = np.lexsort((start, mark, doc))
-        doc, mark = doc[order], mark[order]
-        edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])))) if len(doc) else order
-        pairs = np.stack([start[order], end[order]], axis=1)
-        blobs = [pairs[a:b].tobytes() for a, b in zip(edge, [*edge[1:], len(doc)])]
-        return pa.table({"doc_id": doc[edge], "mark": mark[edge], "spans": pa.array(blobs, pa.binary())})
+        return _sent_back(parts, doc, mark, start, end)
     return work
 
 
@@ -328,21 +346,23 @@ def repeated_spans(documents: DataFrame, cut: Cut, compare: Compare, splitters:
     parts = len(splitters) + 1
     ids = ["doc_id", "mark"]
     marked = documents.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    block = "bucket int, block binary"
+    documents_of = "doc_id long, mark long, found binary"
     names = (marked.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
                    .mapInArrow(_announce(cut, parts), "part int, block binary")
-                   .groupBy("part").applyInArrow(_shared_names, "doc_id long, mark long, names binary")
-                   .groupBy(*ids).agg(F.collect_list("names").alias("names")))
+                   .groupBy("part").applyInArrow(_shared_names(parts), block)
+                   .groupBy("bucket").applyInArrow(_by_document(1), documents_of).withColumnRenamed("found", "names"))
     # Both joins deal the texts out in the same way, so Spark does it once.
     spans = (marked.join(names, ids, "left")
                    .mapInArrow(_deal(cut, splitters, parts), "part int, block binary")
-                   .groupBy("part").applyInArrow(_resolve(compare), "doc_id long, mark long, spans binary")
-                   .groupBy(*ids).agg(F.collect_list("spans").alias("spans")))
+                   .groupBy("part").applyInArrow(_resolve(compare, parts), block)
+                   .groupBy("bucket").applyInArrow(_by_document(2), documents_of).withColumnRenamed("found", "spans"))
     return marked.join(spans, ids, "left").select("doc_id", "text", "spans")
 
 
-def removed(spans: list[bytes] | None, n: int) -> np.ndarray:
+def removed(spans: bytes | None, n: int) -> np.ndarray:
     """Which of n units the spans cover."""
     if not spans:
         return np.zeros(n, bool)
-    pairs = np.frombuffer(b"".join(spans), np.int64).reshape(-1, 2)
+    pairs = np.frombuffer(spans, np.int64).reshape(-1, 2)
     return A.cover(pairs[:, 0], pairs[:, 1], n)
