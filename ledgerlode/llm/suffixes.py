@@ -12,7 +12,7 @@ from ledgerlode.llm import arrays as A
 from ledgerlode.llm.repeats import WINDOW, Segments, part_count, range_minima, repeated_spans, removed, same_anchor
 
 #: Bytes of the token that a window's suffix is filed under.
-TOKEN = 12
+TOKEN = 20
 _SAMPLE_DOCUMENTS = 2000
 _SAMPLE_TOKENS = 50
 
@@ -105,7 +105,7 @@ def remove_repeated_bytes(documents: DataFrame) -> DataFrame:
     A byte goes when a 50-byte string covers it that also starts in a document with a smaller id. Strings are
     those of the input; they may overlap and never cross documents.
 
-    The suffixes at all places are compared as far as 50 bytes. They are filed under the token of 12 bytes in
+    The suffixes at all places are compared as far as 50 bytes. They are filed under the token of 20 bytes in
     the string with the smallest digest, not under their first bytes: suffixes that follow each other then stay
     in one segment and share its bytes, where each by itself would carry 50. Sampled splitters range-partition the
     tokens by their leading bytes; equal tokens are never parted, so a string meets all its equals in one
