@@ -145,9 +145,9 @@ def remove_repeated_words(documents: DataFrame) -> DataFrame:
     nothing from each other. Other columns are ignored; an empty table gives no rows.
     """
     documents = documents.select("doc_id", "text")
-    parts = part_count(documents)
+    parts, buckets = part_count(documents)
     splitters = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
-    found = repeated_spans(documents, _cut, _compare, splitters)
+    found = repeated_spans(documents, _cut, _compare, splitters, buckets)
 
     def work(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
         out = []

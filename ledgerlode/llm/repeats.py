@@ -141,7 +141,7 @@ def _announce(cut: Cut, parts: int):
 _NAMES = (np.int64, np.int64, np.int32, np.uint32, bool, np.int64, np.int32, np.int64)
 
 
-def _shared_names(parts: int):
+def _shared_names(buckets: int):
     """Which names several documents have, back to each of these: packed numbers of part and code."""
     def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         part = int(key[0].as_py())
@@ -161,7 +161,7 @@ def _shared_names(parts: int):
                        | np.logical_or.reduceat(known, first))[np.cumsum(fresh) - 1] & ~known
             found = [np.concatenate((found[0], doc[several])), np.concatenate((found[1], mark[several]))]
             keys.append(code[several].astype(np.int64) | part << 32)
-        return _sent_back(parts, *found, np.concatenate(keys))
+        return _sent_back(buckets, *found, np.concatenate(keys))
     return work
 
 
@@ -265,7 +265,7 @@ def _chunks(group: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def _resolve(compare: Compare, parts: int):
+def _resolve(compare: Compare, buckets: int):
     """Ranges to remove, out of all segments of a part."""
     def work(table: pa.Table) -> pa.Table:
         read = [A.unpack(blob, *_KINDS) for blob in table.column("block").to_pylist()]
@@ -327,18 +327,20 @@ def _resolve(compare: Compare, parts: int):
             rows = A.ranges(lead[of], own)
             spans.append((doc[rows], mark[rows], first[rows] + np.repeat(start, own), first[rows] + np.repeat(end, own)))
         doc, mark, start, end = (np.concatenate([s[i] for s in spans]) for i in range(4))
-        return _sent_back(parts, doc, mark, start, end)
+        return _sent_back(buckets, doc, mark, start, end)
     return work
 
 
-def part_count(documents: DataFrame) -> int:
-    """Parts of about 8 MB of text, twice the shuffle partitions at least."""
+def part_count(documents: DataFrame) -> tuple[int, int]:
+    """Parts of about 8 MB of text, twice the shuffle partitions at least; and as many buckets of documents, by the
+    size alone, so that more partitions do not cut what goes back into smaller values."""
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shuffles = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2 * shuffles, int(size) // _PART_BYTES)
+    return max(2 * shuffles, int(size) // _PART_BYTES), max(24, int(size) // _PART_BYTES)
 
 
-def repeated_spans(documents: DataFrame, cut: Cut, compare: Compare, splitters: np.ndarray) -> DataFrame:
+def repeated_spans(documents: DataFrame, cut: Cut, compare: Compare, splitters: np.ndarray,
+                   buckets: int) -> DataFrame:
     """``doc_id, text, spans`` for each document; ``spans`` are packed ranges of units to remove, or null.
 
     Rows with one id and different texts keep apart by a hash of the text.
@@ -350,12 +352,12 @@ def repeated_spans(documents: DataFrame, cut: Cut, compare: Compare, splitters:
     documents_of = "doc_id long, mark long, found binary"
     names = (marked.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
                    .mapInArrow(_announce(cut, parts), "part int, block binary")
-                   .groupBy("part").applyInArrow(_shared_names(parts), block)
+                   .groupBy("part").applyInArrow(_shared_names(buckets), block)
                    .groupBy("bucket").applyInArrow(_by_document(1), documents_of).withColumnRenamed("found", "names"))
     # Both joins deal the texts out in the same way, so Spark does it once.
     spans = (marked.join(names, ids, "left")
                    .mapInArrow(_deal(cut, splitters, parts), "part int, block binary")
-                   .groupBy("part").applyInArrow(_resolve(compare, parts), block)
+                   .groupBy("part").applyInArrow(_resolve(compare, buckets), block)
                    .groupBy("bucket").applyInArrow(_by_document(2), documents_of).withColumnRenamed("found", "spans"))
     return marked.join(spans, ids, "left").select("doc_id", "text", "spans")
 

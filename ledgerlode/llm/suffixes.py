@@ -116,8 +116,8 @@ def remove_repeated_bytes(documents: DataFrame) -> DataFrame:
     from each other. Other columns are ignored; an empty table gives no rows.
     """
     documents = documents.select("doc_id", "text")
-    splitters = sampled_splitters(documents, part_count(documents))
-    found = repeated_spans(documents, _cut, _compare, splitters)
+    parts, buckets = part_count(documents)
+    found = repeated_spans(documents, _cut, _compare, sampled_splitters(documents, parts), buckets)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = A.text_bytes(batch.column("text"))
