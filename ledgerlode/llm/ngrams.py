@@ -223,6 +223,19 @@ def _classes(sets: DataFrame, *more) -> DataFrame:
                 .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), *more))
 
 
+def without_contained(stars: DataFrame) -> DataFrame:
+    """The groups that no larger group of their center holds whole. A group of near copies has many centers, as each
+    copy lacks some shingles; the pairs of a group inside another one are counted there."""
+    sizes = stars.groupBy("center").agg(F.count(F.lit(1)).alias("size"))
+    largest = (stars.join(sizes, "center").groupBy(F.col("member").alias("of"))
+                    .agg(F.max_by("center", F.struct("size", "center")).alias("large")))
+    held = stars.select(F.col("center").alias("large"), "member")
+    inside = (stars.join(largest, F.col("center") == F.col("of")).join(held, ["large", "member"])
+                   .groupBy("center").agg(F.count(F.lit(1)).alias("inside")))
+    whole = inside.join(sizes, "center").where("inside = size").select("center")
+    return stars.join(whole, "center", "left_anti")
+
+
 def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts: int, block_rows: int = BLOCK_ROWS,
                   block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Links ``a, b`` that connect the same documents as all links between the representatives ``rep, n`` of the
@@ -237,7 +250,9 @@ def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts:
     stars = (_classes(sets, F.first("prefix").alias("prefix")).drop("digest").mapInArrow(_postings(parts), "part int, block binary")
                  .groupBy("part").applyInArrow(_stars, "center long, member long").distinct())
     members_path = shared_root(spark, "ngram-stars")
-    stars = stored(stars, "", members_path)
+    stars = without_contained(stored(stars, "", members_path))
+    groups_path = shared_root(spark, "ngram-kept-stars")
+    stars = stored(stars, "", groups_path)
     members = stars.unionByName(stars.select("center", F.col("center").alias("member")).distinct())
 
     def zipped(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -279,8 +294,8 @@ def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts:
                           F.greatest("chunk", "other").alias("high"), F.col("chunk").alias("side")))
         more = across.join(texts, "member").groupBy("center", "low", "high").applyInArrow(_links, _LINK)
         links = stored(links.unionByName(more).distinct(), "ngram-links")
-    discard(spark, members_path)
-    discard(spark, large_path)
+    for path in (members_path, groups_path, large_path):
+        discard(spark, path)
     return links
 
 
