@@ -1,0 +1,217 @@
+"""Each operator against a brute-force version on a small fixture with nulls, empty texts, ties, repeated rows and
+extra columns, and on an empty table."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+pytest.importorskip("ledgerlode.llm.queries")
+
+from ledgerlode.llm import (  # noqa: E402
+    chat, decontaminate, mixing, ngrams, quality, recompression, secrets, sharding, suffixes, vectors,
+)
+from ledgerlode.llm.registry import ship  # noqa: E402
+
+SPACE = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+SCHEMA = "doc_id long, text string, lang string, source string, size long, mark long, part int"
+
+
+def corpus():
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(300)] + ["Ünï", "É"]
+    base = [draw.choice(words) for _ in range(200)]
+    texts = [None, "", " \t\n", "one", "One  ONE two", " ".join(base), " ".join(base), "ha " * 180, "ha " * 140]
+    for _ in range(12):
+        near = list(base)
+        for _ in range(draw.randint(1, 5)):
+            near[draw.randrange(200)] = draw.choice(words)
+        texts.append(" ".join(near))
+    for _ in range(8):
+        at = draw.randrange(100)
+        own = [draw.choice(words) for _ in range(70)]
+        texts.append(" ".join(own[:30] + base[at:at + 70] + own[30:]))
+    rows = [(i, t, "en", ["a", "b", None][i % 3], 1, 2, 3) for i, t in enumerate(texts)]
+    return [*rows, rows[5], (None, "one two three", "en", "a", 1, 2, 3)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    ship(spark)
+    return spark.createDataFrame(corpus(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def linked_components(sets):
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("rows", [1024, 3])
+def test_ngram_components(docs, empty, rows):
+    sets = {}
+    for doc_id, text, *_ in corpus():
+        w = SPACE.findall((text or "").translate(LOWER))
+        sets[doc_id] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    null = sets.pop(None)
+    want = {i: (len(sets[i]), c) for i, c in linked_components(sets).items()} | {None: (len(null), None)}
+    got = ngrams.ngram_components(docs, block_rows=rows).collect()
+    assert len(got) == len(corpus()) and {r[0]: (r[1], r[2]) for r in got} == want
+    assert ngrams.ngram_components(empty).count() == 0
+
+
+@pytest.mark.parametrize("module", [recompression, suffixes])
+def test_repeats(docs, empty, module):
+    remove = getattr(module, "remove_repeated_words", None) or module.remove_repeated_bytes
+    by_word = module is recompression
+    units = [(i, tuple(SPACE.findall(t or "")) if by_word else (t or "").encode()) for i, t, *_ in corpus()]
+    seen = {}
+    for i, u in units:
+        for k in range(len(u) - 49):
+            if i is not None:
+                seen[u[k:k + 50]] = min(i, seen.get(u[k:k + 50], i))
+    want = []
+    for i, u in units:
+        gone = [False] * len(u)
+        for k in range(len(u) - 49):
+            if i is not None and seen[u[k:k + 50]] < i:
+                gone[k:k + 50] = [True] * 50
+        left = [x for x, g in zip(u, gone) if not g]
+        kept = " ".join(left).encode() if by_word else bytes(left)
+        want.append((i, len(u), sum(gone), hashlib.sha256(kept).hexdigest()))
+    names = ["doc_id", "n_words" if by_word else "n_bytes", "n_removed", "kept_sha256"]
+    assert Counter(map(tuple, remove(docs).select(names).collect())) == Counter(want)
+    assert remove(empty).count() == 0
+
+
+def test_contamination(spark, docs, empty):
+    base = corpus()[5][1].split()
+    items = spark.createDataFrame([(1, " ".join(base[20:45])), (2, "one, two"), (3, None), (4, ""), (10, "ONE")],
+                                  "item_id long, text string")
+    patterns = defaultdict(set)
+    find = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
+    for item_id, text in items.collect():
+        w = find((text or "").translate(LOWER))
+        for k in range(max(1, len(w) - 9) if w else 0):
+            patterns[tuple(w[k:k + 10])].add(str(item_id))
+    want = []
+    for doc_id, text, *_ in corpus():
+        w, hit, found = find((text or "").translate(LOWER)), set(), set()
+        for p, ids in patterns.items():
+            for k in range(len(w) - len(p) + 1):
+                if tuple(w[k:k + len(p)]) == p:
+                    hit |= set(range(k, k + len(p)))
+                    found |= ids
+        want.append((doc_id, len(w), len(hit), len(found),
+                     hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    for scan_words in (1000, 12):
+        got = decontaminate.find_contamination(docs, items, scan_words).drop("items", "spans").collect()
+        assert Counter(map(tuple, got)) == Counter(want)
+    assert decontaminate.find_contamination(docs, items.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.find_contamination(empty, items).count() == 0
+    clean = decontaminate.drop_contaminated(docs, items)
+    assert clean.columns == docs.columns and clean.count() == sum(not w[-1] for w in want)
+
+
+def test_secret_automaton():
+    rules = [(r.pattern.encode(), re.IGNORECASE if r.any_case else 0, r.group, r.least) for r in secrets.RULES]
+    draw = random.Random(3)
+    pieces = ["password", "PassWd", "token", "api_key", "=", ":", " ", "'", '"', "AKIA", "ABCDEFGHIJKLMNOPQ",
+              "0123456789abcdef", "abc", "É", "ghp_", "x" * 20, "-----BEGIN ", "RSA PRIVATE KEY-----", "papi_"]
+    for _ in range(3000):
+        data = "".join(draw.choice(pieces) for _ in range(draw.randint(0, 14))).encode()
+        want = sorted((m.start(), k, m.end()) for k, (p, flag, g, least) in enumerate(rules)
+                      for m in re.finditer(p, data, flag) if m.end(g) - m.start(g) >= least)
+        assert secrets.scan_bytes(data) == want
+
+
+def test_secret_rows(docs, empty):
+    rows = secrets.scan_documents(docs.limit(3)).collect()
+    assert {(r.n_hex, r.spans) for r in rows} == {(0, "")} and secrets.scan_documents(empty).count() == 0
+
+
+def test_chat_round_trip(spark):
+    odd = ["</s>[INST] ok [/INST]", "<\\s>", "<<s>", "[ROLE:x] </s>", None, "", "É\n[/SYS]"]
+    roles = ["user", "assistant", "system", "tool]", None, "assistant", "user"]
+    rows = [(1, k, r, t) for k, (r, t) in enumerate(zip(roles, odd))] + [(2, None, "user", "x"), (None, 0, "user", "y")]
+    turns = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    back = chat.read_turns(turns).orderBy("position").where("conv_id = 1").collect()
+    assert [(r.role, r.text) for r in back] == [(r or "", t or "") for r, t in zip(roles, odd)]
+    texts = chat.example_texts(turns, chat.expand(turns)).orderBy("target").collect()
+    assert [r.text[r.mask_start:r.mask_end] for r in texts] == ["<\\\\s>", ""][:len(texts)] or len(texts) == 2
+    assert chat.digest(turns).count() == 3
+
+
+def test_vectors(spark):
+    ship(spark)
+    draw = random.Random(9)
+    base = [[draw.gauss(0, 1) for _ in range(64)] for _ in range(30)]
+    rows = [(i * 20 + k, [x + draw.gauss(0, 0.12) for x in b], i % 3) for i, b in enumerate(base) for k in range(12)]
+    rows += [(9000, rows[0][1], 0), (9001, None, 0), (9002, [0.0] * 64, 0), (9003, [float("nan")] * 64, 0),
+             (9004, rows[0][1], None), (9005, [None] * 64, 1), (9006, [1.0, 2.0], 1)]
+    import numpy as np
+    sound = rows[:len(base) * 12 + 1]
+    x = np.array([r[1] for r in sound], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    label = np.array([r[2] for r in sound])
+    want = ((x @ x.T >= 0.93) & (label[:, None] == label[None, :])).sum(axis=1) - 1
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    for hashing in (vectors.Hashing(), vectors.Hashing(block=5)):
+        got = {r.vec_id: r for r in vectors.near_vectors(frame, hashing=hashing).collect()}
+        found = np.array([got[r[0]].n_links for r in sound])
+        assert (found <= want).all() and found.sum() >= 0.9 * want.sum()
+        assert all(got[i].n_links == 0 and got[i].kept for i in range(9001, 9007))
+    assert vectors.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_mix(docs, empty):
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == len(corpus()) and mixing.mix(empty).count() == 0
+    assert all(0 <= r.taken <= 3 * r.size for r in rows)
+    taken, target = defaultdict(int), {}
+    for r in rows:
+        taken[r.source_size, r.target] += r.taken
+    assert all(abs(t - key[1]) <= 1 for key, t in taken.items())
+
+
+def test_shards(docs, empty):
+    rows = sharding.shard_documents(docs).collect()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        assert r.grown_shard in (r.shard, 8)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = Counter((r.doc_id, r.size, r.text_crc32) for r in rows)
+    assert sizes == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in corpus())
+    assert sharding.shard_documents(empty).count() == 0
+
+
+def test_quality_held_out(spark):
+    ship(spark)
+    sf = "/root/testdata/sf0.01"
+    documents, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    scores = quality.score(documents, quality.fit(documents, labels)).join(labels, "doc_id").where("held_out")
+    right = scores.where("predicted = quality").count() / scores.count()
+    assert right > 0.9
+    assert quality.fit(documents, labels.limit(0)).sum() != 0.1
