@@ -65,7 +65,7 @@ def _step(lake: Lake, step: str, layer: str, table: str, batch_id: str, work) ->
         counts = work()
     except Exception as error:
         lake.note(step, layer, table, batch_id, "FAILED", start_time=begun,
-                  error_message=str(error)[:2000])
+                  error_message=str(error))
         raise
     lake.note(step, layer, table, batch_id, "SUCCESS", start_time=begun,
               rows_read=counts.get("rows_read"), rows_written=counts.get("rows_written"))
