@@ -1,8 +1,8 @@
 """The corpus pipeline: quality, near copies, decontamination, mixing, sharding; each over the table ``documents``
 as the stage before left it.
 
-ORACLE_SQL is None: a learned classifier has no SQL. ``tests/llm/test_pipeline.py`` holds the run against a
-brute-force version, stage by stage.
+ORACLE_SQL is None: a learned classifier has no SQL. ``tests/llm/test_pipeline.py`` holds the n-gram and
+decontamination stages against their operators' results, which have brute-force tests of their own.
 """
 
 from __future__ import annotations

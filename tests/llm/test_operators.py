@@ -159,7 +159,8 @@ def test_chat_round_trip(spark):
     back = chat.read_turns(turns).orderBy("position").where("conv_id = 1").collect()
     assert [(r.role, r.text) for r in back] == [(r or "", t or "") for r, t in zip(roles, odd)]
     texts = chat.example_texts(turns, chat.expand(turns)).orderBy("target").collect()
-    assert [r.text[r.mask_start:r.mask_end] for r in texts] == ["<\\\\s>", ""][:len(texts)] or len(texts) == 2
+    masked = [r.text[r.mask_start:r.mask_end] for r in texts]
+    assert masked[0] == "<\\\\s>"
     assert chat.digest(turns).count() == 3
 
 
@@ -214,4 +215,4 @@ def test_quality_held_out(spark):
     scores = quality.score(documents, quality.fit(documents, labels)).join(labels, "doc_id").where("held_out")
     right = scores.where("predicted = quality").count() / scores.count()
     assert right > 0.9
-    assert quality.fit(documents, labels.limit(0)).sum() != 0.1
+    assert not quality.fit(documents, labels.limit(0)).any()
