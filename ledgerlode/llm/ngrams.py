@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerlode.llm import arrays as A
 from ledgerlode.llm.components import components
@@ -333,9 +333,26 @@ def ngram_components(documents: DataFrame, block_rows: int = BLOCK_ROWS,
         F.when(F.col("doc_id").isNotNull(), F.coalesce("__component", "doc_id")).alias("component_id"))
 
 
+@F.arrow_udf(T.BinaryType())
+def _zip(texts: pa.Array) -> pa.Array:
+    press = zstandard.ZstdCompressor(level=3).compress
+    return pa.array([None if t is None else press(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+@F.arrow_udf(T.StringType())
+def _unzip(blobs: pa.Array) -> pa.Array:
+    unzip = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if b is None else unzip(b) for b in blobs.to_pylist()], pa.binary()).cast(pa.string())
+
+
 def drop_near_copies(documents: DataFrame) -> DataFrame:
     """The documents, with all their columns, without those whose component has a smaller id. Rows with one id
-    stay or go together; rows with a null id stay."""
+    stay or go together; rows with a null id stay.
+
+    Whole texts pass the shuffle of the join, each compressed by itself. The packing counts as not
+    deterministic, or the optimizer would move it behind the join."""
     gone = (ngram_components(documents).where("doc_id <> component_id")
             .select(F.col("doc_id").alias("__gone")).distinct())
-    return documents.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    packed = documents.withColumn("text", _zip.asNondeterministic()("text"))
+    kept = packed.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return kept.withColumn("text", _unzip("text"))
