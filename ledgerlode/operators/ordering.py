@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlode.functions.exprs import col
 from ledgerlode.sources.files import stored
 
-SMALL_ROWS = 10_000          # numbered in one task
 HOT_ROWS = 5_000_000         # a key with more rows than this is cut into ranges
 
 
@@ -38,12 +37,9 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str,
     """``row_number() over (order by …)`` as long, without a single-partition sort of the rows.
 
     One range shuffle and a sort inside each range; the position within a range comes from the sorted
-    partition itself. Offsets are counted on the range column alone. A frame of at most ``SMALL_ROWS``
-    rows is numbered directly.
+    partition itself. Offsets are counted on the range column alone.
     """
     columns = [col(c) for c in order]
-    if ranges is None and df.count() <= SMALL_ROWS:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*columns)).cast("long"))
     # The id of a row is its partition number times 2^33 plus its position in the partition.
     laid_out = stored(_by_range(df, order, ranges).sortWithinPartitions(*columns)
                       .withColumn("__id", F.monotonically_increasing_id())
@@ -80,9 +76,10 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: C
 
     As long as no group has more than ``hot_rows`` rows this is one window. Beyond that the rows are cut
     into ranges of ``by + order`` together: an account with a third of all rows spreads over a third of
-    the ranges, and only a group that crosses a cut needs a carry.
+    the ranges, and only a group that crosses a cut needs a carry. Both ways give the type of the sum.
     """
     by, order = list(by), list(order)
+    kind = df.select(F.sum(value)).schema[0].dataType
     inside = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     if not has_hot_key(df, by, hot_rows):
         return df.withColumn(name, F.sum(value).over(inside))
@@ -93,7 +90,7 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: C
     summed = cut.withColumn("__sum", F.sum("__value").over(inside))
     joined = with_carry(summed, carries(totals, by, F.sum("__last")), by)
     return (joined.withColumn(name, F.coalesce(F.col("__sum") + F.coalesce("__carry", F.lit(0)),
-                                               F.col("__carry")))
+                                               F.col("__carry")).cast(kind))
                   .drop("__value", "__range", "__sum", "__carry"))
 
 

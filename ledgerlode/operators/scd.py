@@ -75,15 +75,17 @@ def stamp_scd2(source: DataFrame, tracked: Sequence[str],
 def scd2_actions(current: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Current versions against stamped source rows: one output row per action, in ``__action``.
 
-    One full outer join on the key classifies each key; ``explode`` turns a change into its two rows.
-    Keys are unique on both sides, so no join key is hot.
+    One full outer join on the key classifies each key; ``explode`` turns a change into its two rows. A
+    change with the start of the open version corrects it: the new row replaces that version, which would
+    be empty otherwise. Keys are unique on both sides, so no join key is hot.
     """
     keys = list(keys)
     columns = list(dict.fromkeys([*current.columns, *source.columns]))
     old = current.select(*keys, F.struct(*current.columns).alias("t"))
     new = source.select(*keys, F.struct(*source.columns).alias("s"))
     change = F.col(f"t.{HASH}") != F.col(f"s.{HASH}")
-    actions = (F.when(F.col("t").isNull(), F.array(F.lit(INSERT)))
+    corrected = change & F.col(f"t.{START}").eqNullSafe(F.col(f"s.{START}"))
+    actions = (F.when(F.col("t").isNull() | (F.col("s").isNotNull() & corrected), F.array(F.lit(INSERT)))
                 .when(F.col("s").isNotNull() & change, F.array(F.lit(EXPIRE), F.lit(INSERT)))
                 .otherwise(F.array(F.lit(KEEP))))
     joined = (old.join(new, keys, "full_outer")

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgerlode.operators import quality, rows, scd, star
 from ledgerlode.operators.ordering import surrogate_key
 from ledgerlode.plans import gold
-from ledgerlode.schemas import pinned_like
 from ledgerlode.sources import files, versions
 from ledgerlode.sources.config import TableConfig
 
@@ -86,17 +85,17 @@ def land(lake: Lake, cfg: TableConfig, batch_id: str, source: DataFrame) -> dict
 
 def load_bronze(lake: Lake, cfg: TableConfig, batch_id: str,
                 schema: T.StructType | None = None) -> dict[str, int]:
-    """Landing partition to bronze: pin types, one row of each kind, stamp, replace the batch.
+    """Landing partition to bronze: one row of each kind, stamp, replace the batch.
 
-    The types are those of the given contract, else those bronze already has, else those that follow
-    from the column names.
+    The types are those of the given contract, else those bronze already has, else those landed. A batch
+    without rows is stored as one, and replaces what an earlier delivery of it left.
     """
     def work():
         spark, target = lake.spark, lake.path("bronze", cfg.bronze_table)
         landed = files.read_landing(spark, lake.path("landing"), cfg.source_system, cfg.table_name,
                                     lake.ingestion_date, batch_id, lake.fmt)
         landed, read = files.counted(landed, "read")
-        contract = schema or pinned_like(landed.schema)
+        contract = schema or landed.schema
         if schema is None and files.child_names(spark, target):
             contract = spark.read.format(lake.fmt).load(target).schema
         # Rows repeat each other only when all their columns agree; the stored digest may skip nulls.
@@ -104,7 +103,7 @@ def load_bronze(lake: Lake, cfg: TableConfig, batch_id: str,
         stamped = rows.stamp_audit(typed, cfg.source_system, batch_id, lake.pipeline, lake.load_ts,
                                    f"{cfg.table_name}.{lake.fmt}", lake.digest_mode)
         unique, written = files.counted(stamped, "written")
-        files.replace_partitions(unique, target, ["batch_id"], lake.fmt)
+        files.overwrite_path(unique.drop("batch_id"), f"{target}/batch_id={batch_id}", lake.fmt)
         return {"rows_read": files.observed(read), "rows_written": files.observed(written)}
     return _step(lake, "bronze", "BRONZE", cfg.table_name, batch_id, work)
 
@@ -132,7 +131,7 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         if masks:
             clean = rows.mask_columns(clean, masks)
         # The cleansed batch is scanned several times below; stored, it is cleansed once.
-        stage = lake.path("stage", cfg.table_name)
+        stage = lake.path("stage", f"{cfg.table_name}/batch_id={batch_id}")
         files.overwrite_path(clean, stage, lake.fmt)
         clean = spark.read.format(lake.fmt).schema(clean.schema).load(stage)
         profile = quality.dq_profile(clean, cfg.table_name, keys).first()
@@ -157,6 +156,7 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
             versions.write_version(merged, target, scd.CURRENT if cfg.scd_type == 2 else None,
                                    lake.fmt)
             written = files.observed(seen)
+        files.discard(spark, stage)
         return {"rows_read": batch.count(), "rows_written": written,
                 "rows_clean": profile.total_rows}
     return _step(lake, "silver", "SILVER", cfg.table_name, batch_id, work)

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from functools import lru_cache, reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerlode.functions.exprs import col
@@ -143,7 +144,13 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
 
 
 def observed(seen: Observation) -> int:
-    return int(seen.get.get("n", 0) or 0)
+    """The count of ``counted``. A plan that adaptive execution finds empty reports no metrics: no rows."""
+    try:
+        return int(seen.get.get("n", 0) or 0)
+    except Py4JJavaError as error:
+        if "AssertionError" in error.java_exception.toString():
+            return 0
+        raise
 
 
 def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet",

@@ -154,6 +154,21 @@ def test_auto_scans_when_a_key_has_many_versions(spark):
     assert pit._few_versions(many.where("start < 50").select("id"), KEY)
 
 
+@pytest.mark.parametrize("strategy,hot_rows,ranges", [
+    ("join", 0, None), ("scan", 10**6, None), ("scan", 0, 3), ("auto", 0, None)])
+def test_pit_overlaps(frame, strategy, hot_rows, ranges):
+    """The latest start decides, and a version that ended gives no way to an older one still open."""
+    versions = frame([("1", day(1), day(9), "A"), ("1", day(3), day(5), "B"), ("2", day(2), None, "C"),
+                      ("2", day(2), None, "D"), ("3", None, None, "E")], PIT_VERSION)
+    events = frame([("1", day(n), n) for n in range(1, 8)] + [("2", day(4), 20), ("3", day(4), 30)], PIT_EVENT)
+    joined = pit.pit_join(events, versions, KEY, "at", "start", "stop", ["grade"], strategy, hot_rows, ranges)
+    got = {r.n: r.grade for r in joined.collect()}
+    tied = got.pop(20)
+    assert got == {1: "A", 2: "A", 3: "B", 4: "B", 5: None, 6: None, 7: None, 30: None}
+    largest = versions.where("id = '2'").orderBy(F.desc(F.xxhash64("id", "start", "stop", "grade"))).first()
+    assert tied == largest.grade
+
+
 def test_unknown_strategy(frame):
     df = frame([], PIT_EVENT)
     with pytest.raises(ValueError):

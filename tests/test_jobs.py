@@ -63,6 +63,39 @@ def test_rerun_of_a_batch(spark, lake):
     assert jobs.read_silver(lake, "silver_customer", history=True).count() == 2
 
 
+def test_bronze_without_a_contract_keeps_what_landed(spark, lake):
+    rows = [("k", 51.5074, 5, dt.datetime(2024, 1, 1, 13), 12.345, "a", None, "b"),
+            ("k", 51.5074, 5, dt.datetime(2024, 1, 1, 13), 12.345, "a", "b", None)]
+    df = spark.createDataFrame(rows, "visit_id string, latitude double, visits int, seen_date timestamp, "
+                                     "total_x double, a string, b string, c string")
+    visit = cfg("visit", "visit_id")
+    jobs.land(lake, visit, "b1", df)
+    assert jobs.load_bronze(lake, visit, "b1") == {"rows_read": 2, "rows_written": 2}
+    bronze = spark.read.parquet(lake.path("bronze", "bronze_visit")).select(*df.columns)
+    assert bronze.schema == df.schema and set(bronze.collect()) == set(df.collect())
+
+
+def test_empty_batches(spark, lake):
+    rows, none = customers(spark, [("c1", "A"), ("c2", "B")]), customers(spark, [])
+    assert load(lake, CUSTOMER, "b0", none) == {"rows_read": 0, "rows_written": 0, "rows_clean": 0}
+    load(lake, CUSTOMER, "b1", rows)
+    assert load(lake, CUSTOMER, "b2", none)["rows_read"] == 0
+    assert jobs.read_silver(lake, "silver_customer").count() == 2
+    jobs.land(lake, CUSTOMER, "b1", none)
+    jobs.load_bronze(lake, CUSTOMER, "b1")
+    assert files.read_batches(spark, lake.path("bronze", "bronze_customer")).count() == 0
+
+
+def test_corrected_delivery_replaces_the_version_of_its_time(spark, lake):
+    load(lake, CUSTOMER, "b1", customers(spark, [("c1", "A")]))
+    lake.load_ts = "2026-07-19 02:00:00"
+    for segment in ("B", "C"):
+        load(lake, CUSTOMER, "b2", customers(spark, [("c1", segment)]))
+    history = jobs.read_silver(lake, "silver_customer", history=True)
+    assert sorted(r.customer_segment for r in history.collect()) == ["A", "C"]
+    assert tuple(scd2_violations(history, ["customer_id"]).first()) == (1, 0, 0, 0, 0)
+
+
 def test_duplicate_keys_stop_the_table(spark, lake):
     df = customers(spark, [("c1", "A"), ("c1", "B")])
     with pytest.raises(quality.DataQualityError):
@@ -70,10 +103,12 @@ def test_duplicate_keys_stop_the_table(spark, lake):
     assert load(lake, CUSTOMER, "b1", df, on_duplicate="latest")["rows_written"] == 1
 
 
-def test_bronze_pins_types_and_accepts_new_columns(spark, lake):
+def test_bronze_keeps_a_contract_and_accepts_new_columns(spark, lake):
     fee = cfg("fee", "fee_id")
-    load(lake, fee, "b1", spark.createDataFrame([("f1", "2.5", "2026-07-01")],
-                                                "fee_id string, fee_amount string, fee_date string"))
+    jobs.land(lake, fee, "b1", spark.createDataFrame([("f1", "2.5", "2026-07-01")],
+                                                     "fee_id string, fee_amount string, fee_date string"))
+    jobs.load_bronze(lake, fee, "b1", entity_schema(["fee_id", "fee_amount", "fee_date"]))
+    jobs.to_silver(lake, fee, "b1")
     load(lake, fee, "b2", spark.createDataFrame(
         [("f1", "3", "2026-07-01", "why"), ("f2", "4", "2026-07-02", None)],
         "fee_id string, fee_amount string, fee_date string, fee_reason string"))

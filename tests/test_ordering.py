@@ -45,6 +45,14 @@ def test_running_sum(data, hot_rows, ranges):
     assert got == want
 
 
+def test_running_sum_has_one_type(frame):
+    df = frame([("a", 1, 5), ("a", 2, None)], "acct string, id int, v int").withColumn(
+        "v", F.col("v").cast("decimal(18,2)"))
+    cold, hot = (ordering.running_sum(df, ["acct"], ["id"], F.col("v"), "t", n, 2) for n in (10, 0))
+    assert cold.schema["t"].dataType == hot.schema["t"].dataType
+    assert sorted(cold.collect()) == sorted(hot.select(cold.columns).collect())
+
+
 def test_hot_key_is_spread_over_ranges(data):
     _, df = data
     ranged = ordering.ordered_ranges(df, ["acct", "day", "id"], 20)
