@@ -76,7 +76,7 @@ def fact_payment(spark, sf):
 def payment_fact(dims):
     spark, sf = dims.spark, dims.sf
     return star.resolve_fact(views.payments(spark, sf), [dims.lookup("account", "account_id")],
-                             _COLUMNS["FactPayment"], views.calendar(spark), "payment_date")
+                             _COLUMNS["FactPayment"], views.calendar(spark, sf), "payment_date")
 
 
 @query(sql("""SELECT statement_id, account_sk, date_sk, opening_balance, closing_balance,
@@ -90,7 +90,7 @@ def payment_fact(dims):
 def fact_statement(spark, sf):
     return star.resolve_fact(derive.statement_amounts(views.statements(spark, sf)),
                              [Dimensions(spark, sf).lookup("account", "account_id")],
-                             _COLUMNS["FactStatement"], views.calendar(spark), "statement_date")
+                             _COLUMNS["FactStatement"], views.calendar(spark, sf), "statement_date")
 
 
 @query(sql("""SELECT fraud_case_id, account_sk AS customer_sk, date_sk, fraud_type, disputed_amount,
@@ -104,7 +104,7 @@ def fraud_fact(dims):
     spark, sf = dims.spark, dims.sf
     cases = scd.current_versions(views.fraud_case_versions(spark, sf))
     return star.resolve_fact(cases, [dims.lookup("customer", "customer_id")], _COLUMNS["FactFraud"],
-                             views.calendar(spark, views.CALENDAR_2024), "case_open_date")
+                             star.dim_date(spark, *views.CALENDAR_2024), "case_open_date")
 
 
 @query(sql("""SELECT collections_id, account_sk, collections_stage, outstanding_balance,

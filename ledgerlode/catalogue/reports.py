@@ -19,7 +19,8 @@ def _star(spark, sf, *names):
         "DimCustomer": lambda: dims.customer,
         "DimCard": lambda: dims.card,
         "DimMerchant": lambda: dims.merchant,
-        "DimDate": lambda: views.calendar(spark),
+        "DimDate": lambda: views.calendar(spark, sf),
+        "ShippingDate": lambda: views.shipping_calendar(spark, sf),
         "FactTransaction": lambda: views.fact_transaction(dims),
         "FactPayment": lambda: gold.payment_fact(dims),
         "FactFraud": lambda: gold.fraud_fact(dims),
@@ -99,7 +100,7 @@ def measures_global(spark, sf):
 
 def _event_star(spark, sf):
     """Purchases as transactions and error events as fraud cases, on the days of 2024."""
-    days = views.calendar(spark, views.CALENDAR_2024)
+    days = star.dim_date(spark, *views.CALENDAR_2024)
     dims = views.Dimensions(spark, sf)
     bought = table(spark, sf, "events").where("event_type = 'purchase'").select(
         views.party_id("C", "user_id").alias("customer_id"), F.col("ts").cast("date").alias("day"),
@@ -153,14 +154,14 @@ def txn_ytd(spark, sf):
 @query(sql("""SELECT s.month_start, CAST(n.v AS DECIMAL(38,2)) AS "Total Revenue",
     CAST(b.v AS DECIMAL(38,2)) AS "Revenue Prior Month"
     FROM (SELECT DISTINCT CAST(date_trunc('month', calendar_date) AS DATE) AS month_start
-      FROM calendar) s
+      FROM shipping_calendar) s
     LEFT JOIN (SELECT revenue_month AS m, SUM(total_revenue) AS v FROM revenue_monthly GROUP BY ALL) n
       ON n.m = s.month_start
     LEFT JOIN (SELECT CAST(revenue_month + INTERVAL 1 MONTH AS DATE) AS m, SUM(total_revenue) AS v
-      FROM revenue_monthly GROUP BY ALL) b ON b.m = s.month_start""", "calendar", "revenue_monthly"))
+      FROM revenue_monthly GROUP BY ALL) b ON b.m = s.month_start""", "shipping_calendar", "revenue_monthly"))
 def revenue_prior_month(spark, sf):
-    data = _star(spark, sf, "DimDate", "FactRevenueMonthly")
-    data["FactRevenue"] = data.pop("FactRevenueMonthly")
+    data = _star(spark, sf, "ShippingDate", "FactRevenueMonthly")
+    data = {"FactRevenue": data["FactRevenueMonthly"], "DimDate": data["ShippingDate"]}
     return _typed(measures.time_measure("Revenue Prior Month", data))
 
 

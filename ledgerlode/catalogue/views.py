@@ -15,7 +15,6 @@ from ledgerlode.plans.gold import FACTS
 from ledgerlode.sources import files
 
 FIRST, SECOND = "2001-01-01 00:00:00", "2001-08-02 00:00:00"
-CALENDAR = ("1996-01-01", "2000-12-31")
 CALENDAR_2024 = ("2023-12-01", "2024-12-31")
 TRACKED = ["party_name", "nation_key", "segment", "balance"]
 
@@ -116,16 +115,15 @@ def card_id() -> Column:
     return F.concat(party_id("C", "o_custkey"), F.lit("/"), F.col("o_orderpriority"))
 
 
-def dim_merchant(spark, sf) -> DataFrame:
-    """Suppliers in credit; the others count as no longer on board."""
-    merchants = table(spark, sf, "supplier").where("s_acctbal >= 0").select(
-        F.col("s_suppkey").alias("merchant_id"), F.col("s_name").alias("merchant_name"),
-        F.col("s_nationkey").alias("nation_key"))
-    return ordering.surrogate_key(merchants, ["merchant_id"], "merchant_sk")
+def calendar(spark, sf, name="orders", column="o_orderdate") -> DataFrame:
+    """Every day from the first to the last date of a table."""
+    day = F.col(column).cast("date")
+    return star.calendar_of(table(spark, sf, name).agg(F.min(day).alias("first"), F.max(day).alias("last")))
 
 
-def calendar(spark, bounds=CALENDAR) -> DataFrame:
-    return star.dim_date(spark, *bounds)
+def shipping_calendar(spark, sf) -> DataFrame:
+    """The days of charges and fees."""
+    return calendar(spark, sf, "lineitem", "l_shipdate")
 
 
 def transactions(spark, sf) -> DataFrame:
@@ -207,16 +205,16 @@ def _charged_lines(spark, sf) -> DataFrame:
 
 
 def interest_charges(spark, sf) -> DataFrame:
-    """Interest on small returned lines."""
-    return (_charged_lines(spark, sf).where("l_returnflag = 'R' and l_quantity < 6")
+    """Interest on returned lines."""
+    return (_charged_lines(spark, sf).where("l_returnflag = 'R'")
             .select(party_id("C", "o_custkey").alias("account_id"),
                     F.col("l_shipdate").cast("date").alias("charge_date"),
                     share(money("l_extendedprice"), "l_discount").alias("interest_amount")))
 
 
 def fees(spark, sf) -> DataFrame:
-    """Fees on bulk lines."""
-    return (_charged_lines(spark, sf).where("l_quantity > 48")
+    """Fees on all lines that bear no interest."""
+    return (_charged_lines(spark, sf).where("l_returnflag <> 'R'")
             .select(party_id("C", "o_custkey").alias("account_id"),
                     F.col("l_shipdate").cast("date").alias("fee_date"),
                     share(money("l_extendedprice"), "l_tax").alias("fee_amount")))
@@ -226,7 +224,7 @@ def fact_transaction(dims: Dimensions) -> DataFrame:
     lookups = [dims.lookup("account", "account_id"), dims.lookup("card", "card_id"),
                dims.lookup("merchant", "merchant_id")]
     return star.resolve_fact(transactions(dims.spark, dims.sf), lookups, FACTS[0].columns,
-                             calendar(dims.spark), "transaction_date")
+                             calendar(dims.spark, dims.sf), "transaction_date")
 
 
 # --- the same entities as SQL -----------------------------------------------------------------
@@ -269,10 +267,14 @@ CTES: dict[str, str] = {
         s_nationkey AS nation_key,
         CAST(row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS merchant_sk
         FROM supplier WHERE s_acctbal >= 0""",
-    "calendar": f"""SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk,
+    "calendar": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk,
         CAST(d AS DATE) AS calendar_date, CAST(year(d) AS INTEGER) AS year,
         CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month
-        FROM generate_series(TIMESTAMP '{CALENDAR[0]}', TIMESTAMP '{CALENDAR[1]}', INTERVAL 1 DAY) t(d)""",
+        FROM (SELECT unnest(generate_series(date_trunc('day', min(o_orderdate)),
+            date_trunc('day', max(o_orderdate)), INTERVAL 1 DAY)) AS d FROM orders)""",
+    "shipping_calendar": """SELECT CAST(d AS DATE) AS calendar_date
+        FROM (SELECT unnest(generate_series(date_trunc('day', min(l_shipdate)),
+            date_trunc('day', max(l_shipdate)), INTERVAL 1 DAY)) AS d FROM lineitem)""",
     "calendar24": f"""SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk,
         CAST(d AS DATE) AS calendar_date, CAST(weekofyear(d) AS INTEGER) AS week_of_year
         FROM generate_series(TIMESTAMP '{CALENDAR_2024[0]}', TIMESTAMP '{CALENDAR_2024[1]}',
@@ -325,10 +327,10 @@ CTES: dict[str, str] = {
         ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
           AS interest_amount
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_returnflag = 'R' AND l_quantity < 6""",
+        WHERE l_returnflag = 'R'""",
     "fees": """SELECT 'C' || o_custkey AS account_id, CAST(l_shipdate AS DATE) AS fee_date,
         ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)), 2) AS fee_amount
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 48""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R'""",
     "revenue": """SELECT account_id,
         CAST(COALESCE(i, 0) AS DECIMAL(18,2)) AS total_interest_revenue,
         CAST(COALESCE(f, 0) AS DECIMAL(18,2)) AS total_fee_revenue, account_sk,
