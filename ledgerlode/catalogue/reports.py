@@ -11,7 +11,8 @@ from ledgerlode.operators import measures, star
 
 
 def _star(spark, sf, *names):
-    """Only the tables that a report asks for are derived."""
+    """Only the tables that a report asks for are derived, and only the keys of its dimensions looked up."""
+    keys = [d for d in ("account", "card", "merchant") if f"Dim{d.capitalize()}" in names]
     dims = views.Dimensions(spark, sf)
     status = F.when(F.col("balance") >= 0, F.lit("ACTIVE")).otherwise(F.lit("CLOSED"))
     makers = {
@@ -21,7 +22,7 @@ def _star(spark, sf, *names):
         "DimMerchant": lambda: dims.merchant,
         "DimDate": lambda: views.calendar(spark, sf),
         "ShippingDate": lambda: views.shipping_calendar(spark, sf),
-        "FactTransaction": lambda: views.fact_transaction(dims),
+        "FactTransaction": lambda: views.fact_transaction(dims, keys),
         "FactPayment": lambda: gold.payment_fact(dims),
         "FactFraud": lambda: gold.fraud_fact(dims),
         "FactCollections": lambda: gold.collections_fact(dims),

@@ -220,10 +220,12 @@ def fees(spark, sf) -> DataFrame:
                     share(money("l_extendedprice"), "l_tax").alias("fee_amount")))
 
 
-def fact_transaction(dims: Dimensions) -> DataFrame:
-    lookups = [dims.lookup("account", "account_id"), dims.lookup("card", "card_id"),
-               dims.lookup("merchant", "merchant_id")]
-    return star.resolve_fact(transactions(dims.spark, dims.sf), lookups, FACTS[0].columns,
+def fact_transaction(dims: Dimensions, keys=("account", "card", "merchant")) -> DataFrame:
+    """The fact with the keys of the dimensions that are asked for; the others are not looked up."""
+    lookups = [dims.lookup(name, f"{name}_id") for name in keys]
+    left_out = {f"{name}_sk" for name in ("account", "card", "merchant") if name not in keys}
+    columns = [c for c in FACTS[0].columns if c not in left_out]
+    return star.resolve_fact(transactions(dims.spark, dims.sf), lookups, columns,
                              calendar(dims.spark, dims.sf), "transaction_date")
 
 
