@@ -14,9 +14,10 @@ import pytest
 pytest.importorskip("ledgerlode.llm.queries")
 
 from ledgerlode.llm import (  # noqa: E402
-    chat, decontaminate, mixing, ngrams, quality, recompression, secrets, sharding, suffixes, vectors,
+    chat, decontaminate, mixing, ngrams, quality, queries_text, recompression, secrets, sharding, suffixes, vectors,
 )
 from ledgerlode.llm.registry import ship  # noqa: E402
+from ledgerlode.sources.files import stored  # noqa: E402
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -164,6 +165,32 @@ def test_chat_round_trip(spark):
     assert chat.digest(turns).count() == 3
 
 
+def test_chat_examples_are_stored_and_read(spark, monkeypatch):
+    kept = {}
+
+    def keep(df, name, *more):
+        kept[name] = stored(df, name, *more)
+        return kept[name]
+
+    monkeypatch.setattr(queries_text, "stored", keep)
+    sf = "/root/testdata/sf0.001"
+    whole = {r.conv_id: r for r in queries_text.op6_prefix_targets(spark, sf).collect()}
+    replies = spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").count() + 1
+    assert kept["chat-examples"].count() == replies
+    loss = defaultdict(int)
+    for r in chat.example_texts(kept["chat-output"], kept["chat-examples"]).collect():
+        assert len(r.text) == r.context_chars + r.target_chars and r.text[r.mask_end:] == chat.TEMPLATE["assistant"][1]
+        loss[r.conv_id] += len(re.sub(chat._UNESCAPE, r"\1\2\3", r.text[r.mask_start:r.mask_end]))
+    assert {i: r.loss_chars for i, r in whole.items() if r.loss_chars} == {i: n for i, n in loss.items() if n}
+    expand = chat.expand
+    monkeypatch.setattr(chat, "expand", lambda turns: expand(turns).where("target > 1"))
+    less = {r.conv_id: r for r in queries_text.op6_prefix_targets(spark, sf).collect()}
+    assert less[-7].loss_chars == 0 < whole[-7].loss_chars and less[-7].loss_sha256 != whole[-7].loss_sha256
+    monkeypatch.setattr(chat, "expand", lambda turns: expand(turns).withColumn("context_chars", chat.F.lit(0)))
+    less = {r.conv_id: r for r in queries_text.op6_prefix_targets(spark, sf).collect()}
+    assert less[-7].formatted_chars != whole[-7].formatted_chars
+
+
 def test_vectors(spark):
     ship(spark)
     draw = random.Random(9)
