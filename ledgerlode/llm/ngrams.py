@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlode.llm import arrays as A
 from ledgerlode.llm.components import components
@@ -24,6 +24,11 @@ _COLUMNS = 4096
 _PART_BYTES = 16 << 20
 
 
+def _mark() -> Column:
+    """Together with doc_id, this tells rows apart that differ in their texts."""
+    return F.xxhash64("text")
+
+
 def needed(n):
     """Of n shingles, how many a linked document must share at least: 4/5, rounded up."""
     return (4 * n + 4) // 5
@@ -73,7 +78,8 @@ def _prefix(found: np.ndarray, rare: np.ndarray, rank: np.ndarray) -> np.ndarray
 
 
 def document_sets(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``doc_id, n, digest, prefix`` for each document: size and digest of its set, and the packed prefix."""
+    """``doc_id, mark, n, digest, prefix`` for each document: the hash of its text, size and digest of its set, and
+    the packed prefix."""
     order = np.argsort(frequent)
     table = documents.sparkSession.sparkContext.broadcast((frequent[order], order))
 
@@ -87,17 +93,17 @@ def document_sets(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
             sizes.append(len(found))
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
             prefixes.append(_prefix(found, found[~often], common).tobytes() if len(found) else None)
-        return A.batch_of(doc_id=batch.column("doc_id"), n=np.array(sizes, np.int64),
+        return A.batch_of(doc_id=batch.column("doc_id"), mark=batch.column("mark"), n=np.array(sizes, np.int64),
                           digest=pa.array(digests, pa.binary()), prefix=pa.array(prefixes, pa.binary()))
 
-    return documents.select("doc_id", "text").mapInArrow(
-        A.by_batch(work), "doc_id long, n long, digest binary, prefix binary")
+    return documents.select("doc_id", "text", _mark().alias("mark")).mapInArrow(
+        A.by_batch(work), "doc_id long, mark long, n long, digest binary, prefix binary")
 
 
 def _postings(parts: int):
     """Blocks of the incidence matrix: the prefixes of a batch, dealt by shingle, one packed value a part."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = batch.column("rep").to_numpy()
+        ids = batch.column("node").to_numpy()
         sizes = batch.column("n").to_numpy()
         data, offsets = A.text_bytes(batch.column("prefix"))
         shingle = np.frombuffer(data.tobytes(), np.uint64)
@@ -217,15 +223,20 @@ def _links(table: pa.Table) -> pa.Table:
 _LINK = "a long, b long"
 
 
-def _classes(sets: DataFrame, *more) -> DataFrame:
-    """Documents with equal sets as one row, led by the smallest id."""
-    return (sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
-                .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), *more))
+def _classes(sets: DataFrame) -> DataFrame:
+    """``digest, rep, mark, n, node``: documents with equal sets as one row, led by the smallest id (null last), the
+    texts of one id by their hash. ``node`` numbers the rows, so it holds only once they are stored."""
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark"))
+    return (sets.where("n > 0").groupBy("digest").agg(lead.alias("lead"), F.first("n").alias("n"))
+                .select("digest", F.col("lead.doc_id").alias("rep"), F.col("lead.mark").alias("mark"), "n",
+                        F.monotonically_increasing_id().alias("node")))
 
 
 def without_contained(stars: DataFrame) -> DataFrame:
     """The groups that no larger group of their center holds whole. A group of near copies has many centers, as each
-    copy lacks some shingles; the pairs of a group inside another one are counted there."""
+    copy lacks some shingles; the pairs of a group inside another one are counted there. A group goes only in favour
+    of another one that holds its center too and so has more members; that one stays, as the largest of its own."""
+    stars = stars.where("center <> member")
     sizes = stars.groupBy("center").agg(F.count(F.lit(1)).alias("size"))
     largest = (stars.join(sizes, "center").groupBy(F.col("member").alias("of"))
                     .agg(F.max_by("center", F.struct("size", "center")).alias("large")))
@@ -238,8 +249,8 @@ def without_contained(stars: DataFrame) -> DataFrame:
 
 def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts: int, block_rows: int = BLOCK_ROWS,
                   block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """Links ``a, b`` that connect the same documents as all links between the representatives ``rep, n`` of the
-    document ``sets`` do.
+    """Links ``a, b`` that connect the same nodes as all links between the classes ``reps`` of the document
+    ``sets`` do.
 
     A group is a center and the documents that share a prefix shingle with it (``_stars``); its product finds
     every link in it. A group that exceeds a block is cut into chunks that each hold the center too; then the
@@ -247,7 +258,9 @@ def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts:
     chunks at a time. Documents of the center's component need no pairs with each other.
     """
     spark = documents.sparkSession
-    stars = (_classes(sets, F.first("prefix").alias("prefix")).drop("digest").mapInArrow(_postings(parts), "part int, block binary")
+    prefixes = sets.where("n > 0").groupBy("digest").agg(F.first("prefix").alias("prefix"))
+    stars = (prefixes.join(reps.select("digest", "node", "n"), "digest").select("node", "n", "prefix")
+                 .mapInArrow(_postings(parts), "part int, block binary")
                  .groupBy("part").applyInArrow(_stars, "center long, member long").distinct())
     members_path = shared_root(spark, "ngram-stars")
     stars = without_contained(stored(stars, "", members_path))
@@ -258,12 +271,20 @@ def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts:
     def zipped(batch: pa.RecordBatch) -> pa.RecordBatch:
         press = zstandard.ZstdCompressor(level=3).compress
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        return A.batch_of(member=batch.column("doc_id"),
+        return A.batch_of(doc_id=batch.column("doc_id"), text_mark=batch.column("text_mark"),
                           zipped=pa.array([press(t or b"") for t in texts], pa.binary()))
 
     # Texts are smaller than their shingles, and smaller still compressed one by one before the shuffles.
-    texts = documents.select("doc_id", "text").mapInArrow(A.by_batch(zipped), "member long, zipped binary")
-    sized = members.join(reps.select(F.col("rep").alias("member"), "n"), "member")
+    texts = documents.select("doc_id", "text", _mark().alias("text_mark")).mapInArrow(
+        A.by_batch(zipped), "doc_id long, text_mark long, zipped binary")
+    leads = reps.select(F.col("node").alias("member"), "rep", "mark")
+
+    def with_texts(dealt: DataFrame) -> DataFrame:
+        return (dealt.join(leads, "member")
+                     .join(texts, F.col("rep").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("text_mark")))
+                     .select(*dealt.columns, "zipped"))
+
+    sized = members.join(reps.select(F.col("node").alias("member"), "n"), "member")
     chunks = (sized.groupBy("center").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("total"))
                    .select("center", F.greatest(F.lit(1), F.ceil(F.col("rows") / block_rows),
                                                 F.ceil(F.col("total") / block_shingles)).alias("chunks")))
@@ -275,7 +296,7 @@ def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts:
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = placed.where("member <> center").unionByName(everywhere).select("center", "member", "chunk")
     links_path = shared_root(spark, "ngram-links")
-    links = stored(dealt.join(texts, "member").groupBy("center", "chunk")
+    links = stored(with_texts(dealt).groupBy("center", "chunk")
                         .applyInArrow(_links, _LINK).distinct(), "", links_path)
     big = placed.where("chunks > 1")
     if not big.isEmpty():
@@ -292,7 +313,7 @@ def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts:
         across = (with_open.unionByName(with_all).where("chunk <> other")
                   .select("center", "member", "apart", F.least("chunk", "other").alias("low"),
                           F.greatest("chunk", "other").alias("high"), F.col("chunk").alias("side")))
-        more = across.join(texts, "member").groupBy("center", "low", "high").applyInArrow(_links, _LINK)
+        more = with_texts(across).groupBy("center", "low", "high").applyInArrow(_links, _LINK)
         links = stored(links.unionByName(more).distinct(), "ngram-links")
     for path in (members_path, groups_path, large_path):
         discard(spark, path)
@@ -313,24 +334,41 @@ def ngram_components(documents: DataFrame, block_rows: int = BLOCK_ROWS,
     exact overlaps.
 
     A text without words has 0 shingles and its own id as component; so has a row whose id is null (null).
-    Each row of a repeated id is a document of its own, but rows of different classes led by one id count as
-    one node. Other columns are ignored. Empty tables give no rows.
+    Each row of a repeated id is a document of its own: classes are numbered, not named by an id. Other columns
+    are ignored. Empty tables give no rows.
     """
+    sets = _stored_sets(documents)
+    leads = _leads(documents, sets.where("doc_id IS NOT NULL"), block_rows, block_shingles)
+    return sets.join(leads.select("digest", "rep"), "digest", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("component_id"))
+
+
+def _stored_sets(documents: DataFrame) -> DataFrame:
+    documents = documents.select("doc_id", "text")
+    return stored(document_sets(documents, frequent_shingles(documents)), "ngram-sets")
+
+
+def _leads(documents: DataFrame, sets: DataFrame, block_rows: int = BLOCK_ROWS,
+           block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """``digest, rep, mark``: for each class of the ``sets`` the first row (by id, null last, then text hash) of its
+    component."""
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(2 * shuffles, int(size) // _PART_BYTES)
-    sets = stored(document_sets(documents, frequent_shingles(documents)), "ngram-sets")
     reps_path = shared_root(spark, "ngram-classes")
     reps = stored(_classes(sets), "", reps_path)
     found = components(similar_links(documents, sets, reps, parts, block_rows, block_shingles))
-    lead = (reps.select("digest", "rep")
-                .join(found, F.col("rep") == F.col("node"), "left")
-                .select("digest", F.coalesce("component", "rep").alias("__component")))
-    return sets.join(lead, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("__component", "doc_id")).alias("component_id"))
+    linked = reps.join(found, "node")
+    first = linked.groupBy("component").agg(
+        F.min(F.struct(F.col("rep").isNull().alias("last"), "rep", "mark")).alias("first"))
+    named = linked.join(first, "component").select("node", "first")
+    own = F.col("first").isNull()
+    return reps.join(named, "node", "left").select(
+        "digest", F.when(own, F.col("rep")).otherwise(F.col("first.rep")).alias("rep"),
+        F.when(own, F.col("mark")).otherwise(F.col("first.mark")).alias("mark"))
 
 
 @F.arrow_udf(T.BinaryType())

@@ -82,6 +82,27 @@ def test_ngram_components(docs, empty, rows):
     assert ngrams.ngram_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("rows", [1024, 7])
+def test_ngram_near_copies_under_one_id(spark, rows):
+    ship(spark)
+    draw = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+
+    def near(step):
+        return " ".join(w if k != step else f"x{draw.random()}" for k, w in enumerate(base))
+
+    texts = [(5, near(0)), (5, near(119)), (5, "one text of its own under the same id")]
+    texts += [(20 + k, near(0 if k % 2 else 119)) for k in range(8)]
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for _, t in texts]
+    apart = linked_components(dict(enumerate(sets)))
+    want = Counter((i, len(sets[k]), min(texts[j][0] for j in apart if apart[j] == apart[k]))
+                   for k, (i, _) in enumerate(texts))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    assert Counter(map(tuple, ngrams.ngram_components(frame, block_rows=rows).collect())) == want
+    stars = spark.createDataFrame([(5, 5), (5, 6), (5, 7), (6, 7)], "center long, member long")
+    assert {tuple(r) for r in ngrams.without_contained(stars).collect()} == {(5, 6), (5, 7)}
+
+
 @pytest.mark.parametrize("module", [recompression, suffixes])
 def test_repeats(docs, empty, module):
     remove = getattr(module, "remove_repeated_words", None) or module.remove_repeated_bytes
