@@ -384,13 +384,25 @@ def _unzip(blobs: pa.Array) -> pa.Array:
 
 
 def drop_near_copies(documents: DataFrame) -> DataFrame:
-    """The documents, with all their columns, without those whose component has a smaller id. Rows with one id
-    stay or go together; rows with a null id stay.
-
-    Whole texts pass the shuffle of the join, each compressed by itself. The packing counts as not
-    deterministic, or the optimizer would move it behind the join."""
-    gone = (ngram_components(documents).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    packed = documents.withColumn("text", _zip.asNondeterministic()("text"))
-    kept = packed.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """The documents, with all their columns, one row of each component: the one with the smallest id (null last).
+    Each row counts by itself, also where ids repeat or are null. Rows without words stay.
+
+    A row is known by its id and the hash of its text. Where several rows of a component are alike in both, the one
+    with the smallest hash of all columns stays. Whole texts pass the shuffle of the join, each compressed by itself.
+    The packing counts as not deterministic, or the optimizer would move it behind the join."""
+    sets = _stored_sets(documents)
+    first = _leads(documents, sets).select("digest", F.col("rep").alias("__rep"), F.col("mark").alias("__first"))
+    rows = sets.where("n > 0").groupBy("digest", "doc_id", "mark").agg(F.count(F.lit(1)).alias("times"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("__rep")) & (F.col("mark") == F.col("__first"))
+    rows = stored(rows.join(first, "digest").select(
+        F.col("doc_id").alias("__id"), F.col("mark").alias("__gone"), "times", is_first.alias("first")), "ngram-rows")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__gone"))
+    once = rows.where("not first or times > 1").select("__id", "__gone")
+    packed = documents.withColumn("__mark", _mark()).withColumn("text", _zip.asNondeterministic()("text"))
+    kept = packed.join(once, same, "left_anti").select(*documents.columns)
+    several = rows.where("first and times > 1").select("__id", "__gone")
+    if not several.isEmpty():
+        one = (packed.join(several, same, "left_semi").groupBy("doc_id", "__mark")
+                     .agg(F.min_by(F.struct(*documents.columns), F.xxhash64(*documents.columns)).alias("__row")))
+        kept = kept.unionByName(one.select("__row.*"))
     return kept.withColumn("text", _unzip("text"))

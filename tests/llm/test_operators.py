@@ -103,6 +103,18 @@ def test_ngram_near_copies_under_one_id(spark, rows):
     assert {tuple(r) for r in ngrams.without_contained(stars).collect()} == {(5, 6), (5, 7)}
 
 
+def test_near_copies_leave_one_row(spark):
+    ship(spark)
+    base = [f"w{k}" for k in range(120)]
+    text, near, other, third = (" ".join(x) for x in (base, base[:-1] + ["x"], base[60:] + ["y"] * 9, base[::-1]))
+    rows = [(7, text, "a"), (7, text, "a"), (7, text, "b"), (7, other, "c"), (8, near, "d"), (9, other, "e"),
+            (None, third, "f"), (None, third, "g"), (None, near, "h"), (None, None, "i"), (10, "", "j"), (10, "", "j")]
+    got = ngrams.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    kept = Counter((r.doc_id, r.text) for r in got)
+    assert kept == Counter([(7, text), (7, other), (None, third), (None, None), (10, ""), (10, "")])
+    assert all(tuple(r) in rows for r in got)
+
+
 @pytest.mark.parametrize("module", [recompression, suffixes])
 def test_repeats(docs, empty, module):
     remove = getattr(module, "remove_repeated_words", None) or module.remove_repeated_bytes
