@@ -224,6 +224,18 @@ def test_chat_examples_are_stored_and_read(spark, monkeypatch):
     assert less[-7].formatted_chars != whole[-7].formatted_chars
 
 
+def test_chat_digests_hold_no_whole_conversation(spark):
+    ship(spark)
+    rows = [(c, k, "assistant" if k % 2 else "user", f"é{k} </s>") for c in (1, None) for k in range(300)]
+    turns = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    out = chat.digest(turns)
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    said = hashlib.sha256("".join(f"{r}\n{t}\n" for c, _, r, t in rows if c == 1).encode()).hexdigest()
+    loss = "".join(t for c, _, r, t in rows if c == 1 and r == "assistant")
+    want = (300, said, len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert {r.conv_id: tuple(r)[1:5] for r in out.collect()} == {1: want, None: want}
+
+
 def test_vectors(spark):
     ship(spark)
     draw = random.Random(9)
