@@ -1,10 +1,10 @@
-"""Registered queries over tokens: byte-level BPE."""
+"""Registered queries over codes: byte-level BPE, vector codes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlode.llm import byte_pairs
+from ledgerlode.llm import byte_pairs, grid_codes
 from ledgerlode.llm.registry import query, table
 
 
@@ -13,3 +13,8 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_pairs.decode_documents(byte_pairs.encode_documents(table(spark, sf_dir, "documents")))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query(grid_codes.code_sql())
+def op12_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_codes.compress(table(spark, sf_dir, "embeddings"))
