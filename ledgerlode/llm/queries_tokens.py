@@ -1,11 +1,12 @@
-"""Registered queries over codes: byte-level BPE, vector codes."""
+"""Registered queries over codes: byte-level BPE, vector codes, two tokenizers side by side."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlode.llm import byte_pairs, grid_codes
+from ledgerlode.llm import alignment, byte_pairs, grid_codes
 from ledgerlode.llm.registry import query, table
+from ledgerlode.sources.files import stored
 
 
 @query()
@@ -18,3 +19,11 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(grid_codes.code_sql())
 def op12_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align_documents(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    held = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "alignments")
+    return alignment.score_links(held, alignment.link_counts(held))
