@@ -21,9 +21,13 @@ def op12_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def digested(aligned: DataFrame) -> DataFrame:
+    """The groups as a digest, empty where there are no tokens."""
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return aligned.withColumn("groups_sha256", digest).drop("groups")
+
+
 @query()
 def op13_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = alignment.align_documents(table(spark, sf_dir, "documents"))
-    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
-    held = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "alignments")
+    held = stored(digested(alignment.align_documents(table(spark, sf_dir, "documents"))), "alignments")
     return alignment.score_links(held, alignment.link_counts(held))
