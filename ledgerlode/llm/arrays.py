@@ -30,33 +30,50 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _STEP = 0x9E3779B97F4A7C15
 BYTE = mix(np.arange(1, 257, dtype=U64) * U64(_STEP))
-_BASE = 0xD1342543DE82EF95
-_powers: dict[str, np.ndarray] = {}
+#: Ranges have two polynomial digests modulo this prime. A power of two would make texts of a doubling structure collide.
+_PRIME = (1 << 31) - 1
+_BASES = (0x2545F491 % _PRIME, 0x41C64E6D % _PRIME)
+_P, _BITS = U64(_PRIME), U64(31)
+_powers: dict[int, np.ndarray] = {}
 
 
-def _table(name: str, base: int, n: int) -> np.ndarray:
-    """Powers of an odd base modulo 2^64, kept per worker process."""
-    have = _powers.get(name)
+def _below(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^63 to equal ones modulo the prime, below 2^31 + 2."""
+    x = (x & _P) + (x >> _BITS)
+    return (x & _P) + (x >> _BITS)
+
+
+def _table(base: int, n: int) -> np.ndarray:
+    """Powers of a base modulo the prime, kept per worker process."""
+    have = _powers.get(base)
     if have is None or len(have) < n:
-        size = 1 << max(16, int(n).bit_length())
-        steps = np.full(size, base & (2**64 - 1), dtype=U64)
-        steps[0] = 1
-        have = _powers[name] = np.multiply.accumulate(steps)
+        have = np.ones(1, U64)
+        while len(have) < max(n, 1 << 16):
+            have = np.concatenate((have, _below(have * U64(pow(base, len(have), _PRIME)))))
+        _powers[base] = have
     return have[:n]
 
 
-def prefix_digests(values: np.ndarray) -> np.ndarray:
-    """Running polynomial digests; ``span_digests`` takes any range out of them."""
-    out = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * _table("up", _BASE, len(values)), out=out[1:])
+def prefix_digests(values: np.ndarray) -> list[np.ndarray]:
+    """Running digests, 31 bits of each value in either; ``span_digests`` takes any range out of them."""
+    out = []
+    for base, shift in zip(_BASES, (33, 2)):
+        term = _below(((values >> U64(shift)) & _P) * _table(base, len(values)))
+        running = np.zeros(len(values) + 1, U64)
+        np.cumsum(term, out=running[1:])
+        out.append(running)
     return out
 
 
-def span_digests(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_digests(prefix: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit digests of the ranges [start, end): equal for equal contents wherever they stand."""
-    inverse = _table("down", pow(_BASE, -1, 2**64), len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts]
-               + (ends - starts).astype(U64) * U64(_STEP))
+    out = (ends - starts).astype(U64) * U64(_STEP)
+    for running, base, shift in zip(prefix, _BASES, (0, 32)):
+        inverse = _table(pow(base, -1, _PRIME), len(running))
+        part = _below(_below(running[ends] - running[starts]) * inverse[starts])
+        part -= _P * (part >= _P)
+        out += part << U64(shift)
+    return mix(out)
 
 
 def byte_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

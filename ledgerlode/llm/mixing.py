@@ -55,8 +55,8 @@ def uniform(doc_id: Column, seed: str) -> Column:
 
 
 def mix(documents: DataFrame, labels: DataFrame | None = None, weights: Sequence[float] = WEIGHTS,
-        max_epochs: int = MAX_EPOCHS, seed: str = "mix-") -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken, copies``.
+        max_epochs: int = MAX_EPOCHS, seed: str = "mix-", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, taken, copies``, after the columns ``carry``.
 
     A source takes as many complete epochs as its target holds. The rest of the target goes to its
     documents in the order of exponential keys -ln(u) / w (the Efraimidis-Spirakis order), where u comes
@@ -71,7 +71,7 @@ def mix(documents: DataFrame, labels: DataFrame | None = None, weights: Sequence
     one task; documents are never gathered by source (``running_totals``).
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = documents.select("doc_id", "source", size.alias("size"))
+    sized = documents.select(*carry, "doc_id", "source", size.alias("size"))
     if labels is None:
         sized = sized.withColumn("__weight", F.lit(1.0))
     else:
@@ -102,7 +102,7 @@ def mix(documents: DataFrame, labels: DataFrame | None = None, weights: Sequence
             .withColumn("taken", taken.cast("long"))
             .withColumn("copies", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5))
                                    .otherwise(F.col("__epochs")).cast("long"))
-            .select("doc_id", "size", "source_size", "target", "taken", "copies"))
+            .select(*carry, "doc_id", "size", "source_size", "target", "taken", "copies"))
 
 
 MIX_SQL = r"""

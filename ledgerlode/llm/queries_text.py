@@ -30,7 +30,7 @@ def op6_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)],
                                 "conv_id long, turn long, role string, text string")
     conversations = table(spark, sf_dir, "conversations").select(own.columns)
-    turns = stored(chat.format_turns(conversations.unionByName(own)), "chat-output")
+    turns = chat.format_turns(conversations.unionByName(own))
     return chat.digest(turns, stored(chat.expand(turns), "chat-examples"))
 
 

@@ -35,27 +35,27 @@ def shard_tree(shards: int = 8, racks: int = 2, per_rack: int = 2) -> Node:
 
 
 def grown(tree: Node, shard: int, weight: float = 1.0) -> Node:
-    """The tree with one more shard. It opens a region of its own: no other node's weight changes, so rows
-    only ever move into the new shard."""
+    """The tree with one more shard, in a region of its own. Where it hangs does not change any other shard's draw,
+    so this is the tree of one shard more as far as rows go."""
     leaf = Node(f"shard-{shard}", shard=shard, own_weight=weight)
     return Node(tree.name, (*tree.children, Node(f"grown-region-{shard}", (Node(f"grown-rack-{shard}", (leaf,)),))))
 
 
-def descend(key: Column, node: Node) -> Column:
-    """The shard number of a key. At each node every child draws -ln(u) / weight, where u is a hash of the
-    key and the child's name, and the smallest draw wins; a changed weight changes that child's draw
-    only."""
+def _draw(key: Column, node: Node) -> Column:
+    """The smallest draw below a node and its shard. A shard draws -ln(u) / weight, where u is a hash of the key and
+    the shard's name; the smallest draw of several shards is distributed as one draw by the sum of their weights, so
+    every node draws by its weight, and a shard that comes, goes or changes its weight moves only rows that it
+    wins or loses."""
     if not node.children:
-        return F.lit(node.shard)
-    if len(node.children) == 1:
-        return descend(key, node.children[0])
-    draws = [F.struct((-F.log(unit_hash(key, F.lit(c.name))) / F.lit(c.weight)).alias("draw"),
-                      F.lit(i).alias("child")) for i, c in enumerate(node.children)]
-    won = F.least(*draws)["child"]
-    out = descend(key, node.children[-1])
-    for i, child in reversed(list(enumerate(node.children[:-1]))):
-        out = F.when(won == i, descend(key, child)).otherwise(out)
-    return out
+        return F.struct((-F.log(unit_hash(key, F.lit(node.name))) / F.lit(node.weight)).alias("draw"),
+                        F.lit(node.shard).alias("shard"))
+    draws = [_draw(key, child) for child in node.children]
+    return draws[0] if len(draws) == 1 else F.least(*draws)
+
+
+def descend(key: Column, node: Node) -> Column:
+    """The shard number of a key: from the root down, always the child with the smallest draw."""
+    return _draw(key, node)["shard"]
 
 
 def shard_documents(documents: DataFrame, tree: Node | None = None, shards: int = 8,
@@ -63,9 +63,9 @@ def shard_documents(documents: DataFrame, tree: Node | None = None, shards: int
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for each document, after the columns
     ``carry``.
 
-    The law is ``key``: the id and the tree alone decide the shard. ``slot`` numbers the rows of a shard from
-    0 without gaps, in the order of a hash of id and text checksum; ``grown_shard`` is the shard with one
-    shard more.
+    The law is ``key``: the id and the tree alone decide the shard, and the trees of all numbers of shards agree: one
+    shard more takes rows into itself only, and ``grown_shard`` is the shard that that number gives. ``slot`` numbers
+    the rows of a shard from 0 without gaps, in the order of a hash of id and text checksum.
 
     A null text has size 1 and checksum 0. Null ids are one key, and rows with the same id share a shard
     and have slots of their own. Other columns are ignored. Empty tables give no rows. No task holds a

@@ -25,6 +25,16 @@ def _leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _tokens(data: np.ndarray) -> np.ndarray:
+    """A digest of the ``TOKEN`` bytes from each place on: their eight-byte stretches, mixed in turn."""
+    every = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,))
+    n, out = len(data) - TOKEN + 1, None
+    for k in [*range(0, TOKEN - 8, 8), TOKEN - 8]:
+        stretch = every[k:k + n]
+        out = A.mix(stretch.copy() if out is None else out + stretch)
+    return out
+
+
 def _cut(data: np.ndarray, offsets: np.ndarray) -> Segments:
     """File each 50-byte window under the token with the smallest digest among those inside it."""
     start = A.ranges(offsets[:-1], np.maximum(np.diff(offsets) - WINDOW + 1, 0))
@@ -32,7 +42,7 @@ def _cut(data: np.ndarray, offsets: np.ndarray) -> Segments:
         return Segments(*[np.zeros(0, np.int64)] * 4, *[np.zeros(0, np.uint64)] * 3, *[np.zeros(0, np.int64)] * 2)
     prefix = A.prefix_digests(A.BYTE[data])
     at = np.arange(len(data) - TOKEN + 1)
-    token = A.span_digests(prefix, at, at + TOKEN)
+    token = _tokens(data)
     # The place in the low bits breaks ties to the left.
     ranked = (token >> np.uint64(34) << np.uint64(34)) | at.astype(np.uint64)
     anchor = (range_minima(ranked, start, start + WINDOW - TOKEN + 1) & np.uint64((1 << 34) - 1)).astype(np.int64)

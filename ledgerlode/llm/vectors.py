@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerlode.llm import arrays as A
 from ledgerlode.llm.components import components
@@ -154,7 +154,8 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93, hashing: Hashin
     least the threshold. Each vector is turned by three rounds of random signs and a Hadamard transform, and named
     by the nearest corners of the cross-polytope; vectors that share a bucket in any table are compared
     exactly. So no pair below the threshold is linked, and a pair above it is missed only when all tables
-    part it (``tests/llm/test_vectors.py`` measures the recall).
+    part it (``tests/llm/test_operators.py`` measures the recall). Labels that are not whole numbers are compared by a
+    64-bit hash. A vector and its product with a power of two are equal.
 
     Equal vectors of one label are one class, led by its smallest id, and count as linked with each other. Only
     buckets with several classes are compared; a large bucket is cut into chunks that meet two at a time, and a
@@ -170,14 +171,20 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93, hashing: Hashin
              & (F.size("embedding") > 0)
              & F.forall(value, lambda v: v.isNotNull() & (F.abs(v) < F.lit(float("inf"))))
              & F.exists(value, lambda v: v != 0.0))
-    rows = embeddings.select("vec_id", F.col("label").cast("long").alias("label"), value.alias("values"),
+    whole = isinstance(embeddings.schema["label"].dataType, T.IntegralType)
+    label = F.col("label").cast("long") if whole else F.when(F.col("label").isNotNull(), F.xxhash64("label"))
+    rows = embeddings.select("vec_id", label.alias("label"), value.alias("values"),
                              F.coalesce(sound, F.lit(False)).alias("sound"))
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column("values")
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         edge = np.concatenate(([0], np.cumsum(size)))
+        # The largest component comes near one, exactly, so that no square leaves the range of doubles.
+        if len(size):
+            _, power = np.frexp(np.maximum.reduceat(np.abs(flat), edge[:-1]))
+            flat = np.ldexp(flat, -np.repeat(power, size)) + 0.0
         blobs = [flat[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
         return A.batch_of(vec_id=batch.column("vec_id"), label=batch.column("label"), dim=size,
                           vector=pa.array(blobs, pa.binary()))

@@ -16,6 +16,8 @@ pytest.importorskip("ledgerlode.llm.queries")
 from ledgerlode.llm import (  # noqa: E402
     chat, decontaminate, mixing, ngrams, quality, queries_text, recompression, secrets, sharding, suffixes, vectors,
 )
+from pyspark.sql import functions as F  # noqa: E402
+
 from ledgerlode.llm.registry import ship  # noqa: E402
 from ledgerlode.sources.files import stored  # noqa: E402
 
@@ -205,7 +207,13 @@ def test_chat_examples_are_stored_and_read(spark, monkeypatch):
         kept[name] = stored(df, name, *more)
         return kept[name]
 
+    def rendered(conversations):
+        kept["chat-output"] = render(conversations)
+        return kept["chat-output"]
+
+    render = chat.format_turns
     monkeypatch.setattr(queries_text, "stored", keep)
+    monkeypatch.setattr(chat, "format_turns", rendered)
     sf = "/root/testdata/sf0.001"
     whole = {r.conv_id: r for r in queries_text.op6_prefix_targets(spark, sf).collect()}
     replies = spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").count() + 1
@@ -236,6 +244,53 @@ def test_chat_digests_hold_no_whole_conversation(spark):
     assert {r.conv_id: tuple(r)[1:5] for r in out.collect()} == {1: want, None: want}
 
 
+def brute_chat(rows):
+    """Per conversation: turns, their digest, characters and digest of the replies, characters of all examples and the rest."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is None, r[1] or 0, r[2] or "", r[3] or ""))
+        said = "".join(f"{r or ''}\n{t or ''}\n" for _, _, r, t in own)
+        loss = "".join(t or "" for _, _, r, t in own if r == "assistant")
+        length = formatted = rest = 0
+        for _, _, r, t in own:
+            text = re.sub(chat._ESCAPE, r"\1\\\2\3", t or "")
+            before, after = chat.TEMPLATE.get(r or "", (f"[ROLE:{(r or '').encode().hex()}] ", " [/ROLE]"))
+            length, rest = length + len(before + text + after), rest + len(before + text + after)
+            if r == "assistant":
+                formatted, rest = formatted + length, 0
+        out[conv] = (len(own), hashlib.sha256(said.encode()).hexdigest(), len(loss),
+                     hashlib.sha256(loss.encode()).hexdigest(), formatted + rest)
+    return out
+
+
+def test_chat_of_any_ids_turns_and_lengths(spark):
+    ship(spark)
+    draw = random.Random(2)
+    far = [-2**63, -2**62, -1, 0, 1, 2**62, 2**63 - 1, None]
+    roles = ["user", "assistant", "system", "tool", None, "assistant"]
+    words = ["é", "</s>", "<\\s>", "[INST]", "ok", "[ROLE:aa]", "\n", "[/ROLE]"]
+    rows = [(c, t, draw.choice(roles), " ".join(draw.choices(words, k=draw.randint(0, 6)))) for c in far for t in far]
+    rows += [(5, k % 40, "assistant" if k % 2 else "user", f"turn {k} é") for k in range(700)]     # a third in one
+    rows += [(6, 1, "user", "same")] * 50 + [(7, 1, "assistant", "long </s> " * 60_000), (8, 1, None, None)]
+    frame = spark.createDataFrame([(*r, 9, "x") for r in rows],
+                                  "conv_id long, turn long, role string, text string, position long, segment string")
+    turns = chat.format_turns(frame)
+    assert {r[0]: tuple(r)[1:] for r in chat.digest(turns).collect()} == brute_chat(rows)
+    by_conv = defaultdict(list)
+    for r in turns.collect():
+        by_conv[r.conv_id].append((r.position, r.offset, r.segment))
+    for found in by_conv.values():
+        offset = 0
+        for k, (position, begin, segment) in enumerate(sorted(found)):
+            assert position == k and begin == offset
+            offset += len(segment)
+    back = {(r.conv_id, r.position): (r.role, r.text) for r in chat.read_turns(turns).collect()}
+    for r in turns.where("conv_id <> 7").collect():
+        assert chat.read_segment(r.segment) == back[r.conv_id, r.position]
+    none = chat.format_turns(frame.limit(0))
+    assert none.count() == 0 and chat.digest(none).count() == 0
+
+
 def test_vectors(spark):
     ship(spark)
     draw = random.Random(9)
@@ -280,6 +335,89 @@ def test_shards(docs, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("first", range(1, 40, 6))
+def test_one_shard_more_takes_rows_only_into_itself(spark, first):
+    frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    before = None
+    for n in range(first, first + 7):
+        now = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.shard_documents(frame, shards=n).collect()}
+        assert set(s for s, _ in now.values()) <= set(range(n))
+        if before is not None:
+            assert all(now[i][0] == before[i][1] for i in now)
+            assert all(now[i][0] in (before[i][0], n - 1) for i in now)
+        before = now
+    counts = Counter(s for s, _ in before.values())
+    assert min(counts.values()) > 0.6 * 3000 / len(counts)
+
+
+def test_a_changed_weight_moves_rows_of_its_shard_only(spark):
+    frame = spark.range(2000).select(F.col("id").alias("doc_id"))
+    tree = sharding.shard_tree(8)
+    regions = list(tree.children)
+    rack = regions[0].children[0]
+    heavier = sharding.Node(rack.name, (sharding.Node("shard-0", shard=0, own_weight=3.0), *rack.children[1:]))
+    changed = sharding.Node("root", (sharding.Node(regions[0].name, (heavier, *regions[0].children[1:])), *regions[1:]))
+    rows = frame.select(sharding.descend(F.col("doc_id"), tree).alias("a"),
+                        sharding.descend(F.col("doc_id"), changed).alias("b")).collect()
+    assert all(r.a == r.b or r.b == 0 for r in rows) and sum(r.b == 0 for r in rows) > 1.8 * sum(r.a == 0 for r in rows)
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_texts_of_a_doubling_structure_differ(spark):
+    ship(spark)
+    one = thue_morse(1024)
+    two = one.translate(str.maketrans("ab", "ba"))
+    tail = [f"w{k}" for k in range(60)]
+    rows = [(1, one), (2, two), (3, " ".join([one, *tail[:49]])), (4, " ".join([two, *tail[:49]])),
+            (5, " ".join(f"x{k}" if c == "a" else f"y{k}" for k, c in enumerate(one))),
+            (6, " ".join("a" if c == "a" else "b" for c in thue_morse(4096))),
+            (7, " ".join("b" if c == "a" else "a" for c in thue_morse(4096)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(max(1, len(t.split()) - 4))} for i, t in rows}
+    want = linked_components(sets)
+    assert {r.doc_id: r.component_id for r in ngrams.ngram_components(frame).collect()} == want
+    assert want[1] != want[2] and want[6] == want[7]
+    for module, function, cut, width in ((recompression, "remove_repeated_words", SPACE.findall, 50),
+                                         (suffixes, "remove_repeated_bytes", lambda t: list(t), 50)):
+        seen, removed = {}, {}
+        for i, t in rows:
+            units = cut(t)
+            gone = set()
+            for k in range(len(units) - width + 1):
+                if seen.setdefault(tuple(units[k:k + width]), i) < i:
+                    gone.update(range(k, k + width))
+            removed[i] = len(gone)
+        got = {r.doc_id: r.n_removed for r in getattr(module, function)(frame).collect()}
+        assert got == removed
+
+
+def test_vectors_components_labels_and_lengths(spark):
+    ship(spark)
+    import numpy as np
+    draw = np.random.default_rng(4)
+    base = draw.normal(0, 1, (6, 32))
+    rows = []
+    for k in range(90):
+        x = base[k % 6] + draw.normal(0, 0.05, 32)
+        rows.append((1000 - k, (x * 10.0 ** draw.choice([-200, -160, 0, 150, 200])).tolist(), "ab"[k % 2], "x", k))
+    rows += [rows[0], rows[0], (2000, [0.0] * 32, "a", "x", 1), (None, rows[0][1], "a", "x", 1), (2001, rows[0][1], None, "x", 1)]
+    sound = [r for r in rows if r[0] is not None and r[2] is not None and any(r[1])]
+    x = np.array([np.array(r[1]) / max(map(abs, r[1])) for r in sound])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T >= 0.93) & (np.array([r[2] for r in sound])[:, None] == np.array([r[2] for r in sound])[None])
+    ids = np.array([r[0] for r in sound])
+    reach = ids.copy()
+    for _ in sound:
+        reach = np.array([reach[row].min() for row in near])
+    want = Counter((int(i), int(n - 1), int(c), bool(i == c)) for i, n, c in zip(ids, near.sum(1), reach))
+    want.update([(2000, 0, 2000, True), (None, 0, None, True), (2001, 0, 2001, True)])
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string, kept string, n_links int")
+    assert Counter(map(tuple, vectors.near_vectors(frame).collect())) == want
+
+
 def test_quality_held_out(spark):
     ship(spark)
     sf = "/root/testdata/sf0.01"
