@@ -1,6 +1,9 @@
 """The corpus pipeline: quality, near copies, decontamination, mixing, sharding; each over the table ``documents``
 as the stage before left it.
 
+Every stage takes null ids, texts and sources, repeated rows and an empty table: a null text is an empty document, a
+null id an id like others, a repeated row a document of its own, and no rows give none. Texts are never cut.
+
 ORACLE_SQL is None: a learned classifier has no SQL. ``tests/llm/test_pipeline.py`` holds the n-gram and
 decontamination stages against their operators' results, which have brute-force tests of their own.
 """
@@ -11,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlode.llm import decontaminate, mixing, ngrams, quality, sharding
 from ledgerlode.llm.registry import ship, table
-from ledgerlode.sources.files import shared_root
+from ledgerlode.sources.files import shared_root, stored
 
 ORACLE_SQL = None
 
@@ -35,12 +38,13 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, in whole documents; those it does not take go."""
+    """Each document as often as the mix takes it, in whole documents; those it does not take go. Rows are told
+    apart by a number of their own, so repeated and null ids are documents like others."""
     names = docs.columns
-    copies = (mixing.mix(docs, table(spark, sf_dir, "labels"))
-              .groupBy(F.col("doc_id").alias("__mixed")).agg(F.max("copies").alias("__copies"))
-              .where("__copies > 0"))
-    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__mixed")))
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    copies = (mixing.mix(rows, table(spark, sf_dir, "labels"), carry=("__row",))
+              .where("copies > 0").select("__row", F.col("copies").alias("__copies")))
+    return (rows.join(copies, "__row")
                 .withColumn("__turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
                 .select(*names))
 
