@@ -10,8 +10,8 @@ kept up to an edit.
 from __future__ import annotations
 
 import base64
-from array import array
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -23,106 +23,158 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ledgerlode.llm.spaced import Memo, Vocabulary, chunks
 
 _ROWS, _CHARS = 512, 1 << 22
-_SHORT, _PIECES = 64, 200_000      # pieces up to so many bytes are remembered, so many at a time
+_SHORT, _PIECES = 64, 100_000      # pieces up to so many characters are remembered, so many at a time
+_NEVER = 1 << 62                   # the rank of what no token is
+_NEIGHBOURS = 20_000               # left neighbours remembered for a token
+
+
+def read_ranks(raw: bytes) -> dict[bytes, int]:
+    """From the lines of a ranks file: token in base 64, rank."""
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines())}
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Coder:
-    """Encoder and decoder for ranks of byte strings; every single byte must have a rank."""
+    """Encoder for ranks of byte strings; every single byte must have a rank."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.pattern = regex.compile(pattern)
+        # Of each token that encodes to itself: size, rank, and the left neighbours it is known to agree with or not.
         self.suffixes = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if self.merged(token) == [rank]:
-                self.suffixes.add_word(token.decode("latin-1"), (len(token), rank))
+                self.suffixes.add_word(token.decode("latin-1"), (len(token), rank, {}))
         self.suffixes.make_automaton()
-        self._agree: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[bytes, list[int]] = {}
+        self._histories: dict[int, tuple] = {}
+        self._pieces: dict[str, bytes] = {}
         self._memo = Memo(lambda found: [self.ids_of(c) for c in found])
 
     @classmethod
     def read(cls, raw: bytes) -> Coder:
-        """From the lines of a ranks file: token in base 64, rank."""
-        return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines())})
+        return cls(read_ranks(raw))
 
-    def merged(self, data: bytes) -> list[int]:
-        """The ranks that merging neighbours, lowest rank first, then leftmost, leaves of some bytes. Used on the
-        bytes of one or two tokens only."""
+    def history(self, data: bytes) -> tuple[list[bytes], list[int], list[bytes], list[bytes]]:
+        """What merging neighbours, lowest rank first, then leftmost, leaves of some bytes; and the rank of each merge
+        with the first and the last part before it. Used on single tokens only."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            joined = [self.ranks.get(a + b, -1) for a, b in zip(parts, parts[1:])]
-            best = min((r for r in joined if r >= 0), default=-1)
-            if best < 0:
-                break
+        merges, firsts, lasts = [], [parts[0]], [parts[-1]]
+        joined = [self.ranks.get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+        while joined and (best := min(joined)) < _NEVER:
             i = joined.index(best)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+            joined[max(0, i - 1):i + 2] = [self.ranks.get(a + b, _NEVER)
+                                           for a, b in zip(parts[max(0, i - 1):i + 1], parts[max(1, i):i + 2])]
+            merges.append(best)
+            firsts.append(parts[0])
+            lasts.append(parts[-1])
+        return parts, [*merges, _NEVER], firsts, lasts
+
+    def merged(self, data: bytes) -> list[int]:
+        return [self.ranks[p] for p in self.history(data)[0]]
 
     def agree(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens encode to just the two."""
-        if len(self._agree) > 1_000_000:
-            self._agree.clear()
-        known = self._agree[left, right] = (
-            self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right])
+        """Whether the bytes of two tokens, each of which encodes to itself, encode to just the two. Up to the first
+        merge across their border both merge as each alone does, so their histories are stepped through by rank."""
+        _, left_ranks, _, lasts = self._history(left)
+        _, right_ranks, firsts, _ = self._history(right)
+        i = j = 0
+        while True:
+            a, b = left_ranks[i], right_ranks[j]
+            across = self.ranks.get(lasts[i] + firsts[j], _NEVER)
+            if across < a and across <= b and across < _NEVER:
+                return False
+            if a == b == _NEVER:
+                return True
+            if a <= b:
+                i += 1
+            else:
+                j += 1
+
+    def _history(self, token: int):
+        known = self._histories.get(token)
+        if known is None:
+            known = self._histories[token] = self.history(self.bytes_of[token])
         return known
 
-    def last_tokens(self, data: bytes, known: array | None = None) -> array:
-        """The last token of each prefix of ``data``. ``known`` has those of the first prefixes already."""
-        table = array("q", known or ())[:len(data)]
+    def last_tokens(self, data: str, known: Sequence[int] = ()) -> list[int]:
+        """The last token of each prefix of ``data``, bytes written as Latin-1. ``known`` has those of the first
+        prefixes already. There are as many remembered neighbours as pairs of tokens that texts bring together."""
+        table = list(known[:len(data)])
         done = len(table)
-        table.extend([-1] * (len(data) - done))
-        agrees = self._agree.get
-        # All tokens that end at a byte, the longest first; tokens that do not encode to themselves are left out.
-        for end, (size, token) in self.suffixes.iter(data.decode("latin-1"), max(0, done - self.longest + 1)):
-            if end < done or table[end] >= 0:
+        table += [-1] * (len(data) - done)
+        # All tokens that end at a byte, the longest first.
+        for end, (size, token, seen) in self.suffixes.iter(data, max(0, done - self.longest + 1)):
+            if table[end] >= 0:
                 continue
             if size > end:
                 table[end] = token
                 continue
             left = table[end - size]
-            fits = agrees((left, token))
-            if fits or (fits is None and self.agree(left, token)):
+            fits = seen.get(left)
+            if fits is None:
+                if len(seen) >= _NEIGHBOURS:
+                    seen.clear()
+                fits = seen[left] = self.agree(left, token)
+            if fits:
                 table[end] = token
         return table
 
-    def path(self, data: bytes, table: array) -> list[int]:
+    def path(self, data: bytes, table: Sequence[int]) -> list[int]:
         """The tokens of a piece: a piece that is a token is that token, else the table is read from its end."""
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        out, end = [], len(data)
+        out, end, bytes_of = [], len(data), self.bytes_of
         while end > 0:
             token = table[end - 1]
             out.append(token)
-            end -= len(self.bytes_of[token])
-        return out[::-1]
+            end -= len(bytes_of[token])
+        out.reverse()
+        return out
 
-    def piece(self, data: bytes) -> list[int]:
-        whole = self.ranks.get(data)
-        if whole is not None:
-            return [whole]
-        if len(data) > _SHORT:
-            return self.path(data, self.last_tokens(data))
-        known = self._pieces.get(data)
+    def piece(self, text: str) -> bytes:
+        """The ids of one match of the pattern."""
+        known = self._pieces.get(text)
         if known is None:
-            if len(self._pieces) >= _PIECES:
-                self._pieces.clear()
-            known = self._pieces[data] = self.path(data, self.last_tokens(data))
+            data = text.encode()
+            whole = self.ranks.get(data)
+            if whole is not None:
+                known = packed([whole])
+            else:
+                known = packed(self.path(data, self.last_tokens(text if text.isascii() else data.decode("latin-1"))))
+            if len(text) <= _SHORT:
+                if len(self._pieces) >= _PIECES:
+                    self._pieces.clear()
+                self._pieces[text] = known
         return known
 
     def ids_of(self, text: str) -> bytes:
-        out: list[int] = []
-        for piece in self.pattern.findall(text):
-            out += self.piece(piece.encode())
-        return np.array(out, "<u4").tobytes()
+        if text.isascii() and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return self.piece(text)
+        return b"".join([self.piece(p) for p in self.pattern.findall(text)])
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
+        """The packed ids of a text."""
         return b"".join(self._memo.of(chunks(text))) if text else b""
 
+
+class Decoder:
+    """The bytes of each id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.bytes_of = {rank: token for token, rank in ranks.items()}
+
+    @classmethod
+    def read(cls, raw: bytes) -> Decoder:
+        return cls(read_ranks(raw))
+
     def decode(self, ids: bytes) -> bytes:
         bytes_of = self.bytes_of
         return b"".join([bytes_of[i] for i in np.frombuffer(ids, "<u4").tolist()])
@@ -140,7 +192,7 @@ class EditedText:
     def __init__(self, coder: Coder, text: str = ""):
         self.coder, self.text = coder, ""
         self.starts: list[int] = []
-        self.pieces: list[tuple[bytes, array]] = []
+        self.pieces: list[tuple[bytes, list[int]]] = []
         self.steps = 0
         self.replace(0, 0, text)
 
@@ -167,13 +219,13 @@ class EditedText:
                 break
             match = self.coder.pattern.match(text, at)
             data = match.group().encode()
-            known = array("q")
+            known: list[int] = []
             if at <= start and at in old:
                 before, table = self.pieces[old[at]]
                 known = table[:_common(before, data)]
             self.steps += len(data) - len(known)
             starts.append(at)
-            pieces.append((data, self.coder.last_tokens(data, known)))
+            pieces.append((data, self.coder.last_tokens(data.decode("latin-1"), known)))
             at = match.end()
         self.text, self.starts, self.pieces = text, starts, pieces
 
@@ -237,7 +289,7 @@ def decode_documents(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
     words = Vocabulary(spark, ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
     def work(batches):
-        coder = words.load(Coder.read)
+        coder = words.load(Decoder.read)
         for batch in batches:
             sizes = [len(v or b"") for v in batch.column("ids").to_pylist()]
             for lo, hi in _runs(sizes):

@@ -32,7 +32,7 @@ class Memo:
     """Results by chunk in two generations: when the young one is full it becomes the old one, so what is in
     use stays and memory is bounded. Chunks over ``longest`` characters are worked out each time."""
 
-    def __init__(self, work: Callable[[list[str]], list], entries: int = 150_000, longest: int = 64):
+    def __init__(self, work: Callable[[list[str]], list], entries: int = 300_000, longest: int = 64):
         self.work, self.entries, self.longest = work, entries, longest
         self.young: dict[str, Hashable] = {}
         self.old: dict[str, Hashable] = {}
@@ -40,21 +40,19 @@ class Memo:
     def of(self, wanted: list[str]) -> list:
         """One result per chunk."""
         young, old = self.young, self.old
-        out = [young.get(c) for c in wanted]
-        lost: dict[str, list[int]] = {}
-        for i, found in enumerate(out):
-            if found is None:
-                lost.setdefault(wanted[i], []).append(i)
-        if not lost:
+        out = list(map(young.get, wanted))
+        if None not in out:
             return out
+        places = [i for i, found in enumerate(out) if found is None]
+        lost = dict.fromkeys([wanted[i] for i in places])
         fresh = [c for c in lost if c not in old]
         worked = dict(zip(fresh, self.work(fresh), strict=True)) if fresh else {}
-        for c, places in lost.items():
-            result = worked[c] if c in worked else old[c]
-            for i in places:
-                out[i] = result
+        for c in lost:
+            result = lost[c] = worked[c] if c in worked else old[c]
             if len(c) <= self.longest:
                 young[c] = result
+        for i in places:
+            out[i] = lost[wanted[i]]
         if len(young) >= self.entries:
             self.old, self.young = young, {}
         return out

@@ -77,22 +77,30 @@ def test_byte_pairs(docs, coder, library):
 
 def test_one_last_token_for_each_prefix(coder):
     data = "unbelievably aaaaaa'' 漢字".encode()
-    table = coder.last_tokens(data)
+    table = coder.last_tokens(data.decode("latin-1"))
     for end in range(1, len(data) + 1):
         fits = [t for size in range(1, end + 1) if (t := coder.ranks.get(data[end - size:end])) is not None
                 and coder.merged(coder.bytes_of[t]) == [t]
                 and (size == end or coder.merged(coder.bytes_of[table[end - size - 1]] + coder.bytes_of[t])
                      == [table[end - size - 1], t])]
         assert fits == [table[end - 1]] and coder.merged(data[:end])[-1] == table[end - 1]
+    draw = random.Random(7)
+    for a, b in ((draw.randrange(50_256), draw.randrange(50_256)) for _ in range(3000)):
+        assert coder.agree(a, b) == (coder.merged(coder.bytes_of[a] + coder.bytes_of[b]) == [a, b])
     for known in range(len(data) + 1):
-        assert coder.last_tokens(data, table[:known]) == table
+        assert coder.last_tokens(data.decode("latin-1"), table[:known]) == table
 
 
 def test_ranks_whose_tokens_do_not_encode_to_themselves():
-    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bc": 257, b"abcd": 258, b"cd": 259}
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bc": 257, b"acbd": 258, b"cd": 259}
     coder = byte_pairs.Coder(ranks)
     own = tiktoken.Encoding("odd", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     draw = random.Random(4)
+    sound = [r for t, r in ranks.items() if coder.merged(t) == [r]]
+    assert 258 not in sound
+    for a in (97, 98, 99, 100, 256, 257, 259):
+        for b in (97, 98, 99, 100, 256, 257, 259):
+            assert coder.agree(a, b) == (coder.merged(coder.bytes_of[a] + coder.bytes_of[b]) == [a, b])
     for _ in range(400):
         text = "".join(draw.choices("abcd ", k=draw.randint(0, 14)))
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == own.encode_ordinary(text)
