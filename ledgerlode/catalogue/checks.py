@@ -101,19 +101,3 @@ def dq_summary(spark, sf):
     bool_and(passed) AS all_passed FROM ({_ORPHANS})""", "fact_transaction"))
 def dq_gate(spark, sf):
     return quality.gate_result(_checks(spark, sf))
-
-
-@query("""SELECT 'silver_orders_' || b || '_SUCCESS' AS log_id, 'daily' AS pipeline_name,
-    'silver' AS notebook_name, 'SILVER' AS layer, 'orders' AS table_name, b AS batch_id,
-    'SUCCESS' AS status, n AS rows_read, d AS rows_written,
-    TIMESTAMP '2001-08-02 06:00:00' AS start_time, TIMESTAMP '2001-08-02 06:02:30' AS end_time,
-    CAST(150 AS DOUBLE) AS duration_seconds, CAST(NULL AS VARCHAR) AS error_message
-    FROM (SELECT strftime(o_orderdate, '%Y') AS b, count(*) AS n, count(DISTINCT o_custkey) AS d
-    FROM orders GROUP BY 1)""")
-def run_log_rows(spark, sf):
-    counts = (table(spark, sf, "orders")
-              .groupBy(F.date_format("o_orderdate", "yyyy").alias("batch_id"))
-              .agg(F.count(F.lit(1)).alias("rows_read"),
-                   F.count_distinct("o_custkey").alias("rows_written")))
-    return quality.run_log_from_counts(counts, "daily", "silver", "SILVER", "orders",
-                                       ntz("2001-08-02 06:00:00"), ntz("2001-08-02 06:02:30"))

@@ -107,6 +107,17 @@ def orphan_checks(fact: DataFrame, fact_table: str,
         (rate <= F.lit(float(limit))).alias("passed"))
 
 
+def null_checks(fact: DataFrame, fact_table: str, columns: Sequence[str],
+                limit: float = NULL_RATE_LIMIT) -> DataFrame:
+    """NULL rates as rows of the same shape, one per column, so that one gate reduces both kinds."""
+    rates = null_rates(fact, columns, limit)
+    return rates.select(
+        F.lit("NULL_RATE").alias("check_type"), F.lit(fact_table).alias("fact_table"),
+        F.col("column_name").alias("fk_column"), F.lit(None).cast("string").alias("dim_table"), "total_rows",
+        F.col("null_rows").alias("orphan_rows"), F.col("null_rate").alias("orphan_rate"),
+        F.lit(float(limit)).alias("threshold"), "passed")
+
+
 def missing_parents(child: DataFrame, parent: DataFrame, child_key: str,
                     parent_key: str) -> DataFrame:
     """Referential check against the parent itself: child rows whose key has no parent, NULL keys
@@ -147,11 +158,19 @@ def gate_result(checks: DataFrame) -> DataFrame:
          .alias("all_passed"))
 
 
+def failed_checks(checks: DataFrame) -> DataFrame:
+    """The failed checks, each as one JSON text in ``check``."""
+    told = [c for c in ("check_type", "fact_table", "fk_column", "orphan_rows", "total_rows") if c in checks.columns]
+    return (checks.where(~F.coalesce(F.col("passed"), F.lit(False)))
+                  .select(F.to_json(F.struct(*told)).alias("check")))
+
+
 def dq_gate(checks: DataFrame) -> None:
-    """Raise when a check failed, so that nothing after the gate runs."""
+    """Raise when a check failed, so that nothing after the gate runs. The error names the failed checks."""
     result = gate_result(checks).first()
     if not result.all_passed:
-        raise DataQualityError(f"{result.n_failed} of {result.n_checks} checks failed")
+        failed = sorted(r.check for r in failed_checks(checks).collect())        # a few per fact
+        raise DataQualityError(f"{result.n_failed} of {result.n_checks} checks failed: [{', '.join(failed)}]")
 
 
 def run_log(spark: SparkSession, events: Iterable[dict]) -> DataFrame:
@@ -164,23 +183,3 @@ def run_log(spark: SparkSession, events: Iterable[dict]) -> DataFrame:
             str(e[k]) for k in ("notebook_name", "table_name", "batch_id", "status"))}
         rows.append(tuple(row.get(name) for name in RUN_LOG_SCHEMA.fieldNames()))
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
-
-
-def run_log_from_counts(counts: DataFrame, pipeline: str, step: str, layer: str, table: str,
-                        started: Column, ended: Column) -> DataFrame:
-    """Run-log rows from per-batch counts (``batch_id, rows_read, rows_written``) held in a frame. A
-    batch that wrote more rows than it read is logged as failed."""
-    ok = F.col("rows_written") <= F.col("rows_read")
-    status = F.when(ok, F.lit("SUCCESS")).otherwise(F.lit("FAILED"))
-    message = F.when(~ok, F.to_json(F.struct(status.alias("status"), "rows_read", "rows_written")))
-    values = {
-        "log_id": F.concat_ws("_", F.lit(step), F.lit(table), "batch_id", status),
-        "pipeline_name": F.lit(pipeline), "notebook_name": F.lit(step), "layer": F.lit(layer),
-        "table_name": F.lit(table), "batch_id": F.col("batch_id"), "status": status,
-        "rows_read": F.col("rows_read"), "rows_written": F.col("rows_written"),
-        "start_time": started, "end_time": ended,
-        "duration_seconds": (F.unix_micros(ended.cast("timestamp"))
-                             - F.unix_micros(started.cast("timestamp"))) / 1e6,
-        "error_message": message,
-    }
-    return counts.select(*[values[n].alias(n) for n in RUN_LOG_SCHEMA.fieldNames()])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ledgerlode.functions.exprs import (
     all_present, any_null, as_timestamp, col, row_digest, tail_mask, token,
 )
+from ledgerlode.operators.evolve import fit, keeps_value
 from ledgerlode.schemas import AUDIT_COLUMNS, SILVER_STAMP
 
 
@@ -57,25 +58,29 @@ def existing(df: DataFrame, columns: Iterable[str]) -> list[str]:
 
 
 def enforce_schema(df: DataFrame, target: T.StructType, on_error: str = "raise"):
-    """Cast shared columns to the target types; other columns pass through.
+    """Cast shared columns to the target types; other columns pass through. A value that the cast would change, such as
+    5.75 as a whole number, does not fit.
 
     ``raise`` fails the job at the first value that does not fit and returns one frame.
     ``quarantine`` returns ``(good, bad)``: ``bad`` keeps the rows as they came.
     """
-    wanted = {f.name: f.dataType for f in target.fields}
-    current = {f.name: f.dataType for f in df.schema.fields}
-    changing = [c for c in df.columns if c in wanted and wanted[c] != current[c]]
-    if on_error == "raise":
-        return df.select([col(c).cast(wanted[c]).alias(c) if c in changing else col(c)
-                          for c in df.columns])
-    if on_error != "quarantine":
+    if on_error == "quarantine":
+        good, bad = fit(df, target)
+        return good, bad.drop("misfits")
+    if on_error != "raise":
         raise ValueError(f"unknown on_error: {on_error!r}")
-    misfit = F.lit(False)
-    for c in changing:
-        misfit = misfit | (col(c).isNotNull() & col(c).try_cast(wanted[c]).isNull())
-    good = df.where(~misfit).select(
-        [col(c).try_cast(wanted[c]).alias(c) if c in changing else col(c) for c in df.columns])
-    return good, df.where(misfit)
+    wanted = {f.name: f.dataType for f in target.fields}
+
+    def cast(field: T.StructField) -> Column:
+        name, kind = field.name, wanted.get(field.name, field.dataType)
+        if kind == field.dataType:
+            return col(name)
+        held = col(name).try_cast(kind)
+        failure = F.raise_error(F.concat(F.lit(f"{name} does not hold "), col(name).cast("string")))
+        return (F.when(keeps_value(col(name), field.dataType, kind), held)
+                 .when(held.isNull(), col(name).cast(kind)).otherwise(failure.cast(kind)).alias(name))
+
+    return df.select([cast(f) for f in df.schema.fields])
 
 
 def standardise_text(df: DataFrame, upper: Iterable[str] = ()) -> DataFrame:

@@ -14,6 +14,17 @@ class Dimension:
     history: bool
 
 
+@dataclass(frozen=True)
+class AtEvent:
+    """Columns of a dimension as they were when the fact happened: its versions are joined on ``key`` by the time in
+    ``event_time``. ``columns`` maps the dimension's columns to those of the fact."""
+
+    dimension: str
+    key: str
+    event_time: str
+    columns: tuple[tuple[str, str], ...]
+
+
 @dataclass(frozen=True)
 class Fact:
     name: str
@@ -22,10 +33,7 @@ class Fact:
     date_column: str | None
     columns: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
-
-
-def _columns(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
+    at_event: tuple[AtEvent, ...] = ()
 
 
 # Names, keys and columns of the gold tables.
@@ -44,23 +52,31 @@ DIMENSIONS = [
 FACTS = [
     Fact("FactTransaction", "silver_transaction", ("DimAccount", "DimCard", "DimMerchant"),
          "transaction_date",
-         _columns("transaction_id account_sk card_sk merchant_sk date_sk transaction_amount "
-                  "transaction_currency transaction_type transaction_status channel "
-                  "is_international_flag"),
+         ("transaction_id", "account_sk", "card_sk", "merchant_sk", "date_sk", "transaction_amount",
+          "transaction_currency", "transaction_type", "transaction_status", "channel",
+          "is_international_flag"),
          ("date_sk",)),
     Fact("FactPayment", "silver_payment", ("DimAccount",), "payment_date",
-         _columns("payment_id account_sk date_sk payment_amount payment_method payment_status "
-                  "is_autopay_flag")),
+         ("payment_id", "account_sk", "date_sk", "payment_amount", "payment_method", "payment_status",
+          "is_autopay_flag")),
     Fact("FactStatement", "silver_statement", ("DimAccount",), "statement_date",
-         _columns("statement_id account_sk date_sk opening_balance closing_balance total_purchases "
-                  "total_payments total_fees total_interest minimum_payment_due")),
+         ("statement_id", "account_sk", "date_sk", "opening_balance", "closing_balance", "total_purchases",
+          "total_payments", "total_fees", "total_interest", "minimum_payment_due")),
     Fact("FactFraud", "silver_fraud_case", ("DimCustomer",), "case_open_date",
-         _columns("fraud_case_id customer_sk date_sk fraud_type disputed_amount recovery_amount "
-                  "case_status")),
+         ("fraud_case_id", "customer_sk", "date_sk", "fraud_type", "disputed_amount", "recovery_amount",
+          "case_status")),
     Fact("FactCollections", "silver_collections", ("DimAccount",), None,
-         _columns("collections_id account_sk collections_stage outstanding_balance "
-                  "promise_to_pay_amount collections_status")),
+         ("collections_id", "account_sk", "collections_stage", "outstanding_balance",
+          "promise_to_pay_amount", "collections_status")),
 ]
+#: Columns of the facts whose NULL rate the gate checks on request.
+NULL_CHECKS = {
+    "FactTransaction": ("transaction_amount", "transaction_type"),
+    "FactPayment": ("payment_amount",),
+    "FactStatement": ("closing_balance",),
+    "FactFraud": ("fraud_type",),
+    "FactCollections": ("outstanding_balance",),
+}
 # The gate's foreign keys, and further ones that are checked on request.
 GATE_REFERENCES = {
     "FactTransaction": [("account_sk", "DimAccount"), ("card_sk", "DimCard")],

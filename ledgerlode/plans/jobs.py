@@ -9,10 +9,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgerlode.operators import quality, rows, scd, star
+from ledgerlode.operators import evolve, pit, quality, rows, scd, star, zorder
 from ledgerlode.operators.ordering import surrogate_key
-from ledgerlode.plans import gold
-from ledgerlode.sources import files, versions
+from ledgerlode.plans import gold, incremental
+from ledgerlode.sources import bronze, files, keymap, tables, versions
 from ledgerlode.sources.config import TableConfig
 
 LANDING_DAYS = 30            # fixed value: retention of the landing layer
@@ -20,7 +20,12 @@ LANDING_DAYS = 30            # fixed value: retention of the landing layer
 
 @dataclass
 class Lake:
-    """Where the layers live, and what is constant over a batch."""
+    """Where the layers live, and what is constant over a batch.
+
+    With a ``database`` the silver tables are bucketed tables of the session catalog, which a batch merges into bucket by
+    bucket; the other layers stay under ``root``. ``digest_mode`` is that of the stored record hash; changes are
+    found by ``change_mode``, which no two different rows share.
+    """
 
     spark: SparkSession
     root: str
@@ -29,12 +34,18 @@ class Lake:
     load_ts: str
     fmt: str = "parquet"
     digest_mode: str = "compat"
+    change_mode: str = "strict"
     parallel: int = 8            # tables loaded at a time
+    database: str | None = None
+    buckets: int = incremental.BUCKETS
     log: list[dict] = field(default_factory=list)
 
     def path(self, layer: str, table: str = "") -> str:
         return "/".join(p for p in (self.root, layer, table) if p)
 
+    def target(self, table: str, keys: Sequence[str] = ()) -> incremental.Target:
+        return incremental.Target(f"{self.database}.{table}", tuple(keys), self.buckets)
+
     def note(self, step: str, layer: str, table: str, batch_id: str, status: str, **more) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self.log.append({"pipeline_name": self.pipeline, "notebook_name": step, "layer": layer,
@@ -48,7 +59,6 @@ class Lake:
             files.append_path(events, self.path("control", "pipeline_execution_log"), self.fmt)
             self.log.clear()
 
-
     def each(self, work: Callable, items: Iterable) -> list:
         """Apply independent Spark work to every item, several at a time: one small table alone does
         not fill a cluster. The first failure is raised."""
@@ -87,23 +97,28 @@ def load_bronze(lake: Lake, cfg: TableConfig, batch_id: str,
                 schema: T.StructType | None = None) -> dict[str, int]:
     """Landing partition to bronze: one row of each kind, stamp, replace the batch.
 
-    The types are those of the given contract, else those bronze already has, else those landed. A batch
-    without rows is stored as one, and replaces what an earlier delivery of it left.
+    The types are those of the given contract, else the table's types so far widened by those landed, so no value is
+    changed by a cast; rows with a value that the type cannot hold go to quarantine as they came. Each batch keeps
+    the types it was stored with (``sources.bronze``). A batch without rows is stored as one, and replaces what an
+    earlier delivery of it left.
     """
     def work():
         spark, target = lake.spark, lake.path("bronze", cfg.bronze_table)
         landed = files.read_landing(spark, lake.path("landing"), cfg.source_system, cfg.table_name,
                                     lake.ingestion_date, batch_id, lake.fmt)
+        known = bronze.known_schema(spark, target, leave_out=batch_id)
+        contract = schema or evolve.widened(known, landed.schema)
+        _, misfits = evolve.fit(landed, contract)
         landed, read = files.counted(landed, "read")
-        contract = schema or landed.schema
-        if schema is None and files.child_names(spark, target):
-            contract = spark.read.format(lake.fmt).load(target).schema
+        typed, _ = evolve.fit(landed, contract)
+        refused = lake.path("control", f"bronze_quarantine_{cfg.table_name}")
+        files.overwrite_path(misfits, f"{refused}/batch_id={batch_id}", lake.fmt)
         # Rows repeat each other only when all their columns agree; the stored digest may skip nulls.
-        typed = rows.enforce_schema(landed, contract).dropDuplicates()
-        stamped = rows.stamp_audit(typed, cfg.source_system, batch_id, lake.pipeline, lake.load_ts,
+        stamped = rows.stamp_audit(typed.dropDuplicates(), cfg.source_system, batch_id, lake.pipeline, lake.load_ts,
                                    f"{cfg.table_name}.{lake.fmt}", lake.digest_mode)
         unique, written = files.counted(stamped, "written")
         files.overwrite_path(unique.drop("batch_id"), f"{target}/batch_id={batch_id}", lake.fmt)
+        bronze.record_schema(spark, target, batch_id, typed.schema)
         return {"rows_read": files.observed(read), "rows_written": files.observed(written)}
     return _step(lake, "bronze", "BRONZE", cfg.table_name, batch_id, work)
 
@@ -142,14 +157,16 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         source = rows.stamp_silver(clean, lake.load_ts)
         target = lake.path("silver", cfg.silver_table)
         newest = [F.xxhash64(*clean.columns)]
-        if cfg.scd_type != 2 and month_of:
+        if lake.database:
+            written = _merge_buckets(lake, cfg, batch_id, source, keys, tracked, on_duplicate, newest, first_start)
+        elif cfg.scd_type != 2 and month_of:
             written = _upsert_months(lake, target, source, keys, month_of, keys_stay, on_duplicate,
                                      newest)
         else:
             current = versions.read_current(spark, target, lake.fmt)
             if cfg.scd_type == 2:
                 merged = scd.merge_scd2(current, source, keys, tracked, lake.load_ts,
-                                        lake.digest_mode, on_duplicate, newest, first_start)
+                                        lake.change_mode, on_duplicate, newest, first_start)
             else:
                 merged = scd.merge_scd1(current, source, keys, on_duplicate, newest)
             merged, seen = files.counted(merged, "silver")
@@ -162,6 +179,15 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
     return _step(lake, "silver", "SILVER", cfg.table_name, batch_id, work)
 
 
+def _merge_buckets(lake: Lake, cfg: TableConfig, batch_id: str, source: DataFrame, keys: list[str], tracked: list[str],
+                   on_duplicate: str, newest: Sequence[Column], first_start: str | None) -> int:
+    target = lake.target(cfg.silver_table, keys)
+    if cfg.scd_type == 2:
+        return incremental.merge_type2(target, source, tracked, lake.load_ts, batch_id, lake.change_mode,
+                                       on_duplicate, newest, first_start).rows
+    return incremental.merge_type1(target, source, on_duplicate, newest).rows
+
+
 MONTH = "silver_month"
 
 
@@ -190,6 +216,9 @@ def _upsert_months(lake: Lake, target: str, source: DataFrame, keys: Sequence[st
 
 
 def read_silver(lake: Lake, table: str, history: bool = False) -> DataFrame | None:
+    if lake.database:
+        read = incremental.read_history if history else incremental.read_current
+        return read(lake.spark, lake.target(table))
     read = versions.read_history if history else versions.read_current
     df = read(lake.spark, lake.path("silver", table), lake.fmt)
     return None if df is None else df.drop(MONTH)
@@ -202,23 +231,28 @@ def read_gold(lake: Lake, table: str) -> DataFrame:
 def build_gold(lake: Lake, batch_id: str,
                dimensions: Sequence[gold.Dimension] = tuple(gold.DIMENSIONS),
                facts: Sequence[gold.Fact] = tuple(gold.FACTS), revenue: str | None = "account",
-               calendar: tuple[str, str] = (star.CALENDAR_START, star.CALENDAR_END),
+               calendar: tuple[str, str] | None = (star.CALENDAR_START, star.CALENDAR_END),
                key_mode: str = "sequence", date_partition: str = "day") -> dict[str, int]:
     """Dimensions, calendar, facts and revenue from silver. Facts read current rows only, so a fraud or
     collections case with two versions stays one fact row.
 
-    ``date_partition`` is the grain of the fact directories: ``day`` (column ``date_sk``) suits facts
+    Without a ``calendar`` it spans the dates of the facts. ``key_mode`` ``stored`` takes surrogate keys from maps in the
+    catalog that only grow (it needs a ``database``). ``date_partition`` is the grain of the fact directories: ``day`` (column ``date_sk``) suits facts
     with gigabytes per day, ``month`` (an added column ``month_sk``) smaller ones.
     """
     def work():
-        days = star.dim_date(lake.spark, *calendar)
+        days = star.dim_date(lake.spark, *calendar) if calendar else star.calendar_of(_bounds(lake, facts))
         files.overwrite_path(days, lake.path("gold", "DimDate"), lake.fmt)
         days = read_gold(lake, "DimDate")
 
         def dimension(d: gold.Dimension) -> int:
             silver = read_silver(lake, d.silver, history=d.history)
             order = [d.natural_key, scd.START] if d.history else [d.natural_key]
-            return store(surrogate_key(silver, order, d.sk, key_mode), d.name)
+            if key_mode == "stored":
+                keyed = keymap.assign_keys(silver, order, d.sk, f"{lake.database}.key_map_{d.name.lower()}", lake.buckets)
+            else:
+                keyed = surrogate_key(silver, order, d.sk, key_mode)
+            return store(keyed, d.name)
 
         def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
             df, seen = files.counted(df, name)
@@ -229,9 +263,18 @@ def build_gold(lake: Lake, batch_id: str,
             d = next(d for d in dimensions if d.name == name)
             return star.current_lookup(read_gold(lake, name), d.natural_key, d.sk), d.natural_key
 
+        def at_event(events: DataFrame, e: gold.AtEvent) -> DataFrame:
+            """The fact's rows with what the dimension said at their time, instead of what it says now."""
+            versions_ = read_gold(lake, e.dimension).select(
+                e.key, scd.START, scd.END, *[F.col(c).alias(name) for c, name in e.columns])
+            return pit.pit_join(events, versions_, [e.key], e.event_time, scd.START, scd.END,
+                                [name for _, name in e.columns], "join")
+
         def fact(f: gold.Fact) -> int:
-            df = star.resolve_fact(read_silver(lake, f.silver), [lookup(n) for n in f.dimensions],
-                                   f.columns, days, f.date_column)
+            events = read_silver(lake, f.silver)
+            for e in f.at_event:
+                events = at_event(events, e)
+            df = star.resolve_fact(events, [lookup(n) for n in f.dimensions], f.columns, days, f.date_column)
             partition_by = f.partition_by
             if partition_by and date_partition == "month":
                 df = df.withColumn("month_sk", F.floor(F.col("date_sk") / 100).cast("int"))
@@ -250,14 +293,25 @@ def build_gold(lake: Lake, batch_id: str,
     return _step(lake, "gold", "GOLD", "ALL_DIMENSIONS_AND_FACTS", batch_id, work)
 
 
+def _bounds(lake: Lake, facts: Sequence[gold.Fact]) -> DataFrame:
+    """One row with the first and the last date of all dated facts."""
+    dated = [read_silver(lake, f.silver).agg(F.min(f.date_column).cast("date").alias("first"),
+                                             F.max(f.date_column).cast("date").alias("last"))
+             for f in facts if f.date_column]
+    return rows.union_batches(*dated).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
 def validate_gold(lake: Lake, batch_id: str,
                   references: Mapping[str, Sequence[tuple[str, str]]] = gold.GATE_REFERENCES,
-                  limit: float = quality.ORPHAN_RATE_LIMIT) -> dict[str, int]:
-    """Referential checks of the facts; the summary is stored first, then a failed check raises."""
+                  limit: float = quality.ORPHAN_RATE_LIMIT, not_null: Mapping[str, Sequence[str]] | None = None,
+                  null_limit: float = quality.NULL_RATE_LIMIT) -> dict[str, int]:
+    """Referential checks of the facts, and NULL rates of the columns in ``not_null``, in one gate; the summary is
+    stored first, then a failed check raises."""
     def work():
         checks = quality.union_checks(
-            quality.orphan_checks(read_gold(lake, fact), fact, pairs, limit)
-            for fact, pairs in references.items())
+            [quality.orphan_checks(read_gold(lake, fact), fact, pairs, limit) for fact, pairs in references.items()]
+            + [quality.null_checks(read_gold(lake, fact), fact, columns, null_limit)
+               for fact, columns in (not_null or {}).items()])
         summary = quality.summary_rows(checks, batch_id, lake.load_ts)
         path = lake.path("control", "dq_validation_summary")
         files.replace_partitions(summary.coalesce(1), path, ["batch_id"], lake.fmt)
@@ -274,21 +328,54 @@ def expire_landing(lake: Lake, cfg: TableConfig, as_of: str, days: int = LANDING
     return files.drop_partitions(lake.spark, files.expired_partitions(lake.spark, path, as_of, days))
 
 
-def maintain_silver(lake: Lake, cfg: TableConfig, keys: Sequence[str], file_count: int) -> int:
+def maintain_silver(lake: Lake, cfg: TableConfig, keys: Sequence[str], file_count: int | None = None) -> int:
     """Rewrite the current state clustered by ``keys``, then delete replaced states; returns how many
-    directories went. For plain and history tables, at a time without running jobs."""
+    directories went. The number of files follows the bytes where none is given. For plain and history tables, at a
+    time without running jobs."""
     target = lake.path("silver", cfg.silver_table)
     current = versions.read_current(lake.spark, target, lake.fmt)
     history = scd.CURRENT if scd.CURRENT in current.columns else None
-    versions.write_version(files.compact(current, keys, file_count), target, history, lake.fmt)
+    count = file_count or files.file_count(current)
+    versions.write_version(files.compact(current, keys, count), target, history, lake.fmt)
     return files.drop_partitions(lake.spark, versions.superseded(lake.spark, target))
 
 
+def cluster_gold(lake: Lake, fact: str, keys: Sequence[str], target: str, file_bytes: int = files.FILE_BYTES) -> int:
+    """A copy of a gold fact in Z-order of ``keys``, in directories ``zone=<n>`` of about ``file_bytes`` each, under
+    ``target``; returns the number of zones."""
+    df = read_gold(lake, fact)
+    rows_per_zone = max(1, df.count() // files.file_count(df, file_bytes))
+    files.overwrite_path(zorder.clustered(df, keys, rows_per_zone), target, lake.fmt, [zorder.ZONE])
+    return len([n for n in files.child_names(lake.spark, target) if n.startswith(f"{zorder.ZONE}=")])
+
+
+def publish(lake: Lake, name: str, table: str, partition_by: Sequence[str] = ()) -> None:
+    """A gold table as a table of the session catalog: replaced as a whole, or, with partition columns, partition by
+    partition."""
+    df = read_gold(lake, name)
+    if partition_by:
+        tables.replace_rows(df, table, partition_by)
+    else:
+        tables.overwrite_rows(df, table)
+
+
+def run_configured(lake: Lake, batch_id: str, config: DataFrame, extract: Callable[[TableConfig], DataFrame],
+                   only: Sequence[str] = (), **options) -> list[dict]:
+    """``run_batch`` over the records of a configuration. ``only`` names some of its tables; a name that it does not
+    have is an error before anything is loaded."""
+    records = {r.table_name: TableConfig.of(r) for r in config.collect()}       # one row per table
+    unknown = sorted(set(only) - set(records))
+    if unknown:
+        raise ValueError(f"no configuration for tables {unknown}")
+    chosen = [records[n] for n in (only or sorted(records))]
+    return run_batch(lake, batch_id, [(c, extract(c)) for c in chosen if c.active_flag], **options)
+
+
 def run_batch(lake: Lake, batch_id: str, tables: Sequence[tuple[TableConfig, DataFrame]],
               silver_options: Mapping[str, dict] | None = None,
               gold_options: Mapping | None = None,
               references: Mapping[str, Sequence[tuple[str, str]]] = gold.GATE_REFERENCES,
-              ) -> list[dict]:
+              not_null: Mapping[str, Sequence[str]] | None = None) -> list[dict]:
     """All active tables to silver, then gold, then the gate.
 
     A failing table is recorded and the others still load; gold and the gate run only when every table
@@ -310,7 +397,7 @@ def run_batch(lake: Lake, batch_id: str, tables: Sequence[tuple[TableConfig, Dat
         if failed:
             raise quality.DataQualityError(f"gold not built, tables failed: {failed}")
         build_gold(lake, batch_id, **(gold_options or {}))
-        validate_gold(lake, batch_id, references)
+        validate_gold(lake, batch_id, references, not_null=not_null)
     finally:
         lake.flush_log()
     return results

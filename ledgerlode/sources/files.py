@@ -159,16 +159,8 @@ def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet",
     by them; the rebalance splits a partition value that holds too much for one task."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
-
-
-def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
-                    partition_by: Sequence[str] = ()) -> None:
-    """The same for a catalog table."""
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    (df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
-       .partitionBy(*partition_by).saveAsTable(name))
+    (df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(*partition_by).save(path))
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
@@ -182,17 +174,6 @@ def append_path(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").save(path)
 
 
-def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("append").saveAsTable(name)
-
-
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
-                 fmt: str = "parquet") -> None:
-    """Create an empty table when there is none."""
-    if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], schema).write.format(fmt).saveAsTable(name)
-
-
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None,
                  fmt: str = "parquet") -> DataFrame:
     """All batches of a table partitioned by ``batch_id``, with the columns of every batch. A given
@@ -216,6 +197,19 @@ def compact(df: DataFrame, keys: Sequence[str], files: int) -> DataFrame:
               .drop("__spread"))
 
 
+FILE_BYTES = 128 << 20
+
+
+def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """How many files of about ``file_bytes`` the stored files that a frame reads make."""
+    spark = df.sparkSession
+    total = 0
+    for name in df.inputFiles():
+        fs, path = _filesystem(spark, name)
+        total += fs.getFileStatus(path).getLen()
+    return max(1, -(-total // file_bytes))
+
+
 def retained(df: DataFrame, date_column: str, as_of: str, days: int) -> DataFrame:
     """Rows within the retention window that ends at ``as_of``."""
     return df.where(F.col(date_column) >= F.date_sub(F.lit(as_of).cast("date"), days))

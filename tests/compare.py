@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+import tempfile
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -23,6 +24,7 @@ def session(partitions: int = 8) -> SparkSession:
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "8g")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -5,9 +5,10 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from ledgerlode import catalogue
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
     problem, rows = compare.difference(spark, duck, name, SMALL)
     assert problem is None
@@ -15,7 +16,8 @@ def test_query_agrees_with_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalogue.QUERIES) == set(catalogue.SQL)
+    assert set(catalogue.QUERIES) <= set(entry.queries()) and set(catalogue.SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

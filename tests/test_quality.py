@@ -85,11 +85,12 @@ def test_run_log_with_all_null_columns(spark):
     assert rows["n_t_b_SUCCESS"].duration_seconds == 90.0
 
 
-def test_run_log_from_counts_marks_failures(frame):
-    from pyspark.sql import functions as F
-    counts = frame([("b1", 5, 4), ("b2", 3, 4)], "batch_id string, rows_read long, rows_written long")
-    now = F.lit("2026-01-01 00:00:00").cast("timestamp")
-    rows = {r.batch_id: r for r in quality.run_log_from_counts(
-        counts, "p", "n", "L", "t", now, now).collect()}
-    assert rows["b1"].status == "SUCCESS" and rows["b1"].error_message is None
-    assert rows["b2"].status == "FAILED" and '"rows_written":4' in rows["b2"].error_message
+def test_gate_names_what_failed(frame):
+    fact = frame([(1, None, "x"), (2, 5, None), (3, 6, None)], "id long, account_sk long, kind string")
+    checks = quality.union_checks([quality.orphan_checks(fact, "Fact", [("account_sk", "DimAccount")], 0.5),
+                                   quality.null_checks(fact, "Fact", ["kind", "id", "not_there"])])
+    rows = {r.fk_column: r for r in checks.collect()}
+    assert {k: (r.check_type, r.orphan_rows, r.passed) for k, r in rows.items()} == {
+        "account_sk": ("REFERENTIAL_INTEGRITY", 1, True), "kind": ("NULL_RATE", 2, False), "id": ("NULL_RATE", 0, True)}
+    with pytest.raises(quality.DataQualityError, match=r'1 of 3 checks failed: \[\{"check_type":"NULL_RATE".*"kind"'):
+        quality.dq_gate(checks)

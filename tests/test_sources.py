@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
 from ledgerlode.schemas import RUN_LOG_SCHEMA
-from ledgerlode.sources import config, files, versions
+from ledgerlode.sources import config, files, tables, versions
 
 ROW = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())])
 
@@ -51,14 +51,20 @@ def test_catalog_tables(spark, rows):
     name = "t_ledgerlode_sink"
     spark.sql(f"drop table if exists {name}")
     try:
-        files.ensure_table(spark, name, ROW)
-        files.ensure_table(spark, name, ROW)
+        assert tables.create_table(spark.createDataFrame([], ROW), name)
+        assert not tables.create_table(spark.createDataFrame([], ROW), name)
         assert files.table_exists(spark, name) and spark.table(name).count() == 0
-        files.append_table(rows, name)
-        files.append_table(rows, name)
+        tables.append_rows(rows, name)
+        tables.append_rows(rows, name)
         assert files.read_source(spark, "table", name).count() == 6
-        files.overwrite_table(rows.withColumn("d", F.lit(20200101)), name, partition_by=["d"])
+        tables.append_rows(rows.withColumn("more", F.lit(1)), name)
+        assert spark.table(name).where("more is null").count() == 6 and spark.table(name).count() == 9
+        tables.overwrite_rows(rows.withColumn("d", F.lit(20200101)), name, partition_by=["d"])
         assert spark.table(name).count() == 3 and "d" in spark.table(name).columns
+        tables.replace_rows(rows.limit(1).withColumn("d", F.lit(20200102)), name, ["d"])
+        tables.replace_rows(rows.limit(2).withColumn("d", F.lit(20200101)), name, ["d"])
+        assert {r.d: r["count"] for r in spark.table(name).groupBy("d").count().collect()} == {20200101: 2, 20200102: 1}
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
     finally:
         spark.sql(f"drop table if exists {name}")
 
