@@ -1,18 +1,23 @@
 """Cross-tokenizer alignment: byte cuts of two tokenizers over one text, groups between common cuts, links.
 
 The tokenizers' own spans are the coarse cuts: character offsets on one side (A), spans of the sentencepiece proto on
-the other (B). Where tokens share a character, and for byte-fallback tokens, the cuts come from the decoded
+the other (B; the installed library refuses ``immutable_proto`` and gives the same spans as an offset mapping). Where tokens share a character, and for byte-fallback tokens, the cuts come from the decoded
 bytes. Texts are cut into chunks that neither tokenizer joins across (``spaced.chunks``); each common chunk is
 aligned once and remembered.
 """
 
 from __future__ import annotations
 
+import gc
+from array import array
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
@@ -22,9 +27,9 @@ from ledgerlode.llm.spaced import Memo, Vocabulary, chunks
 from ledgerlode.sources.files import overwrite_path, shared_root, stored
 
 PAIRS_AT_ONCE = 1 << 22        # counts of so many id pairs are sent to the tasks at a time (16 bytes each)
-_SHIFT, _ROWS, _CHARS, _FLUSH = 32, 256, 1 << 21, 1 << 21
-#: No group, and no links.
-NOTHING = (0, 0, 0, 0, "", b"")
+_SHIFT, _BYTES, _FLUSH = 32, 1 << 20, 1 << 21
+#: A link as one number: A id, B id, and whether the A and the B token end with it.
+_A, _B, _ID = 33, 2, (1 << 31) - 1
 
 
 def byte_letters() -> dict[str, int]:
@@ -47,11 +52,14 @@ class Bytes:
 
     def cut(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids and the byte offsets where the tokens end. A token ends where its characters do, unless the next token
-        starts within them."""
+        starts within them; then its decoded bytes say where."""
         out = []
         for text, found in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
             ids, spans = found.ids, found.offsets
-            at_byte = range(len(text) + 1) if text.isascii() else [0, *accumulate(len(c.encode()) for c in text)]
+            if text.isascii():                  # a character is a byte, which no two tokens share
+                out.append((ids, [end for _, end in spans]))
+                continue
+            at_byte = [0, *accumulate(len(c.encode()) for c in text)]
             starts = [s for s, _ in spans[1:]] + [len(text)]
             ends, at = [], 0
             for token, (_, end), following in zip(ids, spans, starts):
@@ -68,76 +76,141 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=raw)
         n = self.model.get_piece_size()
         pieces = [self.model.id_to_piece(i) for i in range(n)]
-        self.single = [self.model.is_byte(i) for i in range(n)]
-        self.of = [bytes([int(p[3:5], 16)]) if one else p.replace("▁", " ").encode()
-                   for p, one in zip(pieces, self.single)]
+        self.bytes_ = {i for i in range(n) if self.model.is_byte(i)}
+        self.of = [bytes([int(p[3:5], 16)]) if i in self.bytes_ else p.replace("▁", " ").encode()
+                   for i, p in enumerate(pieces)]
 
     def cut(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """The same for texts that start with the space that the model adds. A proto's spans count bytes."""
+        """The same for texts that start with the space that the model adds, or with a line feed: then the piece that the
+        model starts with is that space alone and goes. Spans count bytes of the text without the space; those of
+        byte-fallback pieces are empty up to the last one of a character, so each of these is one byte."""
+        bare = [t[1:] if t[0] == " " else t for t in texts]
         out = []
-        for proto in self.model.encode([t[1:] for t in texts], return_type="proto", num_threads=1):
-            ids, ends, at = [], [], 0
-            for piece in proto.pieces:
-                token = piece.id
-                at = at + 1 if self.single[token] else piece.end + 1
-                ids.append(token)
+        for text, found in zip(texts, self.model.encode(bare, return_type="offset_mapping", return_bytes=True, num_threads=1)):
+            ids, spans = found["ids"], found["offsets"]
+            own = text[0] == " "
+            if not own:
+                ids, spans = ids[1:], spans[1:]
+            if self.bytes_.isdisjoint(ids):
+                out.append((ids, [end + own for _, end in spans]))
+                continue
+            ends, at = [], 0
+            for token, (_, end) in zip(ids, spans):
+                at = at + 1 if token in self.bytes_ else end + own
                 ends.append(at)
             out.append((ids, ends))
         return out
 
 
-def match(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple:
-    """``n_a, n_b, n_groups, n_links, groups, links`` of two tokenizations of the same bytes. Two tokens that overlap
-    share exactly one stretch between neighbouring cuts of either side, so each stretch is a link."""
-    links, groups = [], []
-    i = j = from_a = from_b = 0
+def match(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> bytes:
+    """The links of two tokenizations of the same bytes, in order, each as one number. Two tokens that overlap share
+    exactly one stretch between neighbouring cuts of either side, so each stretch is a link."""
+    links = []
+    i = j = 0
     while i < len(a):
-        links.append(a[i] << _SHIFT | b[j])
         gap = a_ends[i] - b_ends[j]
+        links.append(a[i] << _A | b[j] << _B | (gap <= 0) << 1 | (gap >= 0))
         if gap <= 0:
             i += 1
         if gap >= 0:
             j += 1
-        if gap == 0:
-            groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-            from_a, from_b = i, j
-    return len(a), len(b), len(groups), len(links), ";".join(groups), np.array(links, np.int64).tobytes()
+    return array("q", links).tobytes()
 
 
 class Aligner:
     def __init__(self, a: Bytes, b: Pieces):
         self.a, self.b = a, b
-        self.memo = Memo(self.chunks, 100_000)
+        self.memo = Memo(self.chunks, 250_000)
 
-    def chunks(self, texts: list[str]) -> list[tuple]:
-        """One result per text that starts with a space; ``NOTHING`` where the tokens' bytes are not the text's."""
+    def chunks(self, texts: list[str]) -> list[bytes]:
+        """The links of each text that starts with a space or line feed; none where the tokens' bytes are not the text's."""
         return [self._one(text.encode(), *x, *y)
                 for text, x, y in zip(texts, self.a.cut(texts), self.b.cut(texts), strict=True)]
 
-    def _one(self, data: bytes, a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple:
-        sides = []
+    def _one(self, data: bytes, a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> bytes:
         for ids, ends, of in ((a, a_ends, self.a.of), (b, b_ends, self.b.of)):
             words = [of[i] for i in ids]
             if b"".join(words) != data:
-                return NOTHING
-            exact = list(accumulate(map(len, words)))
-            if exact != ends:
+                return b""
+            if list(accumulate(map(len, words))) != ends:
                 raise ValueError("spans and bytes of the tokens disagree")
-            sides += [ids, ends]
-        return match(*sides)
-
-    def text(self, text: str) -> tuple:
-        """The alignment of a whole text, without the space before it. Null and empty texts have no tokens."""
-        if not text:
-            return NOTHING
-        whole = " " + text
-        parts = self.memo.of(chunks(whole))
-        if any(p is NOTHING or not p[0] for p in parts):
-            return self.chunks([whole])[0]
-        if len(parts) == 1:
-            return parts[0]
-        counts = [sum(column) for column in list(zip(*parts))[:4]]
-        return *counts, ";".join([p[4] for p in parts]), b"".join([p[5] for p in parts])
+        return match(a, a_ends, b, b_ends)
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """The links of whole texts, without the space before them; none for an empty one."""
+        cut = [chunks(" " + t) if t else [] for t in texts]
+        edges = [0, *accumulate(map(len, cut))]
+        found = self.memo.of([c for one in cut for c in one])
+        if b"" not in found:
+            return [b"".join(found[x:y]) for x, y in zip(edges, edges[1:])]
+        return [self.chunks([" " + t])[0] if b"" in (parts := found[x:y]) else b"".join(parts)
+                for t, x, y in zip(texts, edges, edges[1:])]
+
+
+@lru_cache(maxsize=4)
+def _written(size: int) -> np.ndarray:
+    """The decimal digits of the numbers below ``size``, behind zero bytes."""
+    texts = np.array([str(i).rjust(len(str(size))) for i in range(size)], "S")
+    table = texts.view(np.uint8).reshape(size, -1)
+    return np.where(table == ord(" "), 0, table).astype(np.uint8)
+
+
+def _digits(size: int) -> np.ndarray:
+    return _written(1 << max(10, (size - 1).bit_length()))
+
+
+class Linked:
+    """The links of several texts side by side; ``edges`` has where each text's begin."""
+
+    def __init__(self, texts: list[bytes]):
+        links = np.frombuffer(b"".join(texts), np.int64)
+        self.edges = np.concatenate(([0], np.cumsum([len(t) // 8 for t in texts], dtype=np.int64)))
+        self.a, self.b = links >> _A, links >> _B & _ID
+        self.a_end, self.b_end = (links >> 1 & 1).astype(bool), (links & 1).astype(bool)
+        self.closed = self.a_end & self.b_end
+
+    def counts(self) -> list[np.ndarray]:
+        """Tokens of A and of B, groups and links of each text."""
+        sums = [np.concatenate(([0], np.cumsum(x)))[self.edges] for x in (self.a_end, self.b_end, self.closed)]
+        return [np.diff(x) for x in (*sums, self.edges)]
+
+    def groups(self) -> list[str]:
+        """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+        group = np.cumsum(self.closed) - self.closed
+        through = [np.cumsum(x)[self.closed] for x in (self.a_end, self.b_end)]
+        before_b = np.concatenate(([0], through[1][:-1])) if len(through[1]) else through[1]
+        ids, place, stop = [], [], []
+        last = np.zeros(len(through[0]), bool)                       # the last group of each text
+        n_groups = np.cumsum(self.counts()[2])
+        last[n_groups[n_groups > 0] - 1] = True
+        for k, (token, ends, other) in enumerate(((self.a, self.a_end, before_b), (self.b, self.b_end, through[0]))):
+            of = group[ends]
+            number = np.arange(len(of))
+            closing = np.full(len(of), ord("|")) if k == 0 else np.where(last[of], 0, ord(";"))
+            ids.append(token[ends])
+            place.append(number + other[of])
+            stop.append(np.where(number + 1 == through[k][of], closing, ord(",")))
+        at = np.concatenate(place)
+        token, end = np.empty(len(at), np.int32), np.empty(len(at), np.uint8)
+        token[at], end[at] = np.concatenate(ids), np.concatenate(stop)
+        digits = _digits(int(token.max(initial=0)) + 1)
+        rows = np.empty((len(at), digits.shape[1] + 1), np.uint8)
+        rows[:, :-1], rows[:, -1] = digits[token], end
+        written = rows != 0
+        sizes = np.concatenate(([0], np.cumsum(written.sum(1))))
+        a, b, _, _ = self.counts()
+        edges = sizes[np.concatenate(([0], np.cumsum(a + b)))].tolist()
+        text = rows[written].tobytes().decode("ascii")
+        return [text[x:y] for x, y in zip(edges, edges[1:])]
+
+    def packed(self) -> list[bytes]:
+        """The distinct id pairs of each text and how often each is linked (``link_arrays``)."""
+        pairs = self.a << _SHIFT | self.b
+        out = []
+        for lo, hi in zip(self.edges[:-1].tolist(), self.edges[1:].tolist()):
+            names, times = np.unique(pairs[lo:hi], return_counts=True)
+            out.append(pack(np.diff(names, prepend=0), times.astype(np.int32)))
+        return out
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -157,34 +230,39 @@ def align_documents(documents: DataFrame, byte_level: str | None = None, pieces:
     words = Vocabulary(spark, byte_level or public_tokenizers.path("byte_bpe_50k.json"))
     parts = Vocabulary(spark, pieces or public_tokenizers.path("piece_bpe_32k.model"))
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "links"]
-    kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-
     def work(batches):
         key = (words.digest, parts.digest)
         if key not in _aligners:
             _aligners[key] = Aligner(words.load(Bytes), parts.load(Pieces))
-        aligner = _aligners[key]
-        for batch in batches:
-            lo, out, chars = 0, [], 0
-            for i, text in enumerate(batch.column("text")):
-                found = aligner.text(text.as_py())
-                out.append((*found[:5], _packed(found[5])))
-                chars += len(found[4])
-                if chars > _CHARS or len(out) == _ROWS or i == batch.num_rows - 1:
-                    columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, len(out)), *columns], names)
-                    lo, out, chars = i + 1, [], 0
+        gc.disable()               # spans are millions of small tuples, none in a cycle
+        try:
+            for batch in batches:
+                yield from _aligned(batch, _aligners[key])
+        finally:
+            gc.enable()
 
     fields = [T.LongType()] * 4 + [T.StringType(), T.BinaryType()]
     schema = T.StructType([T.StructField("doc_id", documents.schema["doc_id"].dataType),
-                           *[T.StructField(n, k) for n, k in zip(names[1:], fields)]])
+                           *[T.StructField(n, k) for n, k in zip(_NAMES[1:], fields)]])
     return rows.mapInArrow(work, schema)
 
 
-def _packed(links: bytes) -> bytes:
-    pairs, times = np.unique(np.frombuffer(links, np.int64), return_counts=True)
-    return pack(np.diff(pairs, prepend=0), times.astype(np.int32))
+_NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "links"]
+
+
+def _aligned(batch: pa.RecordBatch, aligner: Aligner) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch aligned, about ``_BYTES`` of text at a time."""
+    column, lo, size = batch.column("text"), 0, 0
+    lengths = pc.binary_length(column).to_pylist()
+    for i, length in enumerate(lengths):
+        size += length
+        if size > _BYTES or i == len(lengths) - 1:
+            n = i + 1 - lo
+            linked = Linked(aligner.texts(column.slice(lo, n).to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(lo, n), *[pa.array(c, pa.int64()) for c in linked.counts()],
+                 pa.array(linked.groups(), pa.string()), pa.array(linked.packed(), pa.binary())], _NAMES)
+            lo, size = i + 1, 0
 
 
 def link_arrays(links: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -12,10 +12,10 @@ _PRINTED = frozenset(map(chr, range(0x21, 0x7F)))
 
 
 def chunks(text: str) -> list[str]:
-    """The text in chunks that join to it again. A cut lies before a space that stands between a character that
-    is no space and a letter or printed ASCII character.
+    """The text in chunks that join to it again. A cut lies before a space or line feed that stands between a character
+    that is no white space (for a space: no space) and a letter or printed ASCII character.
 
-    The public pattern starts a match at such a space whatever stands before it (a run of white space gives its last
+    The public pattern starts a match at such a place whatever stands before it (a run of white space gives its last
     space away), and no sentencepiece of a model that splits at white space crosses it. So each chunk is tokenized
     as in the whole text.
     """
@@ -23,9 +23,24 @@ def chunks(text: str) -> list[str]:
     cuts = [i for i in range(1, len(parts))
             if parts[i] and parts[i - 1] and (parts[i][0] in _PRINTED or parts[i][0].isalpha())]
     if len(cuts) == len(parts) - 1:
-        return [parts[0], *[" " + p for p in parts[1:]]]
-    edges = [0, *cuts, len(parts)]
-    return [(" " if lo else "") + " ".join(parts[lo:hi]) for lo, hi in zip(edges, edges[1:])]
+        out = [parts[0], *[" " + p for p in parts[1:]]]
+    else:
+        edges = [0, *cuts, len(parts)]
+        out = [(" " if lo else "") + " ".join(parts[lo:hi]) for lo, hi in zip(edges, edges[1:])]
+    if "\n" in text:
+        return [line for c in out for line in (_lines(c) if "\n" in c else (c,))]
+    return out
+
+
+def _lines(chunk: str) -> list[str]:
+    parts = chunk.split("\n")
+    out = [parts[0]]
+    for before, part in zip(parts, parts[1:]):
+        if part and before and not before[-1].isspace() and (part[0] in _PRINTED or part[0].isalpha()):
+            out.append("\n" + part)
+        else:
+            out[-1] += "\n" + part
+    return out
 
 
 class Memo:
