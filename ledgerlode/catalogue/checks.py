@@ -19,13 +19,12 @@ def dup_key_groups(spark, sf):
     return quality.duplicate_keys(table(spark, sf, "lineitem"), _LINE_KEY)
 
 
-@query("""SELECT 'lineitem' AS table_name, count(*) AS total_rows,
-    CAST(0 AS BIGINT) AS null_pk_rows,
-    (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber
-      HAVING count(*) > 1)) AS duplicate_pk_groups,
-    CAST(0 AS DOUBLE) AS tax_null_rate,
-    (SELECT count(*) = 0 FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber
-      HAVING count(*) > 1)) AS passed FROM lineitem""")
+@query("""SELECT 'lineitem' AS table_name, sum(n)::BIGINT AS total_rows,
+    coalesce(sum(n) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL), 0)::BIGINT AS null_pk_rows,
+    count(*) FILTER (WHERE n > 1) AS duplicate_pk_groups, sum(no_tax) / sum(n) AS tax_null_rate,
+    count(*) FILTER (WHERE n > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL) = 0 AS passed
+    FROM (SELECT l_orderkey, l_linenumber, count(*) AS n, count(*) FILTER (WHERE l_tax IS NULL) AS no_tax
+      FROM lineitem GROUP BY ALL)""")
 def dq_profile(spark, sf):
     profile = quality.dq_profile(table(spark, sf, "lineitem"), "lineitem", _LINE_KEY, ["l_tax"])
     return profile.withColumn("tax_null_rate", F.col("null_rates")["l_tax"]).drop("null_rates")
@@ -45,11 +44,11 @@ def null_profile(spark, sf):
     return rates.withColumn("null_rate", F.round("null_rate", 9))
 
 
-@query("""SELECT 's_suppkey' AS key_column, count(*) AS total_rows, CAST(0 AS BIGINT) AS null_rows,
-    CAST(0 AS BIGINT) AS duplicate_keys, TRUE AS passed FROM supplier UNION ALL
-    SELECT 'o_custkey', count(*), CAST(0 AS BIGINT), (SELECT count(*) FROM (SELECT 1 FROM orders
-      GROUP BY o_custkey HAVING count(*) > 1)), (SELECT count(*) = 0 FROM (SELECT 1 FROM orders
-      GROUP BY o_custkey HAVING count(*) > 1)) FROM orders""")
+@query(" UNION ALL ".join(
+    f"""SELECT '{k}' AS key_column, sum(n)::BIGINT AS total_rows, coalesce(sum(n) FILTER (WHERE {k} IS NULL), 0)::BIGINT
+    AS null_rows, count(*) FILTER (WHERE {k} IS NOT NULL AND n > 1) AS duplicate_keys,
+    count(*) FILTER (WHERE {k} IS NULL OR n > 1) = 0 AS passed FROM (SELECT {k}, count(*) AS n FROM {t} GROUP BY 1)"""
+    for t, k in (("supplier", "s_suppkey"), ("orders", "o_custkey"))))
 def key_tests(spark, sf):
     return quality.union_checks([
         quality.key_tests(table(spark, sf, "supplier"), "s_suppkey"),

@@ -48,8 +48,10 @@ def sk_scd1(spark, sf):
     return Dimensions(spark, sf).merchant
 
 
-@query(sql("""SELECT 'party_sk' AS key_column, count(*) AS total_rows, CAST(0 AS BIGINT) AS null_rows,
-    CAST(0 AS BIGINT) AS duplicate_keys, TRUE AS passed FROM versions""", "versions"))
+@query(sql("""SELECT 'party_sk' AS key_column, sum(n)::BIGINT AS total_rows,
+    coalesce(sum(n) FILTER (WHERE party_id IS NULL), 0)::BIGINT AS null_rows,
+    count(*) FILTER (WHERE n > 1) AS duplicate_keys, max(n) = 1 AS passed
+    FROM (SELECT party_id, effective_start_date, count(*) AS n FROM versions GROUP BY ALL)""", "versions"))
 def sk_hash_unique(spark, sf):
     keyed = ordering.surrogate_key(views.party_versions(spark, sf), ["party_id", scd.START],
                                    "party_sk", "hash")

@@ -47,10 +47,15 @@ def scd2_change_counts(spark, sf):
     return scd.scd2_change_counts(views.party_versions(spark, sf, with_action=True))
 
 
-@query(sql("""SELECT count(DISTINCT party_id) AS keys_checked,
-    CAST(0 AS BIGINT) AS keys_with_two_current, CAST(0 AS BIGINT) AS keys_with_broken_chain,
-    CAST(0 AS BIGINT) AS flag_mismatches, CAST(0 AS BIGINT) AS empty_intervals FROM versions""",
-           "versions"))
+@query(sql("""SELECT count(*) AS keys_checked, count(*) FILTER (WHERE n_current > 1) AS keys_with_two_current,
+    count(*) FILTER (WHERE broken > 0) AS keys_with_broken_chain, sum(mismatch)::BIGINT AS flag_mismatches,
+    sum(none)::BIGINT AS empty_intervals FROM (
+      SELECT party_id, count(*) FILTER (WHERE is_current_flag) AS n_current,
+        count(*) FILTER (WHERE effective_start_date IS DISTINCT FROM ended AND before IS NOT NULL) AS broken,
+        count(*) FILTER (WHERE is_current_flag = (effective_end_date IS NOT NULL)) AS mismatch,
+        count(*) FILTER (WHERE effective_end_date <= effective_start_date) AS none
+      FROM (SELECT *, lag(effective_end_date) OVER w AS ended, lag(effective_start_date) OVER w AS before
+        FROM versions WINDOW w AS (PARTITION BY party_id ORDER BY effective_start_date)) GROUP BY party_id)""", "versions"))
 def scd2_invariants(spark, sf):
     return scd.scd2_violations(views.party_versions(spark, sf), _KEY)
 
