@@ -75,10 +75,9 @@ def fact_payment(spark, sf):
     return payment_fact(Dimensions(spark, sf))
 
 
-def payment_fact(dims):
+def payment_fact(dims, keys=("account",)):
     spark, sf = dims.spark, dims.sf
-    return star.resolve_fact(views.payments(spark, sf), [dims.lookup("account", "account_id")],
-                             _COLUMNS["FactPayment"], views.calendar(spark, sf), "payment_date")
+    return dims.resolve(views.payments(spark, sf), keys, _COLUMNS["FactPayment"], views.calendar(spark, sf), "payment_date")
 
 
 @query(sql("""SELECT statement_id, account_sk, date_sk, opening_balance, closing_balance,
@@ -102,11 +101,10 @@ def fact_fraud(spark, sf):
     return fraud_fact(Dimensions(spark, sf))
 
 
-def fraud_fact(dims):
+def fraud_fact(dims, keys=("customer",)):
     spark, sf = dims.spark, dims.sf
     cases = scd.current_versions(views.fraud_case_versions(spark, sf))
-    return star.resolve_fact(cases, [dims.lookup("customer", "customer_id")], _COLUMNS["FactFraud"],
-                             star.dim_date(spark, *views.CALENDAR_2024), "case_open_date")
+    return dims.resolve(cases, keys, _COLUMNS["FactFraud"], star.dim_date(spark, *views.CALENDAR_2024), "case_open_date")
 
 
 @query(sql("""SELECT collections_id, account_sk, collections_stage, outstanding_balance,
@@ -116,15 +114,15 @@ def fact_collections(spark, sf):
     return collections_fact(Dimensions(spark, sf))
 
 
-def collections_fact(dims):
-    return star.resolve_fact(views.collections(dims.spark, dims.sf),
-                             [dims.lookup("account", "account_id")], _COLUMNS["FactCollections"])
+def collections_fact(dims, keys=("account",)):
+    return dims.resolve(views.collections(dims.spark, dims.sf), keys, _COLUMNS["FactCollections"])
 
 
-def revenue_fact(dims, by):
-    return star.fact_revenue(views.interest_charges(dims.spark, dims.sf),
-                             views.fees(dims.spark, dims.sf),
-                             dims.lookup("account", "account_id")[0], by)
+def revenue_fact(dims, by, keys=("account",)):
+    accounts = by != "calendar_month"
+    return star.fact_revenue(views.interest_charges(dims.spark, dims.sf, accounts),
+                             views.fees(dims.spark, dims.sf, accounts),
+                             dims.lookup("account", "account_id")[0] if keys else None, by)
 
 
 @query(sql("SELECT * FROM revenue", "revenue"))

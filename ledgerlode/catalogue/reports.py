@@ -10,9 +10,12 @@ from ledgerlode.catalogue.views import sql, table
 from ledgerlode.operators import measures, star
 
 
-def _star(spark, sf, *names):
-    """Only the tables that a report asks for are derived, and only the keys of its dimensions looked up."""
-    keys = [d for d in ("account", "card", "merchant") if f"Dim{d.capitalize()}" in names]
+def _star(spark, sf, *names, grouped=True):
+    """Only the tables that a report asks for are derived, and only the keys of the dimensions that it groups by
+    looked up."""
+    def asked(*kinds):
+        return [d for d in kinds if grouped and f"Dim{d.capitalize()}" in names]
+
     dims = views.Dimensions(spark, sf)
     status = F.when(F.col("balance") >= 0, F.lit("ACTIVE")).otherwise(F.lit("CLOSED"))
     makers = {
@@ -22,14 +25,15 @@ def _star(spark, sf, *names):
         "DimMerchant": lambda: dims.merchant,
         "DimDate": lambda: views.calendar(spark, sf),
         "ShippingDate": lambda: views.shipping_calendar(spark, sf),
-        "FactTransaction": lambda: views.fact_transaction(dims, keys),
-        "FactPayment": lambda: gold.payment_fact(dims),
-        "FactFraud": lambda: gold.fraud_fact(dims),
-        "FactCollections": lambda: gold.collections_fact(dims),
-        "FactRevenue": lambda: gold.revenue_fact(dims, "account"),
-        "FactRevenueMonthly": lambda: gold.revenue_fact(dims, "month"),
+        "FactTransaction": lambda: views.fact_transaction(dims, asked("account", "card", "merchant")),
+        "FactPayment": lambda: gold.payment_fact(dims, asked("account")),
+        "FactFraud": lambda: gold.fraud_fact(dims, asked("customer")),
+        "FactCollections": lambda: gold.collections_fact(dims, asked("account")),
+        "FactRevenue": lambda: gold.revenue_fact(dims, "account", asked("account")),
+        "FactRevenueMonthly": lambda: gold.revenue_fact(dims, "calendar_month", ()),
     }
-    return {n: makers[n]() for n in names}
+    # Dimensions first: facts then look their keys up in what is stored already.
+    return {n: makers[n]() for n in sorted(names)}
 
 
 def _typed(df):
@@ -95,7 +99,7 @@ _GLOBAL = [
            "transactions", "versions", "payments", "revenue", "fraud", "collections"))
 def measures_global(spark, sf):
     data = _star(spark, sf, "FactTransaction", "DimCustomer", "DimAccount", "FactPayment",
-                 "FactRevenue", "FactFraud", "FactCollections")
+                 "FactRevenue", "FactFraud", "FactCollections", grouped=False)
     return _typed(measures.measure_table(data, _GLOBAL))
 
 
@@ -104,11 +108,9 @@ def _event_star(spark, sf):
     days = star.dim_date(spark, *views.CALENDAR_2024)
     dims = views.Dimensions(spark, sf)
     bought = table(spark, sf, "events").where("event_type = 'purchase'").select(
-        views.party_id("C", "user_id").alias("customer_id"), F.col("ts").cast("date").alias("day"),
-        views.money("value").alias("transaction_amount"))
-    sales = star.resolve_fact(bought, [dims.lookup("customer", "customer_id")],
-                              ["customer_sk", "date_sk", "transaction_amount"], days, "day")
-    return {"FactTransaction": sales, "FactFraud": gold.fraud_fact(dims), "DimDate": days}
+        F.col("ts").cast("date").alias("day"), views.money("value").alias("transaction_amount"))
+    sales = dims.resolve(bought, (), ["date_sk", "transaction_amount"], days, "day")
+    return {"FactTransaction": sales, "FactFraud": gold.fraud_fact(dims, ()), "DimDate": days}
 
 
 @query(sql("""SELECT week_of_year, CASE WHEN COALESCE(t, 0) = 0 THEN 0 ELSE round(

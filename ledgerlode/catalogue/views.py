@@ -84,6 +84,12 @@ class Dimensions:
                                        ["account_id", scd.START], "account_sk")
         return files.stored(keyed, "dim-account")
 
+    @cached_property
+    def account_keys(self) -> DataFrame:
+        """Id, key and flag alone, where nothing else of the account is asked for."""
+        versions = party_versions(self.spark, self.sf).select(F.col("party_id").alias("account_id"), scd.START, scd.CURRENT)
+        return ordering.surrogate_key(versions, ["account_id", scd.START], "account_sk")
+
     @property
     def customer(self) -> DataFrame:
         return self.account.withColumnsRenamed(
@@ -107,9 +113,19 @@ class Dimensions:
         return ordering.surrogate_key(merchants, ["merchant_id"], "merchant_sk")
 
     def lookup(self, name: str, key: str) -> tuple[DataFrame, str]:
-        dim = getattr(self, name)
+        if name in ("account", "customer") and "account" not in self.__dict__:
+            dim = self.account_keys.withColumnsRenamed({"account_id": key, "account_sk": f"{name}_sk"})
+        else:
+            dim = getattr(self, name)
         return star.current_lookup(dim, key, f"{name}_sk"), key
 
+    def resolve(self, events: DataFrame, keys, columns, calendar: DataFrame | None = None,
+                date_column: str | None = None) -> DataFrame:
+        """Fact rows with the keys of the dimensions that are asked for; the others are not looked up."""
+        lookups = [self.lookup(name, f"{name}_id") for name in keys]
+        have = {*events.columns, "date_sk", *[f"{name}_sk" for name in keys]}
+        return star.resolve_fact(events, lookups, [c for c in columns if c in have], calendar, date_column)
+
 
 def card_id() -> Column:
     return F.concat(party_id("C", "o_custkey"), F.lit("/"), F.col("o_orderpriority"))
@@ -126,24 +142,30 @@ def shipping_calendar(spark, sf) -> DataFrame:
     return calendar(spark, sf, "lineitem", "l_shipdate")
 
 
-def transactions(spark, sf) -> DataFrame:
-    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+def transaction_headers(spark, sf) -> DataFrame:
+    """What the lines of an order share."""
     home = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return table(spark, sf, "orders").join(home, "o_custkey", "left").select(
+        "o_orderkey", party_id("C", "o_custkey").alias("account_id"), card_id().alias("card_id"),
+        F.col("o_orderdate").cast("date").alias("transaction_date"), F.col("o_orderstatus").alias("channel"), "c_nationkey")
+
+
+def transaction_lines(spark, sf, headers: DataFrame) -> DataFrame:
     seller = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(home, "o_custkey", "left").join(seller, "l_suppkey", "left")
+    return (table(spark, sf, "lineitem").join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(seller, "l_suppkey", "left")
             .select(
                 F.concat_ws("-", F.col("l_orderkey").cast("string"),
                             F.col("l_linenumber").cast("string")).alias("transaction_id"),
-                party_id("C", "o_custkey").alias("account_id"), card_id().alias("card_id"),
-                F.col("l_suppkey").alias("merchant_id"),
-                F.col("o_orderdate").cast("date").alias("transaction_date"),
-                money("l_extendedprice").alias("transaction_amount"),
-                F.lit("GBP").alias("transaction_currency"),
-                F.col("l_returnflag").alias("transaction_type"),
+                F.col("l_suppkey").alias("merchant_id"), money("l_extendedprice").alias("transaction_amount"),
+                F.lit("GBP").alias("transaction_currency"), F.col("l_returnflag").alias("transaction_type"),
                 F.col("l_linestatus").alias("transaction_status"),
-                F.col("o_orderstatus").alias("channel"),
-                (F.col("c_nationkey") != F.col("s_nationkey")).alias("is_international_flag")))
+                (F.col("c_nationkey") != F.col("s_nationkey")).alias("is_international_flag"),
+                *[c for c in headers.columns if c not in ("o_orderkey", "c_nationkey")]))
+
+
+def transactions(spark, sf) -> DataFrame:
+    return transaction_lines(spark, sf, transaction_headers(spark, sf))
 
 
 def payments(spark, sf) -> DataFrame:
@@ -198,35 +220,36 @@ def collections(spark, sf) -> DataFrame:
         F.col("o_orderstatus").alias("collections_status"))
 
 
-def _charged_lines(spark, sf) -> DataFrame:
-    return table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders").select("o_orderkey", "o_custkey"),
-        F.col("l_orderkey") == F.col("o_orderkey"))
+def _charged_lines(spark, sf, accounts: bool) -> DataFrame:
+    lines = table(spark, sf, "lineitem")
+    if not accounts:
+        return lines.withColumn("account_id", F.lit(None).cast("string"))
+    buyers = table(spark, sf, "orders").select("o_orderkey", party_id("C", "o_custkey").alias("account_id"))
+    return lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def interest_charges(spark, sf) -> DataFrame:
+def interest_charges(spark, sf, accounts: bool = True) -> DataFrame:
     """Interest on returned lines."""
-    return (_charged_lines(spark, sf).where("l_returnflag = 'R'")
-            .select(party_id("C", "o_custkey").alias("account_id"),
-                    F.col("l_shipdate").cast("date").alias("charge_date"),
+    return (_charged_lines(spark, sf, accounts).where("l_returnflag = 'R'")
+            .select("account_id", F.col("l_shipdate").cast("date").alias("charge_date"),
                     share(money("l_extendedprice"), "l_discount").alias("interest_amount")))
 
 
-def fees(spark, sf) -> DataFrame:
+def fees(spark, sf, accounts: bool = True) -> DataFrame:
     """Fees on all lines that bear no interest."""
-    return (_charged_lines(spark, sf).where("l_returnflag <> 'R'")
-            .select(party_id("C", "o_custkey").alias("account_id"),
-                    F.col("l_shipdate").cast("date").alias("fee_date"),
+    return (_charged_lines(spark, sf, accounts).where("l_returnflag <> 'R'")
+            .select("account_id", F.col("l_shipdate").cast("date").alias("fee_date"),
                     share(money("l_extendedprice"), "l_tax").alias("fee_amount")))
 
 
 def fact_transaction(dims: Dimensions, keys=("account", "card", "merchant")) -> DataFrame:
-    """The fact with the keys of the dimensions that are asked for; the others are not looked up."""
-    lookups = [dims.lookup(name, f"{name}_id") for name in keys]
-    left_out = {f"{name}_sk" for name in ("account", "card", "merchant") if name not in keys}
-    columns = [c for c in FACTS[0].columns if c not in left_out]
-    return star.resolve_fact(transactions(dims.spark, dims.sf), lookups, columns,
-                             calendar(dims.spark, dims.sf), "transaction_date")
+    """Account, card and day are found for the orders, before their lines, of which there are several times as many."""
+    headers = transaction_headers(dims.spark, dims.sf)
+    own = ["o_orderkey", "c_nationkey", "channel", "account_sk", "card_sk", "date_sk"]
+    resolved = dims.resolve(headers, [k for k in keys if k != "merchant"], own,
+                            calendar(dims.spark, dims.sf), "transaction_date")
+    lines = transaction_lines(dims.spark, dims.sf, resolved)
+    return dims.resolve(lines, [k for k in keys if k == "merchant"], FACTS[0].columns)
 
 
 # --- the same entities as SQL -----------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlode.functions.exprs import safe_divide
 from ledgerlode.operators.scd import current_versions
+from ledgerlode.operators.star import snowflake
 
 # The model's relationships. Fact table -> {dimension: surrogate key}.
 FACT_KEYS: dict[str, dict[str, str]] = {
@@ -153,8 +154,7 @@ def _partials(star: Mapping[str, DataFrame], table: str, parts: Mapping[str, Par
     for parent, natural_key in DIM_PARENTS.get(table, {}).items():
         wanted = [c for d, c in attributes if d == parent]
         if wanted:
-            frame = frame.join(current_versions(star[parent]).select(natural_key, *wanted),
-                               natural_key, "left")
+            frame = snowflake(frame, star[parent], natural_key, wanted)
             own += wanted
     missing = set(columns) - set(own)
     if missing:
@@ -213,8 +213,7 @@ def _attributes(star: Mapping[str, DataFrame], dim: str, key: str,
     frame = frame.select(key, *dict.fromkeys([*own, *parents.values()]))
     for parent, natural_key in parents.items():
         wanted = [c for d, c in attributes if d == parent]
-        right = current_versions(star[parent]).select(natural_key, *wanted)
-        frame = frame.join(right, natural_key, "left")
+        frame = snowflake(frame, star[parent], natural_key, wanted)
     columns = [c for d, c in attributes if d == dim or d in parents]
     return frame.select(key, *columns)
 

@@ -81,7 +81,7 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: C
     by, order = list(by), list(order)
     kind = df.select(F.sum(value)).schema[0].dataType
     inside = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    if not has_hot_key(df, by, hot_rows):
+    if hot_rows > 0 and not has_hot_key(df, by, hot_rows):
         return df.withColumn(name, F.sum(value).over(inside))
     cut = ordered_ranges(df.withColumn("__value", value), by + order, ranges)
     totals = cut.groupBy("__range", *by).agg(F.sum("__value").alias("__last"))

@@ -81,9 +81,9 @@ def _ordered_scan(events, versions, keys, event_time, start, end, payload, hot_r
     opened = versions.select(*named_keys, col(start).alias("__at"), F.lit(0).alias("__kind"),
                              _row_hash(versions).alias("__tie"), version.alias("__v"))
     happened = events.select(*named_keys, col(event_time).alias("__at"), F.lit(1).alias("__kind"),
-                             _row_hash(events).alias("__tie"), event.alias("__e"))
+                             F.monotonically_increasing_id().alias("__tie"), event.alias("__e"))
     stream = opened.unionByName(happened, allowMissingColumns=True)
-    group, hot = key_columns, has_hot_key(stream, key_columns, hot_rows)
+    group, hot = key_columns, hot_rows <= 0 or has_hot_key(stream, key_columns, hot_rows)
     if hot:
         stream = ordered_ranges(stream, [*key_columns, "__at", "__kind", "__tie"], ranges)
         group = ["__range", *key_columns]

@@ -70,19 +70,21 @@ def resolve_fact(events: DataFrame, lookups: Sequence[tuple[DataFrame, str]],
     return fact.select(*columns)
 
 
-def fact_revenue(interest: DataFrame, fees: DataFrame, accounts: DataFrame, by: str = "account",
+def fact_revenue(interest: DataFrame, fees: DataFrame, accounts: DataFrame | None, by: str = "account",
                  key: str = "account_id") -> DataFrame:
-    """Interest and fee revenue per account, or per account and month.
+    """Interest and fee revenue per account, per account and month, or, for reports that ask for no account, per
+    ``calendar_month`` alone. Without ``accounts`` no surrogate key is looked up.
 
     Both sides are aggregated before they meet, so the outer join sees one row per account (and month)
     from each side, and rows with only one kind of revenue stay.
     """
-    if by not in ("account", "month"):
+    grains = {"account": [key], "month": [key, "revenue_month"], "calendar_month": ["revenue_month"]}
+    if by not in grains:
         raise ValueError(f"unknown grain: {by!r}")
-    grain = [key] if by == "account" else [key, "revenue_month"]
+    grain = grains[by]
 
     def per_grain(df: DataFrame, date: str, amount: str, name: str) -> DataFrame:
-        if by == "month":
+        if "revenue_month" in grain:
             df = df.withColumn("revenue_month", F.trunc(date, "MM"))
         return df.groupBy(*grain).agg(F.sum(amount).cast("decimal(18,2)").alias(name))
 
@@ -92,9 +94,10 @@ def fact_revenue(interest: DataFrame, fees: DataFrame, accounts: DataFrame, by:
         c: F.coalesce(F.col(c), F.lit(0).cast("decimal(18,2)"))
         for c in ("total_interest_revenue", "total_fee_revenue")
     }
-    return (earned.join(charged, grain, "outer")
-                  .join(accounts, key, "left")
-                  .withColumns(filled)
+    both = earned.join(charged, grain, "outer")
+    if accounts is not None and key in grain:
+        both = both.join(accounts, key, "left")
+    return (both.withColumns(filled)
                   .withColumn("total_revenue", _total("total_interest_revenue", "total_fee_revenue")))
 
 
