@@ -111,8 +111,11 @@ def load_bronze(lake: Lake, cfg: TableConfig, batch_id: str,
         _, misfits = evolve.fit(landed, contract)
         landed, read = files.counted(landed, "read")
         typed, _ = evolve.fit(landed, contract)
-        refused = lake.path("control", f"bronze_quarantine_{cfg.table_name}")
-        files.overwrite_path(misfits, f"{refused}/batch_id={batch_id}", lake.fmt)
+        refused = f"{lake.path('control', f'bronze_quarantine_{cfg.table_name}')}/batch_id={batch_id}"
+        if any(f.name in contract.names and contract[f.name].dataType != f.dataType for f in landed.schema):
+            files.overwrite_path(misfits, refused, lake.fmt)
+        else:                                        # nothing is cast; what an earlier delivery left there goes
+            files.discard(spark, refused)
         # Rows repeat each other only when all their columns agree; the stored digest may skip nulls.
         stamped = rows.stamp_audit(typed.dropDuplicates(), cfg.source_system, batch_id, lake.pipeline, lake.load_ts,
                                    f"{cfg.table_name}.{lake.fmt}", lake.digest_mode)
