@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from ledgerlode.catalogue import views
 from ledgerlode.catalogue.registry import query
-from ledgerlode.catalogue.views import FIRST, SECOND, TRACKED, money, ntz, sql, table
+from ledgerlode.catalogue.views import FIRST, TRACKED, money, ntz, sql, table
 from ledgerlode.functions import rules
 from ledgerlode.operators import ordering, pit, scd
 

@@ -240,8 +240,8 @@ def build_gold(lake: Lake, batch_id: str,
     collections case with two versions stays one fact row.
 
     Without a ``calendar`` it spans the dates of the facts. ``key_mode`` ``stored`` takes surrogate keys from maps in the
-    catalog that only grow (it needs a ``database``). ``date_partition`` is the grain of the fact directories: ``day`` (column ``date_sk``) suits facts
-    with gigabytes per day, ``month`` (an added column ``month_sk``) smaller ones.
+    catalog that only grow (it needs a ``database``). ``date_partition`` is the grain of the fact directories: ``day``
+    (column ``date_sk``) suits facts with gigabytes per day, ``month`` (an added column ``month_sk``) smaller ones.
     """
     def work():
         days = star.dim_date(lake.spark, *calendar) if calendar else star.calendar_of(_bounds(lake, facts))
