@@ -15,34 +15,47 @@ SCD2_COLUMNS = ["effective_start_date", "effective_end_date", "is_current_flag",
 SILVER_STAMP = "silver_load_timestamp"
 
 
-_TYPES: dict[str, T.DataType] = {
-    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
-    "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
-    "array<string>": T.ArrayType(T.StringType()),
-}
-
-
-def _struct(text: str) -> T.StructType:
-    """Schema from ``name type, …``; needs no running session, unlike the DDL parser."""
-    pairs = [item.split() for item in text.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in pairs])
-
-
-CONFIG_SCHEMA = _struct(
-    "table_name string, source_system string, layer_role string, primary_key string, scd_type int, "
-    "natural_keys array<string>, bronze_path string, silver_table string, bronze_table string, "
-    "active_flag boolean"
-)
-RUN_LOG_SCHEMA = _struct(
-    "log_id string, pipeline_name string, notebook_name string, layer string, table_name string, "
-    "batch_id string, status string, rows_read bigint, rows_written bigint, start_time timestamp, "
-    "end_time timestamp, duration_seconds double, error_message string"
-)
-DQ_SUMMARY_SCHEMA = _struct(
-    "check_type string, fact_table string, fk_column string, dim_table string, total_rows bigint, "
-    "orphan_rows bigint, orphan_rate double, threshold double, passed boolean, batch_id string, "
-    "validation_timestamp timestamp"
-)
+# The control tables.
+CONFIG_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("source_system", T.StringType()),
+    T.StructField("layer_role", T.StringType()),
+    T.StructField("primary_key", T.StringType()),
+    T.StructField("scd_type", T.IntegerType()),
+    T.StructField("natural_keys", T.ArrayType(T.StringType())),
+    T.StructField("bronze_path", T.StringType()),
+    T.StructField("silver_table", T.StringType()),
+    T.StructField("bronze_table", T.StringType()),
+    T.StructField("active_flag", T.BooleanType()),
+])
+RUN_LOG_SCHEMA = T.StructType([
+    T.StructField("log_id", T.StringType()),
+    T.StructField("pipeline_name", T.StringType()),
+    T.StructField("notebook_name", T.StringType()),
+    T.StructField("layer", T.StringType()),
+    T.StructField("table_name", T.StringType()),
+    T.StructField("batch_id", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("rows_read", T.LongType()),
+    T.StructField("rows_written", T.LongType()),
+    T.StructField("start_time", T.TimestampType()),
+    T.StructField("end_time", T.TimestampType()),
+    T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("error_message", T.StringType()),
+])
+DQ_SUMMARY_SCHEMA = T.StructType([
+    T.StructField("check_type", T.StringType()),
+    T.StructField("fact_table", T.StringType()),
+    T.StructField("fk_column", T.StringType()),
+    T.StructField("dim_table", T.StringType()),
+    T.StructField("total_rows", T.LongType()),
+    T.StructField("orphan_rows", T.LongType()),
+    T.StructField("orphan_rate", T.DoubleType()),
+    T.StructField("threshold", T.DoubleType()),
+    T.StructField("passed", T.BooleanType()),
+    T.StructField("batch_id", T.StringType()),
+    T.StructField("validation_timestamp", T.TimestampType()),
+])
 
 MONEY = T.DecimalType(18, 2)
 RATE = T.DecimalType(12, 6)
@@ -94,8 +107,3 @@ def entity_schema(columns: Iterable[str], primary_key: str | None = None) -> T.S
     return T.StructType(
         [T.StructField(c, pinned_type(c), nullable=c != primary_key) for c in columns]
     )
-
-
-def pinned_like(schema: T.StructType) -> T.StructType:
-    """Target schema for a frame as read: the same columns with their pinned types."""
-    return T.StructType([T.StructField(f.name, pinned_type(f.name), True) for f in schema])
