@@ -228,7 +228,7 @@ def channel_split(spark, sf):
 def compact_cluster(spark, sf):
     root = files.shared_root(spark, "compact")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    files.overwrite_path(files.compact(lines, ["l_suppkey", "l_partkey"], 4), root)
+    files.overwrite_path(files.compact(lines, ["l_suppkey", "l_partkey"], files.file_count(lines)), root)
     return spark.read.schema(lines.schema).parquet(root)
 
 
