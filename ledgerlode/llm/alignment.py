@@ -1,9 +1,9 @@
 """Cross-tokenizer alignment: byte cuts of two tokenizers over one text, groups between common cuts, links.
 
 The tokenizers' own spans are the coarse cuts: character offsets on one side (A), spans of the sentencepiece proto on
-the other (B; the installed library refuses ``immutable_proto`` and gives the same spans as an offset mapping). Where tokens share a character, and for byte-fallback tokens, the cuts come from the decoded
-bytes. Texts are cut into chunks that neither tokenizer joins across (``spaced.chunks``); each common chunk is
-aligned once and remembered.
+the other (B; the installed library refuses ``immutable_proto`` and gives the same spans as an offset mapping). Where
+tokens share a character, and for byte-fallback tokens, the cuts come from the decoded bytes. Texts are cut into
+chunks that neither tokenizer joins across (``spaced.chunks``); each common chunk is aligned once and remembered.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def match(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> b
 class Aligner:
     def __init__(self, a: Bytes, b: Pieces):
         self.a, self.b = a, b
-        self.memo = Memo(self.chunks, 250_000)
+        self.memo = Memo(self.chunks, 400_000)
 
     def chunks(self, texts: list[str]) -> list[bytes]:
         """The links of each text that starts with a space or line feed; none where the tokens' bytes are not the text's."""

@@ -145,10 +145,10 @@ def cover(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 3) -> bytes:
     """Columns of numbers as one compressed value. The reader knows the types."""
     head = np.array([len(arrays), *[a.nbytes for a in arrays]], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(
+    return zstandard.ZstdCompressor(level=level).compress(
         head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 

@@ -236,7 +236,7 @@ def _dealt(s: Segments, ids, marks, data, splitters, own_part: int) -> pa.Record
         out_part.append(int(part[mine[0]]))
         out.append(A.pack(ids[rows], marks[rows], nothing.astype(np.int32), nothing, nothing, local.astype(np.int32),
                           s.first[mine], s.count[mine].astype(np.int16), s.anchor[mine].astype(np.int16),
-                          s.name[mine], length.astype(np.int32), data[A.ranges(s.byte_start[mine], length)]))
+                          s.name[mine], length.astype(np.int32), data[A.ranges(s.byte_start[mine], length)], level=9))
     if len(known):
         rows, local = np.unique(s.row[known], return_inverse=True)
         out_part.append(own_part)
