@@ -255,6 +255,34 @@ def test_chat_examples_are_stored_and_read(spark, monkeypatch):
     assert less[-7].formatted_chars != whole[-7].formatted_chars
 
 
+def test_chat_examples_hold_their_context(spark, monkeypatch):
+    ship(spark)
+    rows = [(c, k, "assistant" if k % 2 else "user", f"é{k} </s>") for c in (1, 2, None) for k in range(30)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = chat.format_turns(frame.coalesce(1))
+    said = defaultdict(str)
+    want = {}
+    for r in turns.orderBy("conv_id", "position").collect():
+        said[r.conv_id] += r.segment
+        if r.mask_end:
+            want[r.conv_id, r.position] = said[r.conv_id]
+    few = chat.expand(turns.coalesce(1).sortWithinPartitions("conv_id", "position")).collect()
+    assert {(r.conv_id, r.target): r.text for r in few} == want and not any(r.shared_chars for r in few)
+    wide = [c for r in chat.example_texts(turns, chat.expand(turns.repartition(5))).collect() for c in [((r.conv_id, r.target), r.text)]]
+    assert dict(wide) == want and len(wide) == 45
+    cut = list(chat._expand(turns.coalesce(1).sortWithinPartitions("conv_id", "position").select(
+        "conv_id", "position", "segment", "offset", "chars", "mask_start", "mask_end").toArrow().to_batches()))
+    monkeypatch.setattr(chat, "CONTEXT_CHARS", 100)
+    short = [r for b in chat._expand(turns.coalesce(1).sortWithinPartitions("conv_id", "position").select(
+        "conv_id", "position", "segment", "offset", "chars", "mask_start", "mask_end").toArrow().to_batches()) for r in b.to_pylist()]
+    assert max(len(r["text"]) for r in short) < 100 + 60 < max(len(r["text"]) for b in cut for r in b.to_pylist())
+    assert all(want[r["conv_id"], r["target"]][r["shared_chars"]:] == r["text"] for r in short) and len(short) == 45
+    broken = chat.expand(turns).withColumn("text", chat.F.translate("text", "é", "e"))
+    whole = {r.conv_id: r for r in chat.digest(turns).collect()}
+    for r in chat.digest(turns, broken).collect():
+        assert r.loss_sha256 != whole[r.conv_id].loss_sha256 and r.turns_sha256 == whole[r.conv_id].turns_sha256
+
+
 def test_chat_digests_hold_no_whole_conversation(spark):
     ship(spark)
     rows = [(c, k, "assistant" if k % 2 else "user", f"é{k} </s>") for c in (1, None) for k in range(300)]
