@@ -76,6 +76,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"))
 
 
+def has_repeats(df: DataFrame) -> bool:
+    """Whether rows may repeat each other: false only when all differ. A count over one hash per row; the rows stay
+    where they are."""
+    hashes = df.select(F.xxhash64(*[col(c) for c in df.columns]).alias("h"))
+    return not hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def key_tests(df: DataFrame, key: str) -> DataFrame:
     """Not-null and uniqueness test of one key column, as one row."""
     groups = df.groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))

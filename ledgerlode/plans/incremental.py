@@ -15,6 +15,7 @@ from ledgerlode.operators import scd
 from ledgerlode.sources import files, tables
 
 BUCKETS = 64
+BUCKET_BYTES = 8 << 20       # of a table's first batch, where the buckets follow the bytes
 CLOSED_BY = "closed_by"
 
 
@@ -37,12 +38,18 @@ class Merged:
     rows: int
 
 
+def buckets_for(spark: SparkSession, target: Target) -> int:
+    """The buckets that the table has, or is to have."""
+    return tables.buckets_of(spark, target.name) if spark.catalog.tableExists(target.name) else target.buckets
+
+
 def _dealt(target: Target, source: DataFrame, on_duplicate: str, newest: Sequence[Column] | None):
-    """The batch dealt as the table is, one row per key, and the buckets it touches."""
+    """The batch dealt as the table is, one row per key, and the buckets it touches. A batch with ``key_bucket`` is
+    dealt already (``tables.stage_bucketed``)."""
     spark = source.sparkSession
-    exists = spark.catalog.tableExists(target.name)
-    n = tables.buckets_of(spark, target.name) if exists else target.buckets
-    batch = scd.unique_source(tables.with_bucket(source, target.keys, n), target.keys, on_duplicate, newest)
+    exists, n = spark.catalog.tableExists(target.name), buckets_for(spark, target)
+    dealt = source if tables.BUCKET in source.columns else tables.with_bucket(source, target.keys, n)
+    batch = scd.unique_source(dealt, target.keys, on_duplicate, newest)
     return exists, n, batch, tables.touched(source.select(tables.bucket_of(target.keys, n).alias(tables.BUCKET)))
 
 
@@ -52,7 +59,7 @@ def merge_type1(target: Target, source: DataFrame, on_duplicate: str = "error",
     spark = source.sparkSession
     exists, n, batch, hit = _dealt(target, source, on_duplicate, newest)
     if not exists:
-        tables.create_bucketed(source, target.name, target.keys, n)
+        tables.create_bucketed(source.drop(tables.BUCKET), target.name, target.keys, n)
     if not hit:
         return Merged((), 0)
     held = tables.read_buckets(spark, target.name, hit)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ledgerlode.functions.exprs import col
 from ledgerlode.operators import evolve, pit, quality, rows, scd, star, zorder
 from ledgerlode.operators.ordering import surrogate_key
 from ledgerlode.plans import gold, incremental
@@ -23,7 +25,8 @@ class Lake:
     """Where the layers live, and what is constant over a batch.
 
     With a ``database`` the silver tables are bucketed tables of the session catalog, which a batch merges into bucket by
-    bucket; the other layers stay under ``root``. ``digest_mode`` is that of the stored record hash; changes are
+    bucket; the other layers stay under ``root``. Without ``buckets`` a table's first batch decides by its bytes how many
+    it gets. ``digest_mode`` is that of the stored record hash; changes are
     found by ``change_mode``, which no two different rows share.
     """
 
@@ -37,14 +40,15 @@ class Lake:
     change_mode: str = "strict"
     parallel: int = 8            # tables loaded at a time
     database: str | None = None
-    buckets: int = incremental.BUCKETS
+    buckets: int | None = incremental.BUCKETS
     log: list[dict] = field(default_factory=list)
 
     def path(self, layer: str, table: str = "") -> str:
         return "/".join(p for p in (self.root, layer, table) if p)
 
-    def target(self, table: str, keys: Sequence[str] = ()) -> incremental.Target:
-        return incremental.Target(f"{self.database}.{table}", tuple(keys), self.buckets)
+    def target(self, table: str, keys: Sequence[str] = (), batch: DataFrame | None = None) -> incremental.Target:
+        buckets = self.buckets or (1 if batch is None else files.file_count(batch, incremental.BUCKET_BYTES))
+        return incremental.Target(f"{self.database}.{table}", tuple(keys), buckets)
 
     def note(self, step: str, layer: str, table: str, batch_id: str, status: str, **more) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -108,7 +112,7 @@ def load_bronze(lake: Lake, cfg: TableConfig, batch_id: str,
                                     lake.ingestion_date, batch_id, lake.fmt)
         known = bronze.known_schema(spark, target, leave_out=batch_id)
         contract = schema or evolve.widened(known, landed.schema)
-        _, misfits = evolve.fit(landed, contract)
+        whole, misfits = evolve.fit(landed, contract)
         landed, read = files.counted(landed, "read")
         typed, _ = evolve.fit(landed, contract)
         refused = f"{lake.path('control', f'bronze_quarantine_{cfg.table_name}')}/batch_id={batch_id}"
@@ -117,7 +121,10 @@ def load_bronze(lake: Lake, cfg: TableConfig, batch_id: str,
         else:                                        # nothing is cast; what an earlier delivery left there goes
             files.discard(spark, refused)
         # Rows repeat each other only when all their columns agree; the stored digest may skip nulls.
-        stamped = rows.stamp_audit(typed.dropDuplicates(), cfg.source_system, batch_id, lake.pipeline, lake.load_ts,
+        # One hash per row tells in advance whether any do, so that else no row is moved.
+        if quality.has_repeats(whole):
+            typed = typed.dropDuplicates()
+        stamped = rows.stamp_audit(typed, cfg.source_system, batch_id, lake.pipeline, lake.load_ts,
                                    f"{cfg.table_name}.{lake.fmt}", lake.digest_mode)
         unique, written = files.counted(stamped, "written")
         files.overwrite_path(unique.drop("batch_id"), f"{target}/batch_id={batch_id}", lake.fmt)
@@ -138,6 +145,8 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
     """
     keys = list(cfg.natural_keys or (cfg.primary_key,))
 
+    stages: list[str] = []
+
     def work():
         spark = lake.spark
         batch = spark.read.format(lake.fmt).load(
@@ -145,24 +154,38 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         _, rejected = rows.split_quarantine(batch, keys)
         quarantine = lake.path("control", f"dq_quarantine_{cfg.table_name}")
         files.overwrite_path(rejected, f"{quarantine}/batch_id={batch_id}", lake.fmt)
-        clean = rows.cleanse(batch, keys, upper)
+        # The cleansed batch is scanned several times below; stored, it is cleansed once. Dealt by key it is cleansed,
+        # profiled and merged with one shuffle.
+        stage, target = lake.path("stage", f"{cfg.table_name}/batch_id={batch_id}"), None
+        if lake.database:
+            target = lake.target(cfg.silver_table, keys, batch)
+            n = incremental.buckets_for(spark, target)
+            trimmed = rows.standardise_text(rows.split_quarantine(batch, keys)[0], upper)
+            clean = rows.drop_audit(trimmed).repartition(n, *[col(k) for k in keys]).distinct()
+        else:
+            clean = rows.cleanse(batch, keys, upper)
         if masks:
             clean = rows.mask_columns(clean, masks)
-        # The cleansed batch is scanned several times below; stored, it is cleansed once.
-        stage = lake.path("stage", f"{cfg.table_name}/batch_id={batch_id}")
-        files.overwrite_path(clean, stage, lake.fmt)
-        clean = spark.read.format(lake.fmt).schema(clean.schema).load(stage)
+        if lake.database:
+            stages.append(f"{lake.database}.stage_{cfg.table_name}_{uuid.uuid4().hex}")
+            clean = tables.stage_bucketed(clean, stages[0], keys, n)
+        else:
+            files.overwrite_path(clean, stage, lake.fmt)
+            clean = spark.read.format(lake.fmt).schema(clean.schema).load(stage)
+        _await_gold(lake, cfg.silver_table)
         profile = quality.dq_profile(clean, cfg.table_name, keys).first()
         if profile.duplicate_pk_groups and on_duplicate == "error":
             raise quality.DataQualityError(
                 f"{cfg.table_name}: {profile.duplicate_pk_groups} keys occur more than once")
-        tracked = [c for c in clean.columns if c not in keys]
+        columns = [c for c in clean.columns if c != tables.BUCKET]
+        tracked = [c for c in columns if c not in keys]
         source = rows.stamp_silver(clean, lake.load_ts)
-        target = lake.path("silver", cfg.silver_table)
-        newest = [F.xxhash64(*clean.columns)]
+        newest = [F.xxhash64(*columns)]
         if lake.database:
-            written = _merge_buckets(lake, cfg, batch_id, source, keys, tracked, on_duplicate, newest, first_start)
-        elif cfg.scd_type != 2 and month_of:
+            written = _merge_buckets(lake, cfg, target, batch_id, source, tracked, on_duplicate, newest, first_start)
+            return {"rows_read": batch.count(), "rows_written": written, "rows_clean": profile.total_rows}
+        target = lake.path("silver", cfg.silver_table)
+        if cfg.scd_type != 2 and month_of:
             written = _upsert_months(lake, target, source, keys, month_of, keys_stay, on_duplicate,
                                      newest)
         else:
@@ -179,18 +202,29 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         files.discard(spark, stage)
         return {"rows_read": batch.count(), "rows_written": written,
                 "rows_clean": profile.total_rows}
-    return _step(lake, "silver", "SILVER", cfg.table_name, batch_id, work)
+    try:
+        return _step(lake, "silver", "SILVER", cfg.table_name, batch_id, work)
+    finally:
+        for table in stages:
+            lake.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def _merge_buckets(lake: Lake, cfg: TableConfig, batch_id: str, source: DataFrame, keys: list[str], tracked: list[str],
-                   on_duplicate: str, newest: Sequence[Column], first_start: str | None) -> int:
-    target = lake.target(cfg.silver_table, keys)
+def _merge_buckets(lake: Lake, cfg: TableConfig, target: incremental.Target, batch_id: str, source: DataFrame,
+                   tracked: list[str], on_duplicate: str, newest: Sequence[Column], first_start: str | None) -> int:
     if cfg.scd_type == 2:
         return incremental.merge_type2(target, source, tracked, lake.load_ts, batch_id, lake.change_mode,
                                        on_duplicate, newest, first_start).rows
     return incremental.merge_type1(target, source, on_duplicate, newest).rows
 
 
+_PENDING = "gold_pending"
+
+
+def _await_gold(lake: Lake, silver: str) -> None:
+    """Mark a silver table, before it changes, as one that the gold tables on it have yet to follow."""
+    files.touch(lake.spark, f"{lake.path('control', _PENDING)}/{silver}")
+
+
 MONTH = "silver_month"
 
 
@@ -235,24 +269,36 @@ def build_gold(lake: Lake, batch_id: str,
                dimensions: Sequence[gold.Dimension] = tuple(gold.DIMENSIONS),
                facts: Sequence[gold.Fact] = tuple(gold.FACTS), revenue: str | None = "account",
                calendar: tuple[str, str] | None = (star.CALENDAR_START, star.CALENDAR_END),
-               key_mode: str = "sequence", date_partition: str = "day") -> dict[str, int]:
+               key_mode: str = "sequence", date_partition: str = "day", only_changed: bool = False) -> dict[str, int]:
     """Dimensions, calendar, facts and revenue from silver. Facts read current rows only, so a fraud or
     collections case with two versions stays one fact row.
 
     Without a ``calendar`` it spans the dates of the facts. ``key_mode`` ``stored`` takes surrogate keys from maps in the
     catalog that only grow (it needs a ``database``). ``date_partition`` is the grain of the fact directories: ``day``
     (column ``date_sk``) suits facts with gigabytes per day, ``month`` (an added column ``month_sk``) smaller ones.
+
+    With ``only_changed`` gold tables stay as they are whose silver tables, and the dimensions they look up, no
+    batch has written since their last build by these options. A build that stopped is done again in full.
     """
     def work():
-        days = star.dim_date(lake.spark, *calendar) if calendar else star.calendar_of(_bounds(lake, facts))
-        files.overwrite_path(days, lake.path("gold", "DimDate"), lake.fmt)
+        waiting = files.child_names(lake.spark, lake.path("control", _PENDING))
+
+        def stale(name: str, silver: Iterable[str], below: Iterable[str] = ()) -> bool:
+            return (not only_changed or not files.path_exists(lake.spark, f"{lake.path('gold', name)}/_SUCCESS")
+                    or not {*silver, *below}.isdisjoint({*waiting, *built_dimensions}))
+
+        built_dimensions: set[str] = set()
+        if calendar or stale("DimDate", [f.silver for f in facts if f.date_column]):
+            days = star.dim_date(lake.spark, *calendar) if calendar else star.calendar_of(_bounds(lake, facts))
+            files.overwrite_path(days, lake.path("gold", "DimDate"), lake.fmt)
         days = read_gold(lake, "DimDate")
 
         def dimension(d: gold.Dimension) -> int:
             silver = read_silver(lake, d.silver, history=d.history)
             order = [d.natural_key, scd.START] if d.history else [d.natural_key]
             if key_mode == "stored":
-                keyed = keymap.assign_keys(silver, order, d.sk, f"{lake.database}.key_map_{d.name.lower()}", lake.buckets)
+                n = tables.buckets_of(lake.spark, lake.target(d.silver).name)
+                keyed = keymap.assign_keys(silver, order, d.sk, f"{lake.database}.key_map_{d.name.lower()}", n)
             else:
                 keyed = surrogate_key(silver, order, d.sk, key_mode)
             return store(keyed, d.name)
@@ -289,9 +335,16 @@ def build_gold(lake: Lake, batch_id: str,
                 read_silver(lake, "silver_interest_charge"), read_silver(lake, "silver_fee"),
                 lookup("DimAccount")[0], by=by), "FactRevenue")
 
-        written = lake.each(dimension, dimensions)
-        built = [(fact, f) for f in facts] + ([(earnings, revenue)] if revenue else [])
+        due = [d for d in dimensions if stale(d.name, [d.silver])]
+        written = lake.each(dimension, due)
+        built_dimensions.update(d.name for d in due)
+        built = [(fact, f) for f in facts
+                 if stale(f.name, [f.silver], [*f.dimensions, *[e.dimension for e in f.at_event]])]
+        if revenue and stale("FactRevenue", ["silver_interest_charge", "silver_fee"], ["DimAccount"]):
+            built.append((earnings, revenue))
         written += lake.each(lambda job: job[0](job[1]), built)
+        for name in waiting:
+            files.discard(lake.spark, f"{lake.path('control', _PENDING)}/{name}")
         return {"rows_written": sum(written)}
     return _step(lake, "gold", "GOLD", "ALL_DIMENSIONS_AND_FACTS", batch_id, work)
 

@@ -94,3 +94,9 @@ def test_gate_names_what_failed(frame):
         "account_sk": ("REFERENTIAL_INTEGRITY", 1, True), "kind": ("NULL_RATE", 2, False), "id": ("NULL_RATE", 0, True)}
     with pytest.raises(quality.DataQualityError, match=r'1 of 3 checks failed: \[\{"check_type":"NULL_RATE".*"kind"'):
         quality.dq_gate(checks)
+
+
+def test_has_repeats(frame):
+    assert not quality.has_repeats(frame([(1, "a"), (1, "b"), (None, "a"), (1, None)], "k int, v string"))
+    assert quality.has_repeats(frame([(1, None), (2, "b"), (1, None)], "k int, v string"))
+    assert not quality.has_repeats(frame([], "k int, v string"))

@@ -83,6 +83,30 @@ def test_job_over_bucketed_silver(spark, database, tmp_path):
     assert jobs.read_silver(lake, "silver_customer", history=True).count() == 4
 
 
+def test_buckets_follow_the_bytes_and_one_shuffle_deals_a_batch(spark, database, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "BUCKET_BYTES", 20_000)
+    staged = []
+
+    def stage(df, *more):
+        staged.append(df)
+        return deal(df, *more)
+
+    deal = tables.stage_bucketed
+    monkeypatch.setattr(tables, "stage_bucketed", stage)
+    lake = jobs.Lake(spark, str(tmp_path), "daily", "2026-07-18", "2026-07-18 02:00:00", database=database, buckets=None)
+    for name, n in (("large", 3000), ("small", 3)):
+        cfg = TableConfig(name, "CORE", "FACT", "k", 1, ("k",), "", f"silver_{name}", f"bronze_{name}", True)
+        batch = spark.range(n).selectExpr("concat(' k', id) as k", "sha2(string(id), 256) as v", "int(id) as w")
+        jobs.land(lake, cfg, "b", batch.unionByName(batch.limit(2)).unionByName(batch.limit(1).withColumn("k", F.trim("k"))))
+        jobs.load_bronze(lake, cfg, "b")
+        assert bronze.read_bronze(spark, lake.path("bronze", f"bronze_{name}")).count() == n + 1
+        jobs.to_silver(lake, cfg, "b")
+        assert sorted(r.w for r in jobs.read_silver(lake, f"silver_{name}").collect()) == list(range(n))
+    assert tables.buckets_of(spark, f"{database}.silver_large") > 4 > tables.buckets_of(spark, f"{database}.silver_small")
+    assert all(df._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1 for df in staged)
+    assert not [t for t in spark.catalog.listTables(database) if t.name.startswith("stage")]
+
+
 def test_change_between_nullable_columns_opens_a_version(spark, tmp_path):
     lake = jobs.Lake(spark, str(tmp_path), "daily", "2026-07-18", "2026-07-18 02:00:00")
     cfg = TableConfig("customer", "CORE", "DIM", "k", 2, ("k",), "", "silver_customer", "bronze_customer", True)
