@@ -252,7 +252,8 @@ def read_formats(spark, sf):
         if fmt == "csv":
             writer = writer.option("header", "true")
         if fmt == "xml":
-            writer = writer.option("rowTag", "row")
+            # A reader takes a file of XML whole, so no file may grow with the table.
+            writer = writer.options(rowTag="row", maxRecordsPerFile=files.WHOLE_FILE_ROWS)
         writer.save(path)
         found = files.read_first_existing(spark, fmt, [f"{root}/missing/{fmt}", path], schema)
         parts.append(found.select(F.lit(fmt).alias("fmt"), *people.columns))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
+from ledgerlode.catalogue import layers
 from ledgerlode.schemas import RUN_LOG_SCHEMA
 from ledgerlode.sources import config, files, tables, versions
 
@@ -191,3 +192,12 @@ def test_config_prefers_the_table(spark, tmp_path):
 
 def test_control_schema_has_no_surprises():
     assert len(RUN_LOG_SCHEMA) == 13
+
+
+def test_files_that_one_task_reads_whole_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(files, "WHOLE_FILE_ROWS", 20)
+    out = layers.read_formats(spark, "/root/testdata/sf0.001")
+    n = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+    assert len([f for f in out.inputFiles() if f.endswith(".xml")]) >= n // 20
+    assert {(r.fmt, r["count"]) for r in out.groupBy("fmt").count().collect()} == {
+        (f, n) for f in ("parquet", "orc", "csv", "json", "xml")}
