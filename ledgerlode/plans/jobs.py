@@ -163,7 +163,10 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
             trimmed = rows.standardise_text(rows.split_quarantine(batch, keys)[0], upper)
             clean = rows.drop_audit(trimmed).repartition(n, *[col(k) for k in keys]).distinct()
         else:
-            clean = rows.cleanse(batch, keys, upper)
+            trimmed = rows.standardise_text(rows.split_quarantine(batch, keys)[0], upper)
+            clean = rows.drop_audit(trimmed)
+            if quality.has_repeats(clean):
+                clean = clean.distinct()
         if masks:
             clean = rows.mask_columns(clean, masks)
         if lake.database:
@@ -177,24 +180,25 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         if profile.duplicate_pk_groups and on_duplicate == "error":
             raise quality.DataQualityError(
                 f"{cfg.table_name}: {profile.duplicate_pk_groups} keys occur more than once")
+        guard = on_duplicate if profile.duplicate_pk_groups else "checked"
         columns = [c for c in clean.columns if c != tables.BUCKET]
         tracked = [c for c in columns if c not in keys]
         source = rows.stamp_silver(clean, lake.load_ts)
         newest = [F.xxhash64(*columns)]
         if lake.database:
-            written = _merge_buckets(lake, cfg, target, batch_id, source, tracked, on_duplicate, newest, first_start)
+            written = _merge_buckets(lake, cfg, target, batch_id, source, tracked, guard, newest, first_start)
             return {"rows_read": batch.count(), "rows_written": written, "rows_clean": profile.total_rows}
         target = lake.path("silver", cfg.silver_table)
         if cfg.scd_type != 2 and month_of:
-            written = _upsert_months(lake, target, source, keys, month_of, keys_stay, on_duplicate,
+            written = _upsert_months(lake, target, source, keys, month_of, keys_stay, guard,
                                      newest)
         else:
             current = versions.read_current(spark, target, lake.fmt)
             if cfg.scd_type == 2:
                 merged = scd.merge_scd2(current, source, keys, tracked, lake.load_ts,
-                                        lake.change_mode, on_duplicate, newest, first_start)
+                                        lake.change_mode, guard, newest, first_start)
             else:
-                merged = scd.merge_scd1(current, source, keys, on_duplicate, newest)
+                merged = scd.merge_scd1(current, source, keys, guard, newest)
             merged, seen = files.counted(merged, "silver")
             versions.write_version(merged, target, scd.CURRENT if cfg.scd_type == 2 else None,
                                    lake.fmt)

@@ -6,7 +6,8 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlode.operators import quality
+from ledgerlode.catalogue import batches, whole
+from ledgerlode.operators import quality, scd
 from ledgerlode.operators.scd import scd2_violations
 from ledgerlode.plans import gold, jobs
 from ledgerlode.schemas import entity_schema
@@ -297,6 +298,33 @@ def test_gold_that_nothing_changed_stays(spark, lake):
     assert all(a != b for a, b in zip(second.values(), stored().values()))
 
 
+def test_keys_that_the_profile_counted_are_not_counted_again(spark, lake, monkeypatch):
+    seen = []
+
+    def guard(source, keys, on_duplicate="error", newest=None):
+        seen.append(on_duplicate)
+        return unique(source, keys, on_duplicate, newest)
+
+    unique = scd.unique_source
+    monkeypatch.setattr(scd, "unique_source", guard)
+    load(lake, CUSTOMER, "b1", customers(spark, [("c1", "A"), (" c1", "A "), ("c2", "B")]))
+    load(lake, CUSTOMER, "b2", customers(spark, [("c1", "A"), ("c1", "B")]), on_duplicate="latest")
+    assert seen == ["checked", "latest"]
+    assert sorted(r.customer_id for r in jobs.read_silver(lake, "silver_customer").collect()) == ["c1", "c2"]
+
+
+def test_lines_are_summed_once_for_three_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    out = batches._extracts(spark, sf, False)
+    made = [out[n] for n in ("transaction", "interest_charge", "fee")]
+    assert not [f for df in made for f in df.inputFiles() if "lineitem" in f]
+    charged = whole.charged_orders(spark, sf)
+    for name in ("transaction", "statement", "interest_charge", "fee"):
+        given = whole.extract(spark, sf, name, charged=files.stored(charged, "charged"))
+        assert not [f for f in given.inputFiles() if "lineitem" in f]
+        assert sorted(map(str, given.collect())) == sorted(map(str, whole.extract(spark, sf, name).collect()))
+
+
 def test_maintenance(spark, lake):
     load(lake, CUSTOMER, "b1", customers(spark, [("c1", "A"), ("c2", "A")]))
     lake.load_ts = "2026-07-19 02:00:00"
