@@ -23,10 +23,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
 from ledgerlode.llm.arrays import pack, unpack
-from ledgerlode.llm.spaced import Memo, Vocabulary, chunks
+from ledgerlode.llm.spaced import Memo, Vocabulary, chunks, joins
 from ledgerlode.sources.files import overwrite_path, shared_root, stored
 
 PAIRS_AT_ONCE = 1 << 22        # counts of so many id pairs are sent to the tasks at a time (16 bytes each)
+_RUN = 64                      # chunks tokenized side by side as one text
 _SHIFT, _BYTES, _FLUSH = 32, 1 << 20, 1 << 21
 #: A link as one number: A id, B id, and whether the A and the B token end with it.
 _A, _B, _ID = 33, 2, (1 << 31) - 1
@@ -59,7 +60,9 @@ class Bytes:
             if text.isascii():                  # a character is a byte, which no two tokens share
                 out.append((ids, [end for _, end in spans]))
                 continue
-            at_byte = [0, *accumulate(len(c.encode()) for c in text)]
+            code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            width = 1 + (code >= 1 << 7).astype(np.int64) + (code >= 1 << 11) + (code >= 1 << 16)
+            at_byte = [0, *np.cumsum(width).tolist()]
             starts = [s for s, _ in spans[1:]] + [len(text)]
             ends, at = [], 0
             for token, (_, end), following in zip(ids, spans, starts):
@@ -117,23 +120,69 @@ def match(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> b
     return array("q", links).tobytes()
 
 
+def linked_runs(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, stops: np.ndarray) -> list[bytes]:
+    """``match`` of many texts side by side, which end at ``stops``: one result per text."""
+    cuts = np.union1d(a_ends, b_ends)
+    i, j = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
+    a_end, b_end = a_ends[i] == cuts, b_ends[j] == cuts
+    last = np.searchsorted(cuts, stops)
+    if not (np.array_equal(cuts[last], stops) and (a_end & b_end)[last].all()):
+        raise ValueError("a token crosses the cut between two chunks")
+    links = (a[i] << _A | b[j] << _B | a_end.astype(np.int64) << 1 | b_end).tobytes()
+    edges = [0, *((last + 1) * 8).tolist()]
+    return [links[x:y] for x, y in zip(edges, edges[1:])]
+
+
+def _spelled(data: bytes, ids: list[int], ends: list[int], of) -> bool:
+    """Whether the tokens' bytes are the text's; then they must end where the spans say."""
+    words = [of[i] for i in ids]
+    if b"".join(words) != data:
+        return False
+    if list(accumulate(map(len, words))) != ends:
+        raise ValueError("spans and bytes of the tokens disagree")
+    return True
+
+
 class Aligner:
     def __init__(self, a: Bytes, b: Pieces):
         self.a, self.b = a, b
         self.memo = Memo(self.chunks, 400_000)
 
     def chunks(self, texts: list[str]) -> list[bytes]:
-        """The links of each text that starts with a space or line feed; none where the tokens' bytes are not the text's."""
-        return [self._one(text.encode(), *x, *y)
-                for text, x, y in zip(texts, self.a.cut(texts), self.b.cut(texts), strict=True)]
+        """The links of each text that starts with a space or line feed; none where the tokens' bytes are not the text's.
+        Texts that neither tokenizer joins to the next are tokenized side by side, ``_RUN`` in a run."""
+        plain = [t for t in dict.fromkeys(texts) if joins(t)]
+        known: dict[str, bytes] = {}
+        for part in ([t for t in plain if t.isascii()], [t for t in plain if not t.isascii()]):
+            known.update(self._runs([part[k:k + _RUN] for k in range(0, len(part), _RUN)]))
+        alone = [t for t in texts if t not in known]
+        known.update(zip(alone, [self._one(t.encode(), *x, *y)
+                                 for t, x, y in zip(alone, self.a.cut(alone), self.b.cut(alone), strict=True)]))
+        return [known[t] for t in texts]
+
+    def _runs(self, runs: list[list[str]]) -> dict[str, bytes]:
+        """The links of the texts in runs that their tokens spell; texts of other runs are left out."""
+        joined = ["".join(run) for run in runs]
+        texts, stops, size = [], [], 0
+        ids, ends = ([], []), ([], [])
+        for run, text, *cut in zip(runs, joined, self.a.cut(joined), self.b.cut(joined), strict=True):
+            data = text.encode()
+            if not all(_spelled(data, *x, of) for x, of in zip(cut, (self.a.of, self.b.of))):
+                continue
+            for k, (found, at) in enumerate(cut):
+                ids[k].extend(found)
+                ends[k].append(np.array(at, np.int64) + size)
+            texts += run
+            stops += accumulate([len(t.encode()) for t in run[1:]], initial=size + len(run[0].encode()))
+            size += len(data)
+        if not texts:
+            return {}
+        return dict(zip(texts, linked_runs(*[x for k in (0, 1) for x in (np.array(ids[k], np.int64), np.concatenate(ends[k]))],
+                                           np.array(stops, np.int64))))
 
     def _one(self, data: bytes, a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> bytes:
-        for ids, ends, of in ((a, a_ends, self.a.of), (b, b_ends, self.b.of)):
-            words = [of[i] for i in ids]
-            if b"".join(words) != data:
-                return b""
-            if list(accumulate(map(len, words))) != ends:
-                raise ValueError("spans and bytes of the tokens disagree")
+        if not (_spelled(data, a, a_ends, self.a.of) and _spelled(data, b, b_ends, self.b.of)):
+            return b""
         return match(a, a_ends, b, b_ends)
 
     def texts(self, texts: list[str]) -> list[bytes]:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Hashable
 
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 _PRINTED = frozenset(map(chr, range(0x21, 0x7F)))
+_FAR = re.compile("[ \n]([^\x00-\x7f])")
 
 
 def chunks(text: str) -> list[str]:
@@ -19,6 +21,10 @@ def chunks(text: str) -> list[str]:
     space away), and no sentencepiece of a model that splits at white space crosses it. So each chunk is tokenized
     as in the whole text.
     """
+    if _evenly_spaced(text):
+        cut = text.replace(" ", "\0 ")
+        out = (cut.replace("\n", "\0\n") if "\n" in text else cut).split("\0")
+        return out if out[0] else out[1:]
     parts = text.split(" ")
     cuts = [i for i in range(1, len(parts))
             if parts[i] and parts[i - 1] and (parts[i][0] in _PRINTED or parts[i][0].isalpha())]
@@ -32,6 +38,25 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+def joins(chunk: str) -> bool:
+    """Whether ``chunks`` cuts before and after the chunk where it stands among others of which that is true."""
+    return (len(chunk) > 1 and chunk[0] in " \n" and (chunk[1] in _PRINTED or chunk[1].isalpha())
+            and not chunk[-1].isspace())
+
+
+def _evenly_spaced(text: str) -> bool:
+    """Whether every space and line feed is a cut: each stands alone, before a letter or printed ASCII character, and
+    there is no other white space or control character."""
+    if not text or text[0] == "\n" or text[-1] in " \n" or "  " in text or " \n" in text:
+        return False
+    if "\n" in text:
+        if "\n\n" in text or "\n " in text or not text.replace("\n", "").isprintable():
+            return False
+    elif not text.isprintable():
+        return False
+    return text.isascii() or not (far := "".join(_FAR.findall(text))) or far.isalpha()
+
+
 def _lines(chunk: str) -> list[str]:
     parts = chunk.split("\n")
     out = [parts[0]]

@@ -266,6 +266,31 @@ def test_alignment(spark, docs, pairs_at_once):
     assert Counter(map(tuple, got.select(names).collect())) == brute_alignment(rows)
 
 
+def test_chunks_side_by_side_are_linked_as_alone():
+    raw = []
+    for path in (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")):
+        with open(path, "rb") as file:
+            raw.append(file.read())
+    aligner, seen = alignment.Aligner(alignment.Bytes(raw[0]), alignment.Pieces(raw[1])), []
+    words = list(dict.fromkeys(c for t in texts() if t for c in chunks(" " + t) if len(c) < 65))
+    alone = [aligner._one(c.encode(), *aligner.a.cut([c])[0], *aligner.b.cut([c])[0]) for c in words]
+    cut = aligner.a.cut
+    aligner.a.cut = lambda given: seen.append(len(given)) or cut(given)
+    assert aligner.chunks(words) == alone and b"" in alone
+    assert sum(seen) < len(words) / 4
+
+
+def test_even_spacing_is_cut_as_any_other():
+    draw = random.Random(4)
+    parts = ["a", "é", "1", "€5", "x\ny", "١", "\u0301q", "中", "", "\t", "\n", "\0", "\xa0b"]
+    for _ in range(3000):
+        text = " ".join(draw.choice(parts) for _ in range(draw.randint(1, 6)))
+        cuts = [i for i, c in enumerate(text) if 0 < i < len(text) - 1 and c in " \n"
+                and not (text[i - 1] == " " if c == " " else text[i - 1].isspace())
+                and ("!" <= text[i + 1] <= "~" or text[i + 1].isalpha())]
+        assert chunks(text) == [text[x:y] for x, y in zip([0, *cuts], [*cuts, len(text)])]
+
+
 def test_alignment_of_long_and_no_texts(docs):
     long = alignment.align_documents(docs.where("length(text) > 100000")).collect()[0]
     pairs, times = alignment.link_arrays(long.links)
