@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlode.catalogue.registry import query
-from ledgerlode.catalogue.views import money, party_id, share, table
+from ledgerlode.catalogue.views import money, party_id, share_total, table
 from ledgerlode.operators import measures
 from ledgerlode.plans import gold
 from ledgerlode.plans.jobs import Lake, read_gold, run_batch
@@ -29,8 +29,7 @@ def config(name: str) -> TableConfig:
 def _charges(spark, sf):
     """Orders with what their lines come to, stored once for the three tables and two days that tell it."""
     sums = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum(share(money("l_extendedprice"), "l_discount")).cast("decimal(18,2)").alias("i"),
-        F.sum(share(money("l_extendedprice"), "l_tax")).cast("decimal(18,2)").alias("f"),
+        share_total("l_extendedprice", "l_discount").alias("i"), share_total("l_extendedprice", "l_tax").alias("f"),
         F.min("l_suppkey").alias("seller"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
                                                "o_orderstatus", "o_orderpriority")

@@ -35,6 +35,21 @@ def share(amount: Column, rate: str) -> Column:
     return F.round(amount * F.col(rate).cast("decimal(4,2)"), 2).cast("decimal(18,2)")
 
 
+def share_total(price: str, rate: str) -> Column:
+    """The sum of ``share(money(price), rate)``. Numbers with two decimals, which most are, are multiplied and summed as whole
+    cents; such a double is the one nearest to its cents, so that its decimal has no others."""
+    def whole(name: str) -> Column:
+        return F.rint(F.col(name) * 100)
+
+    def plain(name: str, below: float) -> Column:
+        return (whole(name) / 100 == F.col(name)) & (F.abs(whole(name)) < below)
+
+    product = whole(price).cast("long") * whole(rate).cast("long")
+    rounded = F.call_function("div", product + F.when(product < 0, F.lit(-50)).otherwise(F.lit(50)), F.lit(100))
+    cents = F.when(plain(price, 1e13) & plain(rate, 1e4), rounded).otherwise((share(money(price), rate) * 100).cast("long"))
+    return (F.sum(cents).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+
+
 def party_id(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 

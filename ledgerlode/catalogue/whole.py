@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlode.catalogue.registry import query
-from ledgerlode.catalogue.views import card_id, money, party_id, share, table
+from ledgerlode.catalogue.views import card_id, money, party_id, share_total, table
 from ledgerlode.operators import measures, quality, rows
 from ledgerlode.plans import gold
 from ledgerlode.plans.jobs import Lake, read_gold, read_silver, run_batch, run_configured, validate_gold
@@ -42,10 +42,9 @@ RICH = 5000
 
 def charged_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with what their lines come to: seller, interest and fee. Four of the tables are made of them."""
-    price = money("l_extendedprice")
     sums = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("l_suppkey").alias("seller"),
-        *[F.sum(share(price, rate)).cast("decimal(18,2)").alias(rate) for rate in ("l_discount", "l_tax")])
+        *[share_total("l_extendedprice", rate).alias(rate) for rate in ("l_discount", "l_tax")])
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                                "o_orderpriority", "o_totalprice")
     return orders.join(sums, "o_orderkey")

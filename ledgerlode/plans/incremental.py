@@ -50,7 +50,15 @@ def _dealt(target: Target, source: DataFrame, on_duplicate: str, newest: Sequenc
     exists, n = spark.catalog.tableExists(target.name), buckets_for(spark, target)
     dealt = source if tables.BUCKET in source.columns else tables.with_bucket(source, target.keys, n)
     batch = scd.unique_source(dealt, target.keys, on_duplicate, newest)
-    return exists, n, batch, tables.touched(source.select(tables.bucket_of(target.keys, n).alias(tables.BUCKET)))
+    placed = source if dealt is source else source.select(tables.bucket_of(target.keys, n).alias(tables.BUCKET))
+    return exists, n, batch, tables.touched(placed)
+
+
+def _filled(target: Target, batch: DataFrame, hit: Sequence[int]) -> Merged:
+    """The first batch stored in the empty table as it is; there is nothing to merge it with."""
+    batch, seen = files.counted(batch, "first")
+    tables.replace_buckets(batch, target.name)
+    return Merged(tuple(hit), files.observed(seen))
 
 
 def merge_type1(target: Target, source: DataFrame, on_duplicate: str = "error",
@@ -62,6 +70,8 @@ def merge_type1(target: Target, source: DataFrame, on_duplicate: str = "error",
         tables.create_bucketed(source.drop(tables.BUCKET), target.name, target.keys, n)
     if not hit:
         return Merged((), 0)
+    if not exists:
+        return _filled(target, batch, hit)
     held = tables.read_buckets(spark, target.name, hit)
     merged = upserted(held, batch, target.keys)
     merged, seen = files.counted(merged, "merged")
@@ -104,13 +114,14 @@ def merge_type2(target: Target, source: DataFrame, tracked: Sequence[str], effec
         tables.create_bucketed(closed_of, target.closed, target.keys, n, partition_by=[CLOSED_BY])
     if not hit:
         return Merged((), 0)
+    if not exists:
+        return _filled(target, opened, hit)
     current = tables.read_buckets(spark, target.name, hit)
     # Each write runs the join for itself: both sides are dealt by key, so that costs a scan and no shuffle of the table.
     merged = scd.scd2_actions(current, opened, target.keys)
     is_closed = F.col("__action") == scd.EXPIRE
-    if exists:
-        closed = merged.where(is_closed).drop("__action").withColumn(CLOSED_BY, F.lit(batch_id))
-        tables.replace_buckets(closed, target.closed)
+    closed = merged.where(is_closed).drop("__action").withColumn(CLOSED_BY, F.lit(batch_id))
+    tables.replace_buckets(closed, target.closed)
     kept, seen = files.counted(merged.where(~is_closed).drop("__action"), "current")
     tables.replace_buckets(kept, target.name)
     return Merged(tuple(hit), files.observed(seen))

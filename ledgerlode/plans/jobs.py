@@ -157,26 +157,29 @@ def to_silver(lake: Lake, cfg: TableConfig, batch_id: str, upper: Iterable[str]
         # The cleansed batch is scanned several times below; stored, it is cleansed once. Dealt by key it is cleansed,
         # profiled and merged with one shuffle.
         stage, target = lake.path("stage", f"{cfg.table_name}/batch_id={batch_id}"), None
+        trimmed = rows.drop_audit(rows.standardise_text(rows.split_quarantine(batch, keys)[0], upper))
         if lake.database:
             target = lake.target(cfg.silver_table, keys, batch)
             n = incremental.buckets_for(spark, target)
-            trimmed = rows.standardise_text(rows.split_quarantine(batch, keys)[0], upper)
-            clean = rows.drop_audit(trimmed).repartition(n, *[col(k) for k in keys]).distinct()
-        else:
-            trimmed = rows.standardise_text(rows.split_quarantine(batch, keys)[0], upper)
-            clean = rows.drop_audit(trimmed)
-            if quality.has_repeats(clean):
-                clean = clean.distinct()
-        if masks:
-            clean = rows.mask_columns(clean, masks)
-        if lake.database:
-            stages.append(f"{lake.database}.stage_{cfg.table_name}_{uuid.uuid4().hex}")
-            clean = tables.stage_bucketed(clean, stages[0], keys, n)
+
+            def staged(df: DataFrame) -> DataFrame:
+                stages.append(f"{lake.database}.stage_{cfg.table_name}_{uuid.uuid4().hex}")
+                return tables.stage_bucketed(rows.mask_columns(df, masks) if masks else df, stages[-1], keys, n)
+
+            dealt = trimmed.repartition(n, *[col(k) for k in keys])
+            clean = staged(dealt)
+            profile = quality.dq_profile(clean, cfg.table_name, keys).first()
+            if profile.duplicate_pk_groups:          # rows repeat each other only where keys do
+                clean = staged(dealt.distinct())
+                profile = quality.dq_profile(clean, cfg.table_name, keys).first()
         else:
+            clean = trimmed.distinct() if quality.has_repeats(trimmed) else trimmed
+            if masks:
+                clean = rows.mask_columns(clean, masks)
             files.overwrite_path(clean, stage, lake.fmt)
             clean = spark.read.format(lake.fmt).schema(clean.schema).load(stage)
+            profile = quality.dq_profile(clean, cfg.table_name, keys).first()
         _await_gold(lake, cfg.silver_table)
-        profile = quality.dq_profile(clean, cfg.table_name, keys).first()
         if profile.duplicate_pk_groups and on_duplicate == "error":
             raise quality.DataQualityError(
                 f"{cfg.table_name}: {profile.duplicate_pk_groups} keys occur more than once")

@@ -107,6 +107,30 @@ def test_buckets_follow_the_bytes_and_one_shuffle_deals_a_batch(spark, database,
     assert not [t for t in spark.catalog.listTables(database) if t.name.startswith("stage")]
 
 
+def test_a_batch_of_distinct_keys_is_dealt_only_and_the_first_one_meets_no_table(spark, database, tmp_path, monkeypatch):
+    staged, merged = [], []
+    deal, replace = tables.stage_bucketed, tables.replace_buckets
+    monkeypatch.setattr(tables, "stage_bucketed", lambda df, *more: staged.append(df) or deal(df, *more))
+    monkeypatch.setattr(tables, "replace_buckets", lambda df, name: merged.append((name, df)) or replace(df, name))
+    lake = jobs.Lake(spark, str(tmp_path), "daily", "2026-07-18", "2026-07-18 02:00:00", database=database, buckets=4)
+    for name, kind in (("one", 1), ("two", 2)):
+        cfg = TableConfig(name, "CORE", "FACT", "k", kind, ("k",), "", f"silver_{name}", f"bronze_{name}", True)
+        for day, batch in (("18", [(" a", "x ", 1), ("b", "y", 2)]), ("19", [("a", "z", 1), ("a ", "z", 1), ("c", "y", 2)])):
+            lake.load_ts = f"2026-07-{day} 02:00:00"
+            jobs.land(lake, cfg, day, spark.createDataFrame(batch, KINDS))
+            jobs.load_bronze(lake, cfg, day)
+            assert jobs.to_silver(lake, cfg, day)["rows_clean"] == 2
+        assert sorted((r.k, r.v) for r in jobs.read_silver(lake, f"silver_{name}").collect()) == [
+            ("a", "z"), ("b", "y"), ("c", "y")]
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in staged]
+        assert ["Aggregate" in p for p in plans] == [False, False, True]
+        staged.clear()
+    joins = [(name.split(".")[1], "Join" in df._jdf.queryExecution().optimizedPlan().toString()) for name, df in merged]
+    assert joins == [("silver_one", False), ("silver_one", True), ("silver_two", False), ("silver_two_closed", True),
+                     ("silver_two", True)]
+    assert not [t for t in spark.catalog.listTables(database) if t.name.startswith("stage")]
+
+
 def test_change_between_nullable_columns_opens_a_version(spark, tmp_path):
     lake = jobs.Lake(spark, str(tmp_path), "daily", "2026-07-18", "2026-07-18 02:00:00")
     cfg = TableConfig("customer", "CORE", "DIM", "k", 2, ("k",), "", "silver_customer", "bronze_customer", True)
