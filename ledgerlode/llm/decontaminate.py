@@ -227,7 +227,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame,
     larger one takes more scans of the documents. A null or empty text has no words, a null or empty item no
     window. Rows repeated in either table count as they come, items with one id as one. A hit by an item
     whose id is null counts as hit, not among the items. Other columns are ignored. Long texts are never
-    cut; a batch is searched 2 MB at a time, or one document.
+    cut; a batch is searched half a MB at a time, or one document.
     """
     state = documents.select("doc_id", "text", F.array().cast("array<array<long>>").alias("spans"),
                              F.array().cast("array<string>").alias("items"))

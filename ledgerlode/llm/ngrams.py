@@ -22,6 +22,9 @@ BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 2_000_000
 _COLUMNS = 4096
 _PART_BYTES = 16 << 20
+_COPIED = 256
+#: A block of more shingles gives its memory back when it is done; for each small one that would take too long.
+_LARGE = 100_000
 
 
 def _mark() -> Column:
@@ -54,14 +57,22 @@ def _sets(column):
             yield np.unique(digests[of_row[i]:of_row[i + 1]])
 
 
+def _several(column) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that at least ``_SEEN`` rows hold, and how many do. All are sorted in place, and only those are
+    counted, as a batch holds many times its bytes of them."""
+    shingle = np.concatenate(list(_sets(column)))
+    shingle.sort()
+    ahead = _SEEN - 1
+    kinds = np.unique(shingle[ahead:][shingle[ahead:] == shingle[:max(len(shingle) - ahead, 0)]])
+    return kinds, np.searchsorted(shingle, kinds, "right") - np.searchsorted(shingle, kinds)
+
+
 def frequent_shingles(documents: DataFrame, size: int = FREQUENT) -> np.ndarray:
     """The most frequent shingles, rarest of them first. Each batch of all documents reports the shingles that
     it holds in several documents, Spark adds them up, and the ``size`` largest come to the driver."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = list(_sets(batch.column("text")))
-        kinds, count = np.unique(np.concatenate(found), return_counts=True)
-        often = count >= _SEEN
-        return A.batch_of(shingle=kinds[often].view(np.int64), seen=count[often])
+        kinds, count = _several(batch.column("text"))
+        return A.batch_of(shingle=kinds.view(np.int64), seen=count)
 
     top = (documents.select("text").mapInArrow(A.by_batch(work), "shingle long, seen long")
                     .groupBy("shingle").agg(F.sum("seen").alias("seen"))
@@ -145,6 +156,10 @@ def _stars(table: pa.Table) -> pa.Table:
         fresh[1:] = (shingle[1:] != shingle[:-1]) | (needed(n[1:]) > n[:-1])
         center = doc[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
         pairs = np.unique(np.stack([center[~fresh], doc[~fresh]]), axis=1)
+        del center, fresh
+    if len(many) > _LARGE:
+        del shingles, ids, sizes, shingle, doc, n, order, shared, many
+        A.give_back()
     return pa.table({"center": pairs[0], "member": pairs[1]})
 
 
@@ -216,10 +231,20 @@ def _links(table: pa.Table) -> pa.Table:
         apart = table.column("apart").to_numpy(zero_copy_only=False)[order]
         allowed = (side[:, None] != side[None, :]) & (apart[:, None] | apart[None, :])
     label = _least_labels(_product(sets, allowed))
+    if sum(map(len, sets)) > _LARGE:
+        del sets, blobs
+        A.give_back()
     moved = label != np.arange(len(ids))
     return pa.table({"a": ids[label[moved]], "b": ids[moved]})
 
 
+def _pressed(texts: pa.Array) -> pa.Array:
+    """Texts compressed one by one, nulls as they are; some at a time, since Python holds each once more."""
+    press = zstandard.ZstdCompressor(level=3).compress
+    return pa.array([None if t is None else press(t) for lo in range(0, len(texts), _COPIED)
+                     for t in texts.slice(lo, _COPIED).cast(pa.binary()).to_pylist()], pa.binary())
+
+
 _LINK = "a long, b long"
 
 
@@ -269,10 +294,8 @@ def similar_links(documents: DataFrame, sets: DataFrame, reps: DataFrame, parts:
     members = stars.unionByName(stars.select("center", F.col("center").alias("member")).distinct())
 
     def zipped(batch: pa.RecordBatch) -> pa.RecordBatch:
-        press = zstandard.ZstdCompressor(level=3).compress
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
         return A.batch_of(doc_id=batch.column("doc_id"), text_mark=batch.column("text_mark"),
-                          zipped=pa.array([press(t or b"") for t in texts], pa.binary()))
+                          zipped=_pressed(batch.column("text").fill_null("")))
 
     # Texts are smaller than their shingles, and smaller still compressed one by one before the shuffles.
     texts = documents.select("doc_id", "text", _mark().alias("text_mark")).mapInArrow(
@@ -373,14 +396,20 @@ def _leads(documents: DataFrame, sets: DataFrame, block_rows: int = BLOCK_ROWS,
 
 @F.arrow_udf(T.BinaryType())
 def _zip(texts: pa.Array) -> pa.Array:
-    press = zstandard.ZstdCompressor(level=3).compress
-    return pa.array([None if t is None else press(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+    blobs = _pressed(texts)
+    A.give_back()
+    return blobs
 
 
 @F.arrow_udf(T.StringType())
 def _unzip(blobs: pa.Array) -> pa.Array:
     unzip = zstandard.ZstdDecompressor().decompress
-    return pa.array([None if b is None else unzip(b) for b in blobs.to_pylist()], pa.binary()).cast(pa.string())
+    parts = [pa.array([None if b is None else unzip(b) for b in blobs.slice(lo, _COPIED).to_pylist()], pa.binary())
+             for lo in range(0, len(blobs), _COPIED)]
+    texts = pa.concat_arrays(parts or [pa.array([], pa.binary())]).cast(pa.string())
+    del parts
+    A.give_back()
+    return texts
 
 
 def drop_near_copies(documents: DataFrame) -> DataFrame:

@@ -113,6 +113,8 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
         for lo, hi in A.slices(data, offsets):
             rows += _row_features(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], settings)
         weights = train(rows, table.column("quality").to_numpy().astype(np.int64), settings)
+        del rows, data
+        A.give_back()
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary())})
 
     model = sample.groupBy("__all").applyInArrow(learn, "weights binary").first()

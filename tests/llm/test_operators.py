@@ -5,11 +5,15 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("ledgerlode.llm.queries")
@@ -120,6 +124,51 @@ def test_near_copies_leave_one_row(spark):
     assert all(tuple(r) in rows for r in got)
 
 
+_KEPT = """
+import re
+import numpy as np, pyarrow as pa
+from ledgerlode.llm import arrays as A, ngrams
+
+def held():
+    found = re.search(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())
+    return int(found[1]) / 1024
+
+draw = np.random.default_rng(3)
+words = np.array([f"w{k}" for k in range(50_000)])
+texts = pa.array([" ".join(words[draw.integers(0, len(words), 600)]) for _ in range(3000)])
+batch = A.batch_of(text=texts)
+pa.default_memory_pool().release_unused()
+before = held()
+run = A.by_batch(lambda batch: A.batch_of(n=[len(x) for x in list(ngrams._sets(batch.column("text")))]))
+assert sum(x.num_rows for x in run(iter([batch]))) == 3000
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory is read from /proc")
+def test_workers_give_memory_back():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    kept = subprocess.run([sys.executable, "-c", _KEPT], cwd=root, capture_output=True, text=True, check=True,
+                          env=os.environ | {"PYTHONPATH": root, "OMP_NUM_THREADS": "1"}).stdout
+    assert float(kept) < 50, f"{kept} MB stay with a worker that is done"
+
+
+@pytest.mark.parametrize("copies", [0, 1, 3, 4, 9])
+def test_frequent_shingles_of_a_batch(copies):
+    texts = pa.array([" ".join(f"w{k}" for k in range(i, i + 12)) for i in range(copies)] + ["a b c", None, ""])
+    found = Counter(x for row in ngrams._sets(texts) for x in row.tolist())
+    kinds, count = ngrams._several(texts)
+    assert dict(zip(kinds.tolist(), count.tolist())) == {k: n for k, n in found.items() if n >= 4}
+
+
+def test_texts_compressed_in_pieces(spark):
+    ship(spark)
+    texts = [None if k % 7 == 0 else f"{k} \u00e9" * (k % 5) for k in range(700)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = frame.select("doc_id", ngrams._unzip(ngrams._zip("text")).alias("text")).collect()
+    assert [r.text for r in sorted(got)] == texts
+
+
 @pytest.mark.parametrize("module", [recompression, suffixes])
 def test_repeats(docs, empty, module):
     remove = getattr(module, "remove_repeated_words", None) or module.remove_repeated_bytes
