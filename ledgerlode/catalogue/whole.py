@@ -47,7 +47,7 @@ def charged_orders(spark: SparkSession, sf: str) -> DataFrame:
         *[share_total("l_extendedprice", rate).alias(rate) for rate in ("l_discount", "l_tax")])
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                                "o_orderpriority", "o_totalprice")
-    return orders.join(sums, "o_orderkey")
+    return orders.hint("merge").join(sums, "o_orderkey")              # compressed files would let a large side be broadcast
 
 
 def extract(spark: SparkSession, sf: str, name: str, second: bool = False, charged: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ from ledgerlode.operators.scd import current_versions
 # The default bounds of the calendar.
 CALENDAR_START = "2015-01-01"
 CALENDAR_END = "2030-12-31"
+#: A side of a join with more rows is not broadcast.
+BROADCAST_ROWS = 50_000
 
 
 def dim_date(spark: SparkSession, start: str | dt.date = CALENDAR_START,
@@ -52,6 +54,12 @@ def current_lookup(dim: DataFrame, natural_key: str | Sequence[str], sk: str) ->
     return current_versions(dim).select(*keys, sk)
 
 
+def joined_by_rows(side: DataFrame, n_rows: int) -> DataFrame:
+    """A side of a join that is not broadcast where it has many rows. The optimizer goes by the bytes of the files, which
+    are compressed: rows of ten times that size would then pass through the driver, once per join."""
+    return side.hint("merge") if n_rows > BROADCAST_ROWS else side
+
+
 def resolve_fact(events: DataFrame, lookups: Sequence[tuple[DataFrame, str]],
                  columns: Sequence[str], calendar: DataFrame | None = None,
                  date_column: str | None = None) -> DataFrame:
@@ -59,7 +67,8 @@ def resolve_fact(events: DataFrame, lookups: Sequence[tuple[DataFrame, str]],
 
     Each lookup is ``(frame, natural key)``; an unmatched key gives NULL. The calendar is broadcast: it
     holds one row per day whatever the data. The lookups are left to the optimizer, which broadcasts a
-    side only below its size threshold and otherwise splits skewed partitions of the fact side (AQE).
+    side only below its size threshold and otherwise splits skewed partitions of the fact side (AQE); give those read
+    from files through ``joined_by_rows``.
     """
     fact = events
     for lookup, key in lookups:

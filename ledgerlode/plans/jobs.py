@@ -317,14 +317,18 @@ def build_gold(lake: Lake, batch_id: str,
 
         def lookup(name: str) -> tuple[DataFrame, str]:
             d = next(d for d in dimensions if d.name == name)
-            return star.current_lookup(read_gold(lake, name), d.natural_key, d.sk), d.natural_key
+            known = star.current_lookup(read_gold(lake, name), d.natural_key, d.sk)
+            return star.joined_by_rows(known, sizes[name]), d.natural_key
 
         def at_event(events: DataFrame, e: gold.AtEvent) -> DataFrame:
             """The fact's rows with what the dimension said at their time, instead of what it says now."""
             versions_ = read_gold(lake, e.dimension).select(
                 e.key, scd.START, scd.END, *[F.col(c).alias(name) for c, name in e.columns])
-            return pit.pit_join(events, versions_, [e.key], e.event_time, scd.START, scd.END,
-                                [name for _, name in e.columns], "join")
+            return pit.pit_join(events, star.joined_by_rows(versions_, sizes[e.dimension]), [e.key], e.event_time,
+                                scd.START, scd.END, [name for _, name in e.columns], "join")
+
+        def below(f: gold.Fact) -> list[str]:
+            return [*f.dimensions, *[e.dimension for e in f.at_event]]
 
         def fact(f: gold.Fact) -> int:
             events = read_silver(lake, f.silver)
@@ -345,10 +349,12 @@ def build_gold(lake: Lake, batch_id: str,
         due = [d for d in dimensions if stale(d.name, [d.silver])]
         written = lake.each(dimension, due)
         built_dimensions.update(d.name for d in due)
-        built = [(fact, f) for f in facts
-                 if stale(f.name, [f.silver], [*f.dimensions, *[e.dimension for e in f.at_event]])]
+        built = [(fact, f) for f in facts if stale(f.name, [f.silver], below(f))]
         if revenue and stale("FactRevenue", ["silver_interest_charge", "silver_fee"], ["DimAccount"]):
             built.append((earnings, revenue))
+        sizes = {d.name: n for d, n in zip(due, written)}
+        for name in {n for job, f in built for n in (below(f) if job is fact else ["DimAccount"])} - sizes.keys():
+            sizes[name] = read_gold(lake, name).count()
         written += lake.each(lambda job: job[0](job[1]), built)
         for name in waiting:
             files.discard(lake.spark, f"{lake.path('control', _PENDING)}/{name}")

@@ -18,9 +18,9 @@ def assign_keys(rows: DataFrame, keys: Sequence[str], name: str, map_table: str,
 
     Natural keys that the map lacks are numbered in their order after its largest number and appended first, so
     numbers once given stay, whichever keys arrive late, and facts written with them stay valid. The numbering ranges
-    over the new keys only, and the map is read in its buckets, without a shuffle of it. Rows with a null in their
-    key get none. A load that stopped after the append finds its keys there when it runs again. One load of a
-    map at a time.
+    over the new keys only, and the map is read in its buckets, without a shuffle of it; it is never broadcast, so
+    that no map passes through the driver. Rows with a null in their key get none. A load that stopped after the
+    append finds its keys there when it runs again. One load of a map at a time.
     """
     keys = list(keys)
     spark = rows.sparkSession
@@ -29,9 +29,9 @@ def assign_keys(rows: DataFrame, keys: Sequence[str], name: str, map_table: str,
         fresh, last = wanted, 0
     else:
         known = spark.table(map_table)
-        fresh = wanted.join(known.select(*keys), keys, "left_anti")
+        fresh = wanted.join(known.select(*keys).hint("merge"), keys, "left_anti")
         last = known.agg(F.max(name)).first()[0] or 0
     n = tables.buckets_of(spark, map_table)
     numbered = global_row_number(fresh, keys, name, ranges).withColumn(name, F.col(name) + F.lit(last))
     tables.append_buckets(tables.with_bucket(numbered, keys, n), map_table)
-    return rows.join(spark.table(map_table).select(*keys, name), keys, "left")
+    return rows.join(spark.table(map_table).select(*keys, name).hint("merge"), keys, "left")

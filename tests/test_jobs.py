@@ -325,6 +325,31 @@ def test_lines_are_summed_once_for_three_tables(spark):
         assert sorted(map(str, given.collect())) == sorted(map(str, whole.extract(spark, sf, name).collect()))
 
 
+def test_dimensions_of_many_rows_are_not_broadcast(spark, lake, monkeypatch):
+    plans, write = {}, files.overwrite_path
+
+    def overwrite(df, path, *more):
+        plans[path.rsplit("/", 1)[-1]] = df._jdf.queryExecution().executedPlan().toString()
+        write(df, path, *more)
+
+    monkeypatch.setattr(files, "overwrite_path", overwrite)
+    many = spark.range(60_000).select(F.concat(F.lit("a"), "id").alias("account_id"), F.lit("c1").alias("customer_id"),
+                                      F.lit("ACTIVE").alias("account_status"))
+    job = part(("DimAccount",), "FactPayment")
+    job["gold_options"]["only_changed"] = True
+    jobs.run_batch(lake, "b1", [(cfg("account", "account_id", 2), many), *batch(spark, only=("payment",))], **job)
+    assert plans["FactPayment"].count("BroadcastHashJoin") == 1 and "SortMergeJoin" in plans.pop("FactPayment")
+    assert jobs.read_gold(lake, "DimAccount").inputFiles() and jobs.read_gold(lake, "FactPayment").first().account_sk
+    lake.load_ts = "2026-07-19 02:00:00"                   # now the dimension stays as it is
+    jobs.run_batch(lake, "b2", batch(spark, only=("payment",)), **job)
+    assert plans["FactPayment"].count("BroadcastHashJoin") == 1 and "SortMergeJoin" in plans["FactPayment"]
+
+
+def test_lines_and_orders_are_not_broadcast(spark):
+    plan = whole.charged_orders(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_maintenance(spark, lake):
     load(lake, CUSTOMER, "b1", customers(spark, [("c1", "A"), ("c2", "A")]))
     lake.load_ts = "2026-07-19 02:00:00"

@@ -8,7 +8,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from ledgerlode.operators import evolve, rows, scd, zorder
+from ledgerlode.operators import evolve, ordering, rows, scd, zorder
 from ledgerlode.plans import incremental, jobs
 from ledgerlode.sources import bronze, files, keymap, tables
 from ledgerlode.sources.config import TableConfig
@@ -155,6 +155,27 @@ def test_keys_stay_when_earlier_ones_arrive_late(spark, database):
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+def test_key_maps_are_not_broadcast(spark, database, monkeypatch):
+    plans, keep = [], ordering.stored
+
+    def stored(df, *more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, *more)
+
+    monkeypatch.setattr(ordering, "stored", stored)
+
+    def assigned(names):
+        df = files.stored(spark.createDataFrame([(n,) for n in names], "k string"), "names")
+        return keymap.assign_keys(df, ["k"], "sk", f"{database}.known", 4, ranges=3)
+
+    assigned(["a", "b"])
+    later = assigned(["b", "c", None])
+    plans.append(later._jdf.queryExecution().optimizedPlan().toString())
+    # Without the hint adaptive execution broadcasts a map, as it runs, that is small enough when shuffled.
+    assert len(plans) == 3 and all("rightHint=(strategy=merge)" in p for p in plans[1:])
+    assert {r.k: r.sk for r in later.collect()} == {"b": 2, "c": 3, None: None}
+
+
 def test_range_rank_and_interleaving(spark):
     bounds = [3, 5, 5, 9]
     got = {r.v: r.r for r in spark.createDataFrame([(v,) for v in (None, 0, 3, 4, 5, 8, 9, 99)], "v int")
