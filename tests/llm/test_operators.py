@@ -332,6 +332,27 @@ def test_chat_examples_hold_their_context(spark, monkeypatch):
         assert r.loss_sha256 != whole[r.conv_id].loss_sha256 and r.turns_sha256 == whole[r.conv_id].turns_sha256
 
 
+def test_chat_examples_of_long_conversations_are_whole(spark, monkeypatch):
+    ship(spark)
+    rows = [(c, k, "assistant" if k % 3 else "user", f"é{c}.{k} </s> " + "long " * 60) for c in (1, None) for k in range(400)]
+    rows += [(2, k, "assistant" if k == 1 else "user", "x" * 200_000) for k in range(3)]       # the last has no reply
+    rows += [(3, 0, "user", "y" * 300_000), (3, 1, "assistant", "ok"), (4, 0, "assistant", None), (5, 0, "user", "x")]
+    turns = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    said, want = defaultdict(str), {}
+    for r in turns.orderBy("conv_id", "position").collect():
+        said[r.conv_id] += r.segment
+        if r.mask_end:
+            want[r.conv_id, r.position] = said[r.conv_id]
+    assert max(map(len, want.values())) > 2 * chat.BLOCK_CHARS
+    for few in (chat._FEW, 0):
+        monkeypatch.setattr(chat, "_FEW", few)
+        got = stored(chat.expand(turns.repartition(7)), "chat-test", None, "zstd", True).collect()
+        assert {(r.conv_id, r.target): r.text for r in got} == want and len(got) == len(want) == 2 * 266 + 3
+        for r in got:
+            assert r.shared_chars == 0 and len(r.text) == r.context_chars + r.target_chars
+            assert r.text[r.mask_end:] == chat.TEMPLATE["assistant"][1]
+
+
 def test_chat_digests_hold_no_whole_conversation(spark):
     ship(spark)
     rows = [(c, k, "assistant" if k % 2 else "user", f"é{k} </s>") for c in (1, None) for k in range(300)]
