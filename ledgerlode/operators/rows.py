@@ -77,8 +77,10 @@ def enforce_schema(df: DataFrame, target: T.StructType, on_error: str = "raise")
             return col(name)
         held = col(name).try_cast(kind)
         failure = F.raise_error(F.concat(F.lit(f"{name} does not hold "), col(name).cast("string")))
-        return (F.when(keeps_value(col(name), field.dataType, kind), held)
-                 .when(held.isNull(), col(name).cast(kind)).otherwise(failure.cast(kind)).alias(name))
+        kept = F.when(keeps_value(col(name), field.dataType, kind), held)
+        if isinstance(field.dataType, T.StringType) or not isinstance(kind, T.DecimalType):
+            kept = kept.when(held.isNull(), col(name).cast(kind))
+        return kept.otherwise(failure.cast(kind)).alias(name)
 
     return df.select([cast(f) for f in df.schema.fields])
 
